@@ -184,13 +184,16 @@ def tokens(text: Column) -> Column:
 
 
 def phrases(words: Column, size: int) -> Column:
-    """Distinct runs of ``size`` consecutive words."""
-    if size == 1:
-        return F.array_distinct(words)
-    starts = F.when(F.size(words) >= size, F.sequence(F.lit(1), F.size(words) - (size - 1))).otherwise(
-        F.array().cast("array<int>")
-    )
-    return F.array_distinct(F.transform(starts, lambda i: F.array_join(F.slice(words, i, F.lit(size)), " ")))
+    """Distinct runs of ``size`` consecutive words.
+
+    Built by zipping the word list with itself shifted, so the text is split a fixed number of
+    times and never once per word.
+    """
+    runs = words
+    for shift in range(1, size):
+        # The shifted list is shorter: its missing tail makes the last runs null.
+        runs = F.zip_with(runs, F.slice(words, shift + 1, F.greatest(F.size(words), F.lit(1))), lambda a, b: F.concat(a, F.lit(" "), b))
+    return F.array_distinct(F.array_compact(runs))
 
 
 def relevance_match(

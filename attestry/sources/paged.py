@@ -1,4 +1,4 @@
-"""A paged record source as a Spark data source: one input partition per page.
+"""A paged record source as a Spark data source: an input partition reads a few consecutive pages.
 
 Pages are files of JSON records in a shared folder, named so that their order is the page order
 (``page=00001`` ...). A folder stands in for the publisher's network interface: Spark schedules
@@ -28,16 +28,18 @@ _ARROW = pa.schema(
 )
 
 
-class Page(InputPartition):
-    def __init__(self, sequence: int, files: list[str]):
-        self.sequence = sequence
-        self.files = files
+class PageRange(InputPartition):
+    """Consecutive pages: ``(sequence, files)`` each."""
+
+    def __init__(self, pages: list[tuple[int, list[str]]]):
+        self.pages = pages
 
 
 class PagedReader(DataSourceReader):
     def __init__(self, options: dict[str, str]):
         self.path = options["path"]
-        self.first = int(options.get("firstPage", 1))
+        self.first = int(options.get("firstPage", 0))
+        self.per_task = int(options.get("pagesPerTask", 32))
         self.limit = int(options["maxPages"]) if "maxPages" in options else None
         self.batch_rows = int(options.get("batchRows", 10_000))
 
@@ -47,7 +49,7 @@ class PagedReader(DataSourceReader):
             return fs.FileSystem.from_uri(uri)
         return fs.LocalFileSystem(), self.path
 
-    def partitions(self) -> list[Page]:
+    def partitions(self) -> list[PageRange]:
         system, base = self._filesystem()
         listed = system.get_file_info(fs.FileSelector(base, recursive=True))
         pages: dict[int, list[str]] = {}
@@ -59,19 +61,24 @@ class PagedReader(DataSourceReader):
         wanted = sorted(p for p in pages if p >= self.first)
         if self.limit is not None:
             wanted = wanted[: self.limit]
-        return [Page(p, sorted(pages[p])) for p in wanted]
+        listed_pages = [(p, sorted(pages[p])) for p in wanted]
+        return [PageRange(listed_pages[i : i + self.per_task]) for i in range(0, len(listed_pages), self.per_task)]
 
-    def read(self, partition: Page) -> Iterator[pa.RecordBatch]:
+    def read(self, partition: PageRange) -> Iterator[pa.RecordBatch]:
         system, _ = self._filesystem()
+        for sequence, paths in partition.pages:
+            yield from self._read_page(system, sequence, paths)
+
+    def _read_page(self, system: fs.FileSystem, sequence: int, paths: list[str]) -> Iterator[pa.RecordBatch]:
         digest, rows = hashlib.sha256(), 0
         # First pass: digest and row count of the page. Second pass: records, in bounded batches.
-        for path in partition.files:
+        for path in paths:
             with system.open_input_stream(path) as stream:
                 while chunk := stream.read(1 << 20):
                     digest.update(chunk)
                     rows += chunk.count(b"\n")
         proof = digest.hexdigest()
-        for path in partition.files:
+        for path in paths:
             with system.open_input_stream(path) as stream:
                 rest = b""
                 pending: list[str] = []
@@ -79,12 +86,12 @@ class PagedReader(DataSourceReader):
                     *lines, rest = (rest + chunk).split(b"\n")
                     pending += [line.decode() for line in lines if line]
                     while len(pending) >= self.batch_rows:
-                        yield self._batch(partition.sequence, path, proof, rows, pending[: self.batch_rows])
+                        yield self._batch(sequence, path, proof, rows, pending[: self.batch_rows])
                         pending = pending[self.batch_rows :]
                 if rest:
                     pending.append(rest.decode())
                 if pending:
-                    yield self._batch(partition.sequence, path, proof, rows, pending)
+                    yield self._batch(sequence, path, proof, rows, pending)
 
     def _batch(self, sequence: int, path: str, proof: str, rows: int, records: list[str]) -> pa.RecordBatch:
         n = len(records)
@@ -101,7 +108,7 @@ class PagedReader(DataSourceReader):
 
 
 class PagedJsonSource(DataSource):
-    """``spark.read.format("paged_json").load(path)``; options ``firstPage`` and ``maxPages``."""
+    """``spark.read.format("paged_json").load(path)``; options ``firstPage``, ``maxPages``, ``pagesPerTask``."""
 
     @classmethod
     def name(cls) -> str:
