@@ -180,8 +180,8 @@ def match_intersects(left: DataFrame, right: DataFrame, left_id: str, right_id:
     )
 
     def spread(df: DataFrame, name: str) -> DataFrame:
-        coarser = F.filter(levels, lambda v: v >= F.col(f"__{name}_level"))
-        return _cover(df.withColumn("__level", F.explode(coarser)), f"__{name}", F.col("__level"))
+        placed = df.withColumn("__level", F.explode(levels)).filter(F.col("__level") >= F.col(f"__{name}_level"))
+        return _cover(placed, f"__{name}", F.col("__level"))
 
     met = spread(a, "a").join(spread(b, "b"), ["__level", "__cx", "__cy"])
     size = F.pow(F.lit(2.0), F.col("__level"))

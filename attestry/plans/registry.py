@@ -131,7 +131,7 @@ ADAPTERS: dict[str, str] = {
         FROM {supplier}""",
     "districts": """
         SELECT n_nationkey AS area_id, CAST(n_nationkey * 13 - 160 AS DOUBLE) AS cx, CAST((n_nationkey * 37) % 120 - 60 AS DOUBLE) AS cy,
-               CAST(6 + n_regionkey * 3 AS DOUBLE) + 0.3 AS half
+               CAST(6 + n_regionkey * 3 AS DOUBLE) + 0.303 AS half
         FROM {nation}""",
     # Lineage: lines feed orders, orders feed customers, customers feed nations, nations feed regions.
     "edges": """
