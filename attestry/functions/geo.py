@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -18,25 +20,24 @@ _DEPTH = {
 }
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` over a value that is computed once, however often the body names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def _points(coordinates: Column, depth: int) -> Column:
     kind = "array<double>"
     for _ in range(depth):
         kind = f"array<{kind}>"
     parsed = F.from_json(coordinates, kind)
     if depth == 0:
-        return F.when(parsed.isNotNull(), F.array(parsed))
+        return F.filter(F.array(parsed), lambda p: p.isNotNull())
     for _ in range(depth - 1):
         parsed = F.flatten(parsed)
     return parsed
 
 
-def parse_geometry(geojson: Column) -> Column:
-    """Struct of type, points and bounding box; null for text that is not a usable geometry."""
-    kind = F.get_json_object(geojson, "$.type")
-    coordinates = F.get_json_object(geojson, "$.coordinates")
-    points = F.lit(None).cast("array<array<double>>")
-    for name, depth in _DEPTH.items():
-        points = F.when(kind == name, _points(coordinates, depth)).otherwise(points)
+def _box(kind: Column, points: Column) -> Column:
     sound = (F.size(points) > 0) & F.forall(
         points, lambda p: (F.size(p) >= 2) & F.get(p, 0).isNotNull() & F.get(p, 1).isNotNull()
     )
@@ -54,6 +55,16 @@ def parse_geometry(geojson: Column) -> Column:
     )
 
 
+def parse_geometry(geojson: Column) -> Column:
+    """Struct of type, points and bounding box; null for text that is not a usable geometry."""
+    kind = F.get_json_object(geojson, "$.type")
+    coordinates = F.get_json_object(geojson, "$.coordinates")
+    points = F.when(F.lit(False), F.lit(None).cast("array<array<double>>"))
+    for name, depth in _DEPTH.items():
+        points = points.when(kind == name, _points(coordinates, depth))
+    return let(F.struct(kind.alias("kind"), points.alias("points")), lambda g: _box(g["kind"], g["points"]))
+
+
 def unit_vector(lon: Column, lat: Column) -> dict[str, Column]:
     """Position on the unit sphere: no seam at the date line and no thinning at the poles."""
     lam, phi = F.radians(lon), F.radians(lat)

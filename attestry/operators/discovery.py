@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from attestry.functions.digest import fold_case, form_encode
 from attestry.operators.history import dedupe_keep_observations
-from attestry.operators.segments import join_on_key, numbered
+from attestry.operators.segments import broadcast_if_small, join_on_key, numbered
 
 # Fixed value: the supported version of search configurations.
 SEARCH_SCHEMA_VERSION = "1.0"
@@ -202,12 +202,13 @@ def relevance_match(
     """Number of distinct search terms found in each resource's text fields.
 
     Terms and texts meet by equality on word runs, never by scanning every text for every term.
+    A list of terms counted as small is broadcast, so the word runs of the texts are not shuffled.
     ``sizes`` must cover the lengths of the terms in words.
     """
     wanted = terms.select(F.array_join(tokens(F.col("term")), " ").alias("phrase")).filter("phrase <> ''").distinct()
     found = F.array_distinct(F.flatten(F.array(*[phrases(tokens(F.col(f)), n) for f in fields for n in sizes])))
     said = resources.select(id_column, F.explode(found).alias("phrase"))
-    hits = said.join(wanted, "phrase").groupBy(id_column).agg(F.count(F.lit(1)).alias("term_hits"))
+    hits = said.join(broadcast_if_small(wanted), "phrase").groupBy(id_column).agg(F.count(F.lit(1)).alias("term_hits"))
     return join_on_key(resources.select(id_column), hits, [id_column], "left").withColumn(
         "term_hits", F.coalesce(F.col("term_hits"), F.lit(0)).cast("bigint")
     )

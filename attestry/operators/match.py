@@ -69,7 +69,7 @@ def _cells(level: int, df: DataFrame, prefix: str) -> DataFrame:
 
 
 def nearest_station(
-    points: DataFrame, stations: DataFrame, point_id: str, station_id: str, bits: int = 3, depth: int = 6
+    points: DataFrame, stations: DataFrame, point_id: str, station_id: str, bits: int = 2, depth: int = 8
 ) -> DataFrame:
     """NEAREST_STATION: the closest station of every point, exactly, with the distance in metres.
 
@@ -170,8 +170,8 @@ def match_intersects(left: DataFrame, right: DataFrame, left_id: str, right_id:
     """
 
     def prepare(df: DataFrame, name: str, ident: str) -> DataFrame:
-        return df.select(F.col(ident).alias(f"__{name}_id"), F.col("geometry").alias(f"__{name}")).withColumn(
-            f"__{name}_level", _box_level(f"__{name}")
+        return df.select(F.col(ident).alias(f"__{name}_id"), F.col("geometry").alias(f"__{name}")).withColumns(
+            {f"__{name}_level": _box_level(f"__{name}"), f"__{name}_edges": ring_edges(F.col(f"__{name}.points"))}
         )
 
     a, b = prepare(left, "a", left_id), prepare(right, "b", right_id)
@@ -192,7 +192,7 @@ def match_intersects(left: DataFrame, right: DataFrame, left_id: str, right_id:
     )
     once = (F.floor(corner_x / size) == F.col("__cx")) & (F.floor(corner_y / size) == F.col("__cy"))
     met = met.filter((F.col("__level") == F.greatest("__a_level", "__b_level")) & boxes & once)
-    ea, eb = ring_edges(F.col("__a.points")), ring_edges(F.col("__b.points"))
+    ea, eb = F.col("__a_edges"), F.col("__b_edges")
     first_a, first_b = F.element_at(F.col("__a.points"), 1), F.element_at(F.col("__b.points"), 1)
     touch = (
         edges_cross(ea, eb)

@@ -224,7 +224,7 @@ def ops_status(
     runs: DataFrame, key: str, run_id: str, status: str, at: str, as_of: Column, stale_hours: int
 ) -> DataFrame:
     """Latest status, counts by outcome and staleness per source, in one aggregate."""
-    ok = F.col(status).isin("COMPLETED", "SUCCEEDED")
+    ok = contract_name(F.col(status), CONTRACT_STATUS) == "SUCCEEDED"
     per = runs.groupBy(key).agg(
         F.max_by(status, F.struct(at, run_id)).alias("latest_status"),
         F.count_if(F.col(status) == "FAILED").alias("n_failed"),
@@ -236,6 +236,16 @@ def ops_status(
     return per.withColumn("is_stale", stale)
 
 
+# Run statuses and modes as recorded, and the contract's names for them.
+CONTRACT_STATUS = {"COMPLETED": "SUCCEEDED"}
+CONTRACT_MODE = {"DISCOVERY": "METADATA_ONLY", "EVIDENCE_ONLY": "VALIDATION_ONLY"}
+
+
+def contract_name(recorded: Column, names: Mapping[str, str]) -> Column:
+    """Contract name of a recorded status or mode; names the contract knows stay as they are."""
+    return F.coalesce(F.element_at(F.create_map(*[F.lit(x) for p in names.items() for x in p]), recorded), recorded)
+
+
 def retry_class(status_code: Column) -> Column:
     """SUCCESS, RETRYABLE (rate limit or server failure) or REVIEW (everything else)."""
     return (
@@ -376,6 +386,11 @@ def observed_fields(df: DataFrame, payload: str) -> DataFrame:
     return df.select(F.explode(names).alias("field_name")).groupBy("field_name").agg(F.count(F.lit(1)).alias("n_records"))
 
 
+def observed_schema(df: DataFrame, payload: str) -> DataFrame:
+    """One row: the merged schema of all records of a VARIANT column, keys in order."""
+    return df.agg(F.schema_of_variant_agg(payload).alias("observed_schema"))
+
+
 def missing_required(observed: DataFrame, required: Sequence[str]) -> DataFrame:
     """Required fields never observed. The observed side is one row per field name."""
     seen = observed.agg(F.collect_set("field_name").alias("seen"))

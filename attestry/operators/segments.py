@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_SEGMENT, _VALUE, _NEAR, _EDGE, _CARRY = "__segment", "__value", "__near", "__edge", "__carry"
+_KEY, _SEGMENT, _VALUE, _NEAR, _EDGE, _CARRY = "__key", "__segment", "__value", "__near", "__edge", "__carry"
 
 
 def same(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> Column:
@@ -22,12 +22,17 @@ def same(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) ->
     return reduce(lambda a, b: a & b, [left[l].eqNullSafe(right[r]) for l, r in pairs])
 
 
-def _attach(rows: DataFrame, summary: DataFrame, on: Sequence[str]) -> DataFrame:
-    renamed = summary
-    for name in on:
-        renamed = renamed.withColumnRenamed(name, f"__s_{name}")
-    joined = rows.join(renamed, same(rows, renamed, [(n, f"__s_{n}") for n in on]), "left")
-    return joined.drop(*[f"__s_{n}" for n in on])
+def _cut(df: DataFrame, keys: Sequence[str], segment: Column) -> DataFrame:
+    """Add the key as one struct, which compares nulls as equal, and the segment.
+
+    Windows, summaries and the join between them then share one hash partitioning, so the rows
+    are shuffled once.
+    """
+    return df.withColumns({_KEY: F.struct(*keys) if keys else F.lit(True), _SEGMENT: F.struct(segment.alias("s"))})
+
+
+def _attach(rows: DataFrame, carry: DataFrame) -> DataFrame:
+    return rows.join(carry, [_KEY, _SEGMENT], "left")
 
 
 def neighbour(
@@ -50,36 +55,36 @@ def neighbour(
     packed = F.struct(*[F.col(v) for v in values])
     if where is not None:
         packed = F.when(where, packed)
-    base = df.withColumn(_SEGMENT, segment).withColumn(_VALUE, packed)
+    base = _cut(df, keys, segment).withColumn(_VALUE, packed)
 
     def direction(name: str) -> Column:
         return F.desc_nulls_last(name) if forward else F.asc_nulls_first(name)
 
-    inside = Window.partitionBy(*keys, _SEGMENT).orderBy(*[direction(o) for o in order])
+    inside = Window.partitionBy(_KEY, _SEGMENT).orderBy(*[direction(o) for o in order])
     inside = inside.rowsBetween(Window.unboundedPreceding, -1)
     rows = base.withColumn(_NEAR, F.last(_VALUE, ignorenulls=True).over(inside))
 
     pick = F.min_by if forward else F.max_by
     rank = F.when(F.col(_VALUE).isNotNull(), F.struct(*[F.col(o) for o in order]))
-    edges = base.groupBy(*keys, _SEGMENT).agg(pick(F.col(_VALUE), rank).alias(_EDGE))
-    across = Window.partitionBy(*keys).orderBy(direction(_SEGMENT)).rowsBetween(Window.unboundedPreceding, -1)
-    carry = edges.select(*keys, _SEGMENT, F.last(_EDGE, ignorenulls=True).over(across).alias(_CARRY))
+    edges = base.groupBy(_KEY, _SEGMENT).agg(pick(F.col(_VALUE), rank).alias(_EDGE))
+    across = Window.partitionBy(_KEY).orderBy(direction(_SEGMENT)).rowsBetween(Window.unboundedPreceding, -1)
+    carry = edges.select(_KEY, _SEGMENT, F.last(_EDGE, ignorenulls=True).over(across).alias(_CARRY))
 
     found = F.coalesce(F.col(_NEAR), F.col(_CARRY))
-    return _attach(rows, carry, [*keys, _SEGMENT]).select(
+    return _attach(rows, carry).select(
         *df.columns, *[found[v].alias(f"{prefix}{v}") for v in values]
     )
 
 
 def numbered(df: DataFrame, keys: Sequence[str], order: Sequence[str], segment: Column, name: str) -> DataFrame:
     """Row number 1..n within a key along ``order``, without one task per key."""
-    base = df.withColumn(_SEGMENT, segment)
-    inside = Window.partitionBy(*keys, _SEGMENT).orderBy(*[F.asc_nulls_first(o) for o in order])
+    base = _cut(df, keys, segment)
+    inside = Window.partitionBy(_KEY, _SEGMENT).orderBy(*[F.asc_nulls_first(o) for o in order])
     rows = base.withColumn(_NEAR, F.row_number().over(inside))
-    sizes = base.groupBy(*keys, _SEGMENT).agg(F.count(F.lit(1)).alias(_EDGE))
-    across = Window.partitionBy(*keys).orderBy(F.asc_nulls_first(_SEGMENT)).rowsBetween(Window.unboundedPreceding, -1)
-    carry = sizes.select(*keys, _SEGMENT, F.coalesce(F.sum(_EDGE).over(across), F.lit(0)).alias(_CARRY))
-    return _attach(rows, carry, [*keys, _SEGMENT]).select(
+    sizes = base.groupBy(_KEY, _SEGMENT).agg(F.count(F.lit(1)).alias(_EDGE))
+    across = Window.partitionBy(_KEY).orderBy(F.asc_nulls_first(_SEGMENT)).rowsBetween(Window.unboundedPreceding, -1)
+    carry = sizes.select(_KEY, _SEGMENT, F.coalesce(F.sum(_EDGE).over(across), F.lit(0)).alias(_CARRY))
+    return _attach(rows, carry).select(
         *df.columns, (F.col(_NEAR) + F.col(_CARRY)).cast("bigint").alias(name)
     )
 
@@ -108,3 +113,20 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], newest_by: Sequence[str])
     """
     order = Window.partitionBy(*keys).orderBy(*[F.desc_nulls_last(c) for c in newest_by])
     return df.withColumn("__rank", F.row_number().over(order)).filter(F.col("__rank") == 1).drop("__rank")
+
+
+BROADCAST_ROWS = 200_000
+
+
+def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Broadcast a side only after counting it (the count stops at the limit); else leave the choice to Spark."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rebalance a scan that arrives in fewer splits than there are cores, for work that is heavy per row.
+
+    A table of many files already has enough splits and is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

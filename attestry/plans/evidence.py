@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from attestry.functions import digest, redact
 from attestry.operators import console, discovery, history, quality, release
+from attestry.operators.segments import spread
 from attestry.plans.registry import Tables, query
 from attestry.plans.review import queue
 from attestry.sources import files, ledger, paged
@@ -34,6 +35,17 @@ def current_release(t: Tables) -> DataFrame:
     return release.current_rows(t.release_rows, releases(t)).select("release_id", "record_key", "generated_at")
 
 
+@query(
+    "current_source_metadata",
+    f"""WITH {RELEASES_SQL} SELECT DISTINCT r.release_id, r.geometry_json AS source_key FROM release_rows r
+        JOIN flagged f ON f.release_id = r.release_id AND f.is_current WHERE r.geometry_json IS NOT NULL""",
+    ["release_rows"],
+)
+def current_source_metadata(t: Tables) -> DataFrame:
+    sources = t.release_rows.filter("geometry_json IS NOT NULL").select("release_id", F.col("geometry_json").alias("source_key")).distinct()
+    return release.current_rows(sources, releases(t))
+
+
 @query("release_status", f"WITH {RELEASES_SQL} SELECT release_id, loaded_at, row_count, is_current FROM flagged", ["release_rows"])
 def release_status(t: Tables) -> DataFrame:
     return release.release_status(releases(t)).select("release_id", "loaded_at", "row_count", "is_current")
@@ -343,7 +355,7 @@ def register_resources(t: Tables) -> DataFrame:
 def relevance(t: Tables) -> DataFrame:
     """Two-word search terms (every word pair of the benchmark texts) against whole document texts."""
     terms = t.benchmark.select(F.explode(discovery.phrases(discovery.tokens(F.col("text")), 2)).alias("term"))
-    return discovery.relevance_match(t.documents.select("doc_id", "text"), "doc_id", ["text"], terms, sizes=(2,))
+    return discovery.relevance_match(spread(t.documents.select("doc_id", "text")), "doc_id", ["text"], terms, sizes=(2,))
 
 
 # --- artifacts and redaction ------------------------------------------------------------------
@@ -397,7 +409,7 @@ PATTERN = r"(?i)((?:token|secret|password|private[_ -]?key|authorization)\s*[=:]
 )
 def redact_text(t: Tables) -> DataFrame:
     masked = redact.redact_text(F.col("text"), limit=None)
-    return t.documents.select(
+    return spread(t.documents.select("doc_id", "text")).select(
         "doc_id",
         digest.sha256_hex(masked).alias("masked_sha256"),
         F.length(masked).cast("bigint").alias("masked_chars"),
@@ -412,7 +424,7 @@ def redact_text(t: Tables) -> DataFrame:
          SELECT doc_id, column_name, CAST(hits AS BIGINT) AS hits FROM s WHERE hits > 0""",
 )
 def secret_scan(t: Tables) -> DataFrame:
-    return quality.secret_scan(t.documents, "doc_id", ["text", "source"])
+    return quality.secret_scan(spread(t.documents.select("doc_id", "text", "source")), "doc_id", ["text", "source"])
 
 
 @query(
@@ -466,6 +478,18 @@ def observed_fields(t: Tables) -> DataFrame:
     return quality.observed_fields(t.surveillance.withColumn("payload", F.parse_json("payload")), "payload")
 
 
+@query(
+    "observed_schema",
+    """WITH k AS (SELECT payload, unnest(json_keys(payload)) AS key FROM surveillance),
+       t AS (SELECT DISTINCT key, CASE json_type(payload, '$.' || key) WHEN 'VARCHAR' THEN 'STRING' WHEN 'UBIGINT' THEN 'BIGINT' END AS kind FROM k),
+       m AS (SELECT key, CASE WHEN COUNT(kind) > 1 THEN 'VARIANT' ELSE MAX(kind) END AS kind FROM t GROUP BY key)
+       SELECT 'OBJECT<' || string_agg(key || ': ' || kind, ', ' ORDER BY key) || '>' AS observed_schema FROM m""",
+    ["surveillance"],
+)
+def observed_schema(t: Tables) -> DataFrame:
+    return quality.observed_schema(t.surveillance.withColumn("payload", F.parse_json("payload")), "payload")
+
+
 @query(
     "missing_required_fields",
     """SELECT f AS field_name FROM (SELECT unnest(['fips', 'year', 'case_status', 'frequency', 'county', 'k']) AS f)
@@ -608,14 +632,14 @@ def direct_file(t: Tables) -> DataFrame:
 
 @query(
     "paged_source",
-    """SELECT user_id AS page_sequence, event_id, event_type, COUNT(*) OVER (PARTITION BY user_id) AS page_rows FROM events""",
+    """SELECT day(ts) AS page_sequence, event_id, event_type, COUNT(*) OVER (PARTITION BY day(ts)) AS page_rows FROM events""",
 )
 def paged_source(t: Tables) -> DataFrame:
     """Events laid out as numbered pages of JSON, read through the paged data source."""
     from attestry.session import scratch_path
 
     path = scratch_path(t.spark, "pages").removeprefix("file:")
-    t.events.select(F.col("user_id").alias("page"), "event_id", "event_type").repartition("page").write.partitionBy("page").json(path)
+    t.events.select(F.dayofmonth("ts").alias("page"), "event_id", "event_type").repartition("page").write.partitionBy("page").json(path)
     paged.register(t.spark)
     record = F.from_json("record", "event_id bigint, event_type string")
     rows = t.spark.read.format("paged_json").load(path).withColumn("r", record)

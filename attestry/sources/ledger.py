@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from attestry.functions.digest import artifact_key, row_hash, sha256_hex
@@ -95,15 +95,29 @@ def new_raw_rows(incoming: DataFrame, loaded: DataFrame, identity: Sequence[str]
     return keyed.dropDuplicates(keys).join(known, keys, "left_anti").drop(*keys)
 
 
+RAW_BUCKETS = 16
+
+
+def _version_bucket() -> Column:
+    return F.pmod(F.xxhash64(F.col("data_source_version_id").cast("string")), F.lit(RAW_BUCKETS)).cast("int")
+
+
 def append_raw_idempotent(incoming: DataFrame, root: str, table: str, batch_id: str) -> None:
-    """Append only what published batches do not hold yet."""
+    """Append only what published batches do not hold yet.
+
+    RAW is laid out by a bucket of the source version. Loading a batch reads identities of the
+    buckets it touches (at most ``RAW_BUCKETS`` numbers come to the driver), not the whole table.
+    Rebalancing before the write merges small files and splits a hot version.
+    """
     spark = incoming.sparkSession
+    incoming = incoming.withColumn("version_bucket", _version_bucket())
+    loaded = incoming.limit(0)
     if _exists(spark, f"{root}/{table}"):
-        loaded = read_ledger(spark, root, table).filter(F.col("batch_id") != batch_id)
-        incoming = new_raw_rows(incoming, loaded)
-    else:
-        incoming = new_raw_rows(incoming, incoming.limit(0))
-    append_ledger(root, batch_id, {table: incoming})
+        touched = [r[0] for r in incoming.select("version_bucket").distinct().collect()]
+        others = read_ledger(spark, root, table).filter(F.col("batch_id") != batch_id)
+        loaded = others.filter(F.col("version_bucket").isin(touched))
+    fresh = new_raw_rows(incoming, loaded).hint("rebalance", "version_bucket")
+    append_ledger(root, batch_id, {table: fresh}, {table: ["version_bucket"]})
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -185,6 +199,6 @@ def with_current_flag(releases: DataFrame, pointers: DataFrame) -> DataFrame:
 
 
 def newest_release(releases: DataFrame, by: str) -> DataFrame:
-    """Flag the release with the greatest ``by`` (a registry holds one row per release)."""
-    top = Window.orderBy(F.desc_nulls_last(by), F.desc("release_id"))
-    return releases.withColumn("is_current", F.row_number().over(top) == 1)
+    """Flag the release with the greatest ``by``."""
+    newest = releases.agg(F.max_by("release_id", F.struct(by, "release_id"))).scalar()
+    return releases.withColumn("is_current", F.col("release_id") == newest)

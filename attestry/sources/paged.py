@@ -118,7 +118,7 @@ class PagedJsonSource(DataSource):
         return SCHEMA
 
     def reader(self, schema: StructType) -> DataSourceReader:
-        return PagedReader(dict(self.options))
+        return PagedReader(self.options)
 
 
 def register(spark: SparkSession) -> None:

@@ -80,8 +80,10 @@ def windowed_counts(stream: DataFrame, at: str, source: str, window: str, latene
 
     Rows later than ``lateness`` are not counted here; ``record_arrivals`` keeps the whole count.
     """
+    # Watermarks are defined on zoned timestamps only.
     return (
-        stream.withWatermark(at, lateness)
+        stream.withColumn(at, F.col(at).cast("timestamp"))
+        .withWatermark(at, lateness)
         .groupBy(F.window(at, window).alias("w"), F.col(source))
         .agg(F.count(F.lit(1)).alias("n"))
         .select(F.col("w.start").alias("window_start"), source, "n")
