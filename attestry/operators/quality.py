@@ -392,10 +392,10 @@ def observed_schema(df: DataFrame, payload: str) -> DataFrame:
 
 
 def missing_required(observed: DataFrame, required: Sequence[str]) -> DataFrame:
-    """Required fields never observed. The observed side is one row per field name."""
-    seen = observed.agg(F.collect_set("field_name").alias("seen"))
-    wanted = F.array(*[F.lit(r) for r in required])
-    return seen.select(F.explode(F.array_except(wanted, "seen")).alias("field_name"))
+    """Required fields never observed."""
+    names = F.array(*[F.lit(r) for r in required])
+    wanted = observed.sparkSession.range(1).select(F.explode(names).alias("field_name"))
+    return wanted.join(observed.select("field_name"), "field_name", "left_anti")
 
 
 def profile_contract(profiles: DataFrame, order_clause: str = ":id ASC") -> DataFrame:

@@ -116,11 +116,20 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], newest_by: Sequence[str])
 
 
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 32 * 1024 * 1024
 
 
-def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast a side only after counting it (the count stops at the limit); else leave the choice to Spark."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> DataFrame:
+    """Broadcast a side only after measuring it; otherwise leave the choice of join to Spark.
+
+    The measurement stops at ``rows``; the size is that of the rows as text.
+    """
+    measured = (
+        df.limit(rows + 1)
+        .agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length(F.to_json(F.struct(*df.columns)))).alias("size"))
+        .first()
+    )
+    return F.broadcast(df) if measured.n <= rows and (measured.size or 0) <= size else df
 
 
 def spread(df: DataFrame) -> DataFrame:

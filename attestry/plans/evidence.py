@@ -380,17 +380,19 @@ def artifact_registry(t: Tables) -> DataFrame:
     return marked.select("doc_id", "sha256", "byte_count", "artifact_uri", "canonical_id", "n_observations", "is_canonical")
 
 
-_BLOCK = "sha256(string_agg(pos || ':' || d, chr(10) ORDER BY pos, d))"
+_LIST = "sha256(string_agg(pos || ':' || d, chr(10) ORDER BY pos, d))"
 
 
 @query(
     "manifest",
-    f"""WITH p AS (SELECT DISTINCT ingestion_run_id, request_sequence AS pos, sha256(text) AS d FROM turns),
-        n AS (SELECT ingestion_run_id, COUNT(*) AS artifact_count FROM p GROUP BY 1),
-        b1 AS (SELECT ingestion_run_id, CAST(floor(pos / 1024) AS BIGINT) AS block, {_BLOCK} AS d FROM p GROUP BY ALL),
-        b2 AS (SELECT ingestion_run_id, CAST(floor(block / 1024) AS BIGINT) AS pos, sha256(string_agg(block || ':' || d, chr(10) ORDER BY block)) AS d FROM b1 GROUP BY 1, 2),
-        b3 AS (SELECT ingestion_run_id, {_BLOCK} AS manifest_sha256 FROM b2 GROUP BY ALL)
-        SELECT ingestion_run_id, artifact_count, manifest_sha256 FROM n JOIN b3 USING (ingestion_run_id)""",
+    f"""WITH p AS (SELECT DISTINCT ingestion_run_id AS run, request_sequence AS page, sha256(text) AS d, left(sha256(text), 2) AS pos FROM turns),
+        n AS (SELECT run, COUNT(*) AS artifact_count FROM p GROUP BY 1),
+        prefixes AS (SELECT run, page, pos, {_LIST} AS d FROM p GROUP BY ALL),
+        pages AS (SELECT run, page AS pos, {_LIST.replace("pos", "prefixes.pos")} AS d FROM prefixes GROUP BY run, page),
+        blocks AS (SELECT run, CAST(floor(pages.pos / 1024) AS BIGINT) AS pos, {_LIST.replace("pos", "pages.pos")} AS d FROM pages GROUP BY 1, 2),
+        wide AS (SELECT run, CAST(floor(blocks.pos / 1024) AS BIGINT) AS pos, {_LIST.replace("pos", "blocks.pos")} AS d FROM blocks GROUP BY 1, 2),
+        whole AS (SELECT run, {_LIST} AS manifest_sha256 FROM wide GROUP BY run)
+        SELECT run AS ingestion_run_id, artifact_count, manifest_sha256 FROM n JOIN whole USING (run)""",
     ["turns"],
 )
 def manifest(t: Tables) -> DataFrame:

@@ -142,32 +142,35 @@ def register_artifacts(
 
 
 MANIFEST_BLOCK = 1024
-MANIFEST_LEVELS = 3
+
+
+def _hash_lists(entries: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Digest of the ordered ``position:digest`` lines of each group, and the number of artifacts below it."""
+    line = lambda p: F.concat(p["pos"].cast("string"), F.lit(":"), p["d"])
+    ordered = F.transform(F.array_sort(F.collect_list(F.struct("pos", "d"))), line)
+    return entries.groupBy(*keys).agg(sha256_hex(F.array_join(ordered, "\n")).alias("d"), F.sum("n").alias("n"))
 
 
 def build_manifest(artifacts: DataFrame, run: str, sequence: str, digest: str) -> DataFrame:
     """One manifest digest per acquisition over its ordered page digests.
 
-    A tree of blocks: digests of up to ``MANIFEST_BLOCK`` consecutive pages are hashed together,
-    then blocks of blocks. No list grows with the size of a run.
+    A tree of digests, so that no list grows with a run: repeated retrievals of a page are hashed
+    by digest prefix, prefixes by page, pages by block of ``MANIFEST_BLOCK``, blocks by block of
+    blocks, and those by run.
     """
-    pages = artifacts.select(run, F.col(sequence).cast("bigint").alias("__at"), F.col(digest).alias("__d")).distinct()
-    level = pages.withColumn("__n", F.lit(1).cast("bigint"))
-    for last in (*[False] * (MANIFEST_LEVELS - 1), True):
-        block = F.lit(0).cast("bigint") if last else F.floor(F.col("__at") / MANIFEST_BLOCK)
-        level = level.groupBy(run, block.alias("__block")).agg(
-            sha256_hex(
-                F.array_join(
-                    F.transform(
-                        F.array_sort(F.collect_list(F.struct("__at", "__d"))),
-                        lambda p: F.concat(p["__at"].cast("string"), F.lit(":"), p["__d"]),
-                    ),
-                    "\n",
-                )
-            ).alias("__d"),
-            F.sum("__n").alias("__n"),
-        ).withColumnRenamed("__block", "__at")
-    return level.select(run, F.col("__n").alias("artifact_count"), F.col("__d").alias("manifest_sha256"))
+    block = F.floor(F.col("pos") / MANIFEST_BLOCK)
+    leaves = artifacts.select(
+        F.col(run).alias("run"), F.col(sequence).cast("bigint").alias("page"), F.col(digest).alias("d")
+    ).distinct()
+    leaves = leaves.withColumns({"pos": F.left("d", F.lit(2)), "n": F.lit(1).cast("bigint")})
+    prefixes = _hash_lists(leaves.withColumn("prefix", F.col("pos")), ["run", "page", "prefix"])
+    pages = _hash_lists(prefixes.withColumnRenamed("prefix", "pos"), ["run", "page"])
+    level = pages.withColumnRenamed("page", "pos")
+    for _ in range(2):
+        level = _hash_lists(level.withColumn("block", block), ["run", "block"]).withColumnRenamed("block", "pos")
+    return _hash_lists(level, ["run"]).select(
+        F.col("run").alias(run), F.col("n").alias("artifact_count"), F.col("d").alias("manifest_sha256")
+    )
 
 
 def close_run(run_id: Column, status: str, at: Column, runs: DataFrame, status_column: str = "status") -> DataFrame:

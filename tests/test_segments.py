@@ -95,6 +95,7 @@ def test_join_on_key_keeps_null_keys_and_lets_aqe_split_a_hot_key(spark):
 def test_broadcast_only_after_counting(spark):
     small = spark.range(10)
     assert "broadcast" in broadcast_if_small(small, 10)._jdf.queryExecution().logical().toString()
+    assert "broadcast" not in broadcast_if_small(small, 10, size=50)._jdf.queryExecution().logical().toString()
     assert "broadcast" not in broadcast_if_small(small, 9)._jdf.queryExecution().logical().toString()
 
 
