@@ -47,13 +47,14 @@ def value_state(payload: Column, key: str, markers: Sequence[str] = STATE_MARKER
     """One of MISSING, NULL, a marker in capitals, ZERO or VALUE, for one key of a VARIANT record."""
     path = f"$['{key}']"
     text = F.try_variant_get(payload, path, "string")
-    number = F.try_variant_get(payload, path, "double")
-    state = F.when(F.variant_get(payload, path, "variant").isNull(), "MISSING").when(
-        F.is_variant_null(F.variant_get(payload, path, "variant")), "NULL"
+    absent = F.when(F.variant_get(payload, path, "variant").isNull(), "MISSING").otherwise("NULL")
+    word = F.lower(text)
+    return (
+        F.when(text.isNull(), absent)
+        .when(word.isin(*markers), F.upper(F.replace(word, F.lit(" "), F.lit("_"))))
+        .when(F.try_variant_get(payload, path, "double") == 0, "ZERO")
+        .otherwise("VALUE")
     )
-    for word in markers:
-        state = state.when(F.lower(text) == word, word.upper().replace(" ", "_"))
-    return state.when(number == 0, "ZERO").otherwise("VALUE")
 
 
 @dataclass(frozen=True)

@@ -50,17 +50,19 @@ def approval_queue(
                 "latest_decision_at": F.lit(None).cast(decisions.schema["decided_at"].dataType),
             }
         )
-    described = waiting.join(
+    # One row per resource: the joins on the resource share one partitioning, the dataset comes last.
+    assessed = waiting.join(assessment, "resource_key", "left")
+    flagged = flag_exists(assessed, material, "resource_key", "has_material_schema_change", unique=True)
+    return flagged.join(
         datasets.select("catalog_dataset_id", "catalog_name", "dataset_key"), "catalog_dataset_id", "left"
-    ).join(assessment, "resource_key", "left")
-    return flag_exists(described, material, "resource_key", "has_material_schema_change")
+    )
 
 
 def approval_detail(queue: DataFrame, profiles: DataFrame, documents: DataFrame, schemas: DataFrame) -> DataFrame:
     """Queue rows with their open access profile and the number of document and schema snapshots."""
     with_profile = join_open(queue, profiles, "resource_key", "effective_to")
-    counted = count_matches(with_profile, documents, "resource_key", "document_snapshot_count")
-    return count_matches(counted, schemas, "resource_key", "schema_snapshot_count")
+    counted = count_matches(with_profile, documents, "resource_key", "document_snapshot_count", unique=True)
+    return count_matches(counted, schemas, "resource_key", "schema_snapshot_count", unique=True)
 
 
 def queue_filter(

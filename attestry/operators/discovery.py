@@ -209,7 +209,7 @@ def relevance_match(
     found = F.array_distinct(F.flatten(F.array(*[phrases(tokens(F.col(f)), n) for f in fields for n in sizes])))
     said = resources.select(id_column, F.explode(found).alias("phrase"))
     hits = said.join(broadcast_if_small(wanted), "phrase").groupBy(id_column).agg(F.count(F.lit(1)).alias("term_hits"))
-    return join_on_key(resources.select(id_column), hits, [id_column], "left").withColumn(
+    return resources.select(id_column).join(hits, id_column, "left").withColumn(
         "term_hits", F.coalesce(F.col("term_hits"), F.lit(0)).cast("bigint")
     )
 

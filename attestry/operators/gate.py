@@ -36,16 +36,22 @@ def gate(raw: DataFrame, versions: DataFrame) -> DataFrame:
     return raw.join(allowed, "data_source_version_id", "left_semi")
 
 
-def flag_exists(df: DataFrame, matches: DataFrame, key: str, name: str) -> DataFrame:
-    """EXISTS as a column; matches collapse to one row per key before they are joined."""
+def flag_exists(df: DataFrame, matches: DataFrame, key: str, name: str, unique: bool = False) -> DataFrame:
+    """EXISTS as a column; matches collapse to one row per key before they are joined.
+
+    ``unique`` says that ``df`` has one row per key: then no key can be hot, and the join may use
+    the partitioning that is already there.
+    """
     found = matches.select(key).distinct().withColumn(name, F.lit(True))
-    return join_on_key(df, found, [key], "left").withColumn(name, F.coalesce(F.col(name), F.lit(False)))
+    joined = df.join(found, key, "left") if unique else join_on_key(df, found, [key], "left")
+    return joined.withColumn(name, F.coalesce(F.col(name), F.lit(False)))
 
 
-def count_matches(df: DataFrame, matches: DataFrame, key: str, name: str) -> DataFrame:
-    """Correlated COUNT(*) as a column, zero where there is no match."""
+def count_matches(df: DataFrame, matches: DataFrame, key: str, name: str, unique: bool = False) -> DataFrame:
+    """Correlated COUNT(*) as a column, zero where there is no match. ``unique`` as above."""
     counts = matches.groupBy(key).agg(F.count(F.lit(1)).alias(name))
-    return join_on_key(df, counts, [key], "left").withColumn(name, F.coalesce(F.col(name), F.lit(0)).cast("bigint"))
+    joined = df.join(counts, key, "left") if unique else join_on_key(df, counts, [key], "left")
+    return joined.withColumn(name, F.coalesce(F.col(name), F.lit(0)).cast("bigint"))
 
 
 def unresolved_changes(changes: DataFrame, decisions: DataFrame | None = None) -> DataFrame:

@@ -11,11 +11,13 @@ from attestry.operators.segments import join_on_key, latest_per_key, neighbour
 
 __all__ = [
     "close_intervals",
+    "current_datasets",
     "current_status",
     "dedupe_keep_observations",
     "document_diff",
     "join_open",
     "latest_per_key",
+    "latest_resources",
     "open_rows",
     "prior_success",
     "retire_orphans",
@@ -25,6 +27,16 @@ __all__ = [
 ]
 
 
+def latest_resources(resources: DataFrame) -> DataFrame:
+    """Newest snapshot of each resource: repeated evidence runs register a resource again, the queue shows it once."""
+    return latest_per_key(resources, ["resource_key"], ["registered_at", "catalog_resource_id"])
+
+
+def current_datasets(datasets: DataFrame) -> DataFrame:
+    """Newest metadata snapshot of each dataset; the stored flag is never cleared and is not used."""
+    return latest_per_key(datasets, ["dataset_key"], ["discovered_at", "catalog_dataset_id"])
+
+
 def month_of(column: str) -> Column:
     return F.date_trunc("month", F.col(column))
 
@@ -64,7 +76,7 @@ def open_rows(df: DataFrame, end: str) -> DataFrame:
 
 def join_open(resources: DataFrame, history: DataFrame, key: str, end: str) -> DataFrame:
     """Every resource with its open history row, if any; the filter runs before the join."""
-    return join_on_key(resources, open_rows(history, end).drop(end), [key], "left")
+    return resources.join(open_rows(history, end).drop(end), key, "left")
 
 
 def valid_at(
@@ -157,7 +169,7 @@ def dedupe_keep_observations(df: DataFrame, keys: Sequence[str], order: Sequence
     firsts = df.groupBy(*keys).agg(
         F.min_by(id_column, F.struct(*order)).alias("canonical_id"), F.count(F.lit(1)).alias("n_observations")
     )
-    marked = join_on_key(df, firsts, keys, "left")
+    marked = join_on_key(df, firsts, keys, "left", nulls_match=True)
     return marked.withColumn("is_canonical", F.col(id_column).eqNullSafe(F.col("canonical_id")))
 
 

@@ -9,19 +9,12 @@ number is the length of the axis and not the number of rows, are ever ordered pe
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _KEY, _SEGMENT, _VALUE, _NEAR, _EDGE, _CARRY = "__key", "__segment", "__value", "__near", "__edge", "__carry"
 
 
-def same(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> Column:
-    """Null-safe equality over pairs of column names."""
-    return reduce(lambda a, b: a & b, [left[l].eqNullSafe(right[r]) for l, r in pairs])
-
-
 def _cut(df: DataFrame, keys: Sequence[str], segment: Column) -> DataFrame:
     """Add the key as one struct, which compares nulls as equal, and the segment.
 
@@ -89,19 +82,25 @@ def numbered(df: DataFrame, keys: Sequence[str], order: Sequence[str], segment:
     )
 
 
-def join_on_key(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
+def join_on_key(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left", nulls_match: bool = False
+) -> DataFrame:
     """Join rows to a relation aggregated on the same keys, so that AQE can split a hot key.
 
     AQE splits a skewed partition only where a shuffle feeds the join directly. An aggregate that
     is already partitioned by the key would suppress that shuffle. Adding the key's own hash to
     the condition changes no result and makes both inputs shuffle for the join; if the aggregate
     turns out small, AQE still turns the join into a broadcast by its measured size.
+    ``nulls_match`` treats a null key as a value of its own, as grouping does.
     """
     renamed = right.withColumn("__h_right", F.xxhash64(*keys))
     for name in keys:
         renamed = renamed.withColumnRenamed(name, f"__r_{name}")
     hashed = left.withColumn("__h_left", F.xxhash64(*keys))
-    condition = (F.col("__h_left") == F.col("__h_right")) & same(hashed, renamed, [(k, f"__r_{k}") for k in keys])
+    condition = F.col("__h_left") == F.col("__h_right")
+    for name in keys:
+        pair = hashed[name].eqNullSafe(renamed[f"__r_{name}"]) if nulls_match else hashed[name] == renamed[f"__r_{name}"]
+        condition = condition & pair
     return hashed.join(renamed, condition, how).drop("__h_left", "__h_right", *[f"__r_{k}" for k in keys])
 
 

@@ -661,3 +661,94 @@ def export_summary(t: Tables) -> DataFrame:
     waiting = queue(t).select("resource_key", "resource_type", "catalog_name", F.lit("{}").alias("resource_payload"))
     console.export_summary(waiting, path)
     return t.spark.read.option("header", True).schema("resource_key bigint, resource_type string, catalog_name string").csv(path)
+
+
+# --- units of work ----------------------------------------------------------------------------
+
+
+@query(
+    "record_discovery",
+    f"""WITH {PLAN_SQL}, r AS (SELECT request_sequence, catalog_id, term, term_key, contains(term_key, 'red ') AS failed,
+            '{{"n":' || request_sequence || ',"term":"' || term || '"}}' AS payload FROM numbered)
+        SELECT request_sequence, 'https://catalog.example.org/' || lower(catalog_id) AS endpoint,
+          '{{"X-Api-Key":"[REDACTED]","catalog_id":"' || catalog_id || '","term":"' || term || '"}}' AS redacted_request,
+          CAST(CASE WHEN failed THEN 503 ELSE 200 END AS BIGINT) AS status_code,
+          CASE WHEN NOT failed THEN sha256(payload) END AS response_sha256, CASE WHEN NOT failed THEN CAST(length(payload) AS BIGINT) END AS byte_count,
+          CASE WHEN NOT failed THEN 'dev/catalog:' || lower(catalog_id) || ':' || left(sha256(term_key), 16) || '/run-1/' || sha256(payload) || '.bin' END AS artifact_uri,
+          'PARTIAL' AS run_status FROM r""",
+)
+def record_discovery(t: Tables) -> DataFrame:
+    """A discovery run over the search plan, some requests failed, written as one unit and read back."""
+    from attestry.session import scratch_path
+    from attestry.sources import acquire
+
+    root = scratch_path(t.spark, "discovery")
+    numbered_plan = search_plan_rows(t)
+    endpoint = F.concat(F.lit("https://catalog.example.org/"), F.lower("catalog_id"))
+    failed = F.contains(F.col("term_key"), F.lit("red "))
+    body = F.to_json(F.struct(F.col("term"), F.col("request_sequence").alias("n")))
+    responses = numbered_plan.withColumns(
+        {
+            "url": discovery.request_url(endpoint, F.create_map(F.lit("rows"), F.lit("100")), F.lit("q"), F.col("term")),
+            "headers": F.create_map(F.lit("X-Api-Key"), F.lit("k-123")),
+            "status_code": F.when(failed, 503).otherwise(200),
+            "response": F.when(~failed, body),
+        }
+    ).drop("request_sequence")
+    tables = acquire.discovery_tables(responses, "run-1", "0" * 64, "dev", F.current_timestamp(), F.current_timestamp())
+    ledger.append_ledger(root, "run-1", tables)
+    runs = ledger.read_ledger(t.spark, root, "ingestion_runs").withColumn("at", F.coalesce("completed_at", "started_at"))
+    status = history.current_status(runs, "ingestion_run_id", "at", "step").select("ingestion_run_id", F.col("status").alias("run_status"))
+    artifacts = ledger.read_ledger(t.spark, root, "raw_artifacts").select("ingestion_request_id", "byte_count", "artifact_uri")
+    requests = ledger.read_ledger(t.spark, root, "ingestion_requests").join(artifacts, "ingestion_request_id", "left").join(status, "ingestion_run_id")
+    return requests.select(
+        "request_sequence", "endpoint", F.to_json("redacted_request").alias("redacted_request"), "status_code", "response_sha256",
+        "byte_count", "artifact_uri", "run_status",
+    )
+
+
+@query(
+    "collect_evidence",
+    """WITH s AS (SELECT user_id, event_id, '{"event_type":"' || event_type || '","k":' || json_extract_string(props, '$.k') || '}' AS record,
+             ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY event_id) AS n FROM events),
+       g AS (SELECT user_id, COUNT(*) AS sample_rows, sha256('[' || string_agg(record, ',' ORDER BY n) || ']') AS sample_sha256 FROM s WHERE n <= 25 GROUP BY 1),
+       c AS (SELECT c_custkey AS resource_key, c_mktsegment, CASE WHEN c_acctbal >= 0 THEN '{"name":"' || c_name || '"}' END AS document FROM customer)
+       SELECT resource_key, CASE WHEN c_mktsegment = 'MACHINERY' THEN 'NO_DETERMINISTIC_ORDER' WHEN document IS NULL THEN 'METADATA_MISSING'
+                WHEN sample_rows IS NULL THEN 'SAMPLE_EMPTY' END AS refusal,
+              CASE WHEN c_mktsegment <> 'MACHINERY' AND document IS NOT NULL AND sample_rows IS NOT NULL THEN sample_rows END AS sample_rows,
+              CASE WHEN c_mktsegment <> 'MACHINERY' AND document IS NOT NULL AND sample_rows IS NOT NULL THEN sample_sha256 END AS sample_sha256,
+              CASE WHEN c_mktsegment <> 'MACHINERY' AND document IS NOT NULL AND sample_rows IS NOT NULL THEN sha256(document) END AS metadata_sha256,
+              CASE WHEN c_mktsegment <> 'MACHINERY' AND document IS NOT NULL AND sample_rows IS NOT NULL THEN 93.5 END AS overall_score
+       FROM c LEFT JOIN g ON g.user_id = c.resource_key""",
+)
+def collect_evidence(t: Tables) -> DataFrame:
+    """Evidence of every customer's source in one unit; refused sources keep their reason."""
+    from attestry.session import scratch_path
+    from attestry.sources import acquire
+
+    root = scratch_path(t.spark, "evidence")
+    record = F.to_json(F.struct(F.get_json_object("props", "$.k").cast("bigint").alias("k"), "event_type"))
+    records = t.events.select(F.col("user_id").alias("resource_key"), F.col("event_id").alias("record_id"), record.alias("record"))
+    metadata = t.customer.filter("c_acctbal >= 0").select(
+        F.col("c_custkey").alias("resource_key"), F.to_json(F.struct(F.col("c_name").alias("name"))).alias("document")
+    )
+    profiles = t.customer.select(
+        F.col("c_custkey").alias("resource_key"), F.lit(1).alias("profile_version"), F.lit("SODA").alias("connector_name"),
+        F.lit("https://data.example.org/r.json?x=1").alias("endpoint_template"), F.lit("https://data.example.org/m").alias("metadata_endpoint_template"),
+        F.when(F.col("c_mktsegment") != "MACHINERY", ":id ASC").alias("deterministic_order_clause"), F.lit("FULL_REFRESH").alias("incremental_strategy"),
+    )
+    scores = {n: F.lit(v) for n, v in {"relevance": 95, "joinability": 95, "accessibility": 95, "documentation": 90, "quality": 90}.items()}
+    tables = acquire.evidence_tables(metadata, records, profiles, scores, "dev", F.lit("2024-02-01").cast("timestamp"), required=("k", "event_type"))
+    ledger.append_ledger(root, "evidence-1", tables)
+
+    def back(name: str) -> DataFrame:
+        return ledger.read_ledger(t.spark, root, name)
+
+    requests = back("ingestion_requests").join(back("ingestion_runs").select("ingestion_run_id", "resource_key"), "ingestion_run_id")
+    sample = requests.filter("request_purpose = 'ORDERED_SOURCE_SAMPLE'").select(
+        "resource_key", F.col("retrieved_row_count").alias("sample_rows"), F.col("response_sha256").alias("sample_sha256")
+    )
+    documents = back("source_document_snapshots").select("resource_key", F.col("content_sha256").alias("metadata_sha256"))
+    assessed = back("dataset_quality_assessments").select("resource_key", F.col("overall_score").cast("double").alias("overall_score"))
+    accepted = sample.join(documents, "resource_key").join(assessed, "resource_key")
+    return accepted.unionByName(back("refused").select("resource_key", "refusal"), allowMissingColumns=True)

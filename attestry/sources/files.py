@@ -82,7 +82,13 @@ def bundle_release(bundle: DataFrame, release_id: str, sha256: str, methodology:
     )
 
 
+def content_digest(spark: SparkSession, path: str) -> DataFrame:
+    """SHA-256 of the uncompressed text of whole files."""
+    texts = spark.read.option("wholetext", True).text(path)
+    return texts.select(F.col("_metadata.file_path").alias("path"), F.sha2("value", 256).alias("sha256"))
+
+
 def file_digest(spark: SparkSession, path: str) -> DataFrame:
-    """SHA-256 and size of whole files, unread by any parser."""
+    """SHA-256 and size of whole files as stored, unread by any parser."""
     files = spark.read.format("binaryFile").load(path)
     return files.select("path", F.col("length").alias("byte_count"), F.sha2("content", 256).alias("sha256"))

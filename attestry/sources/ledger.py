@@ -20,6 +20,10 @@ PUBLISHED = "published"
 
 
 def _write_batch(df: DataFrame, path: str, batch_id: str, partitions: Sequence[str] = ()) -> None:
+    if not _exists(df.sparkSession, path):
+        # A file without rows fixes the schema, so that a table whose batches are empty can be read.
+        empty = "/".join(["batch_id=__schema__", *[f"{p}=0" for p in partitions]])
+        df.limit(0).drop(*partitions).coalesce(1).write.mode("overwrite").parquet(f"{path}/{empty}")
     (
         df.withColumn("batch_id", F.lit(batch_id))
         .write.mode("overwrite")

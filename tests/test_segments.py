@@ -87,9 +87,12 @@ def test_join_on_key_keeps_null_keys_and_lets_aqe_split_a_hot_key(spark):
             spark.conf.set(key, value) if value is not None else spark.conf.unset(key)
     df = skewed(spark)
     stats = df.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
-    joined = join_on_key(df, stats, ["k"], "left")
+    joined = join_on_key(df, stats, ["k"], "left", nulls_match=True)
     assert joined.count() == df.count()
-    assert joined.filter("k IS NULL AND n IS NULL").isEmpty()
+    assert joined.filter("n IS NULL").isEmpty()
+    plain = join_on_key(df, stats, ["k"], "left")
+    assert plain.count() == df.count()
+    assert plain.filter("n IS NULL").count() == df.filter("k IS NULL").count() > 0
 
 
 def test_broadcast_only_after_counting(spark):

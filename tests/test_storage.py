@@ -24,6 +24,13 @@ def test_unpublished_batches_are_invisible_and_reruns_replace(spark, tmp_path):
     assert ledger.read_ledger(spark, root, "b").count() == 2
 
 
+def test_tables_without_rows_can_be_read(spark, tmp_path):
+    root = str(tmp_path / "l")
+    ledger.append_ledger(root, "1", {"a": spark.range(0), "b": spark.range(3).withColumn("p", F.lit(1))}, {"b": ["p"]})
+    assert ledger.read_ledger(spark, root, "a").count() == 0
+    assert ledger.read_ledger(spark, root, "b").filter("p = 1").count() == 3
+
+
 def raw(spark, *records):
     df = spark.createDataFrame(records, "i string, p string")
     return ledger.raw_rows(
@@ -151,3 +158,43 @@ def test_trace_ends_on_cycles_and_counts_diamonds_once(spark):
     chain = spark.createDataFrame([(str(i), str(i + 1)) for i in range(6)], "output_object string, input_object string")
     with pytest.raises(ValueError):
         lineage.trace_lineage(chain, spark.createDataFrame([("0",)], "asset string"), max_depth=3)
+
+
+def test_load_release_checks_before_it_writes(spark, tmp_path):
+    import gzip
+    import hashlib
+
+    from attestry.sources import acquire
+    from test_policy import feature
+
+    def write(*features):
+        doc = {"schema_version": "0.2.0", "generated_at": "2026-08-06T05:37:16Z", "scope": "s", "score_defaults": {"w": 1},
+               "sources": [{"key": "k", "label": "l", "vintage": "v", "url": "u", "note": "n"}], "feature_collection": {"features": list(features)}}
+        path = tmp_path / "b.json.gz"
+        text = json.dumps(doc, indent=1).encode()
+        path.write_bytes(gzip.compress(text))
+        return str(path), hashlib.sha256(text).hexdigest()
+
+    root = str(tmp_path / "atlas")
+    path, digest = write(feature("01001"), feature("01003"))
+    with pytest.raises(ValueError, match="checksum"):
+        acquire.load_release(spark, path, root, "r1", "0" * 64, "m", "l", 2)
+    with pytest.raises(ValueError, match="county_count"):
+        acquire.load_release(spark, path, root, "r1", digest, "m", "l", 3)
+    acquire.load_release(spark, path, root, "r1", digest, "m", "l", 2)
+    acquire.load_release(spark, path, root, "r1", digest, "m", "l", 2)
+    assert spark.read.parquet(f"{root}/county_atlas").count() == 2
+    assert spark.read.parquet(f"{root}/source_metadata").count() == 1
+    assert spark.read.parquet(f"{root}/dataset_release").count() == 1
+    path, digest = write(feature("01001"), feature("0100x"))
+    with pytest.raises(ValueError, match="fips_format"):
+        acquire.load_release(spark, path, root, "r2", digest, "m", "l", 2)
+    assert spark.read.parquet(f"{root}/dataset_release").count() == 1
+
+
+def test_repeated_registrations_count_once(spark):
+    from attestry.operators import history
+
+    rows = [("1", "r", datetime(2026, 1, 1)), ("2", "r", datetime(2026, 1, 2)), ("3", "q", datetime(2026, 1, 1))]
+    df = spark.createDataFrame(rows, "catalog_resource_id string, resource_key string, registered_at timestamp")
+    assert sorted(r.catalog_resource_id for r in history.latest_resources(df).collect()) == ["2", "3"]
