@@ -84,7 +84,7 @@ def bundle_release(bundle: DataFrame, release_id: str, sha256: str, methodology:
 
 def content_digest(spark: SparkSession, path: str) -> DataFrame:
     """SHA-256 of the uncompressed text of whole files."""
-    texts = spark.read.option("wholetext", True).text(path)
+    texts = spark.read.text(path, wholetext=True)
     return texts.select(F.col("_metadata.file_path").alias("path"), F.sha2("value", 256).alias("sha256"))
 
 
