@@ -68,6 +68,20 @@ def _cells(level: int, df: DataFrame, prefix: str) -> DataFrame:
     return df.withColumns({f"{prefix}{a}": F.floor((F.col(a) + 1) / size) for a in _AXES})
 
 
+def _prune(live: DataFrame, point_id: str, level: int) -> DataFrame:
+    """Drop cubes whose nearest corner is beyond the farthest corner of the point's best cube."""
+    size = 2.0 ** (1 - level)
+    near, far = F.lit(0.0), F.lit(0.0)
+    for a in _AXES:
+        low = F.col(f"c{a}") * size - 1
+        out = F.greatest(low - F.col(a), F.col(a) - (low + size), F.lit(0.0))
+        reach = F.greatest(F.abs(F.col(a) - low), F.abs(F.col(a) - (low + size)))
+        near, far = near + out * out, far + reach * reach
+    best = F.min(far).over(Window.partitionBy(point_id))
+    kept = live.withColumns({"__near": near, "__best": best})
+    return kept.filter(F.col("__near") <= F.col("__best") + 1e-12).drop("__near", "__best")
+
+
 def nearest_station(
     points: DataFrame, stations: DataFrame, point_id: str, station_id: str, bits: int = 2, depth: int = 8
 ) -> DataFrame:
@@ -82,30 +96,21 @@ def nearest_station(
     where = unit_vector(F.col("lon"), F.col("lat"))
     spots = stations.withColumns(where).groupBy(*_AXES).agg(F.min(station_id).alias(station_id))
     live = points.select(point_id, *[v.alias(a) for a, v in where.items()])
-    live = live.withColumns({f"c{a}": F.lit(0).cast("bigint") for a in _AXES})
-    grown = 0
-    per_point = Window.partitionBy(point_id)
-    for _ in range(depth):
+    # The few non-empty cubes of the first level (at most a few dozen) travel as one array.
+    top = _cells(bits, spots, "c").agg(F.collect_set(F.struct(*[f"c{a}" for a in _AXES]))).scalar()
+    live = live.withColumn("__cube", F.explode(top)).select(
+        point_id, *_AXES, *[F.col(f"__cube.c{a}").alias(f"c{a}") for a in _AXES]
+    )
+    live = _prune(live, point_id, bits)
+    grown = bits
+    for _ in range(depth - 1):
         parent, grown = grown, grown + bits
-        size = 2.0 ** (1 - grown)
-        cubes = _cells(grown, _cells(parent, spots, "c") if parent else spots.withColumns({f"c{a}": F.lit(0).cast("bigint") for a in _AXES}), "n")
+        cubes = _cells(grown, _cells(parent, spots, "c"), "n")
         cubes = cubes.select(*[f"c{a}" for a in _AXES], *[f"n{a}" for a in _AXES]).distinct()
-        if parent == 0:
-            # The unit sphere fills one root cube (its far faces spill into neighbours).
-            cubes = cubes.withColumns({f"c{a}": F.lit(0).cast("bigint") for a in _AXES}).distinct()
-        near, far = F.lit(0.0), F.lit(0.0)
-        for a in _AXES:
-            low = F.col(f"n{a}") * size - 1
-            high = low + size
-            out = F.greatest(low - F.col(a), F.col(a) - high, F.lit(0.0))
-            reach = F.greatest(F.abs(F.col(a) - low), F.abs(F.col(a) - high))
-            near, far = near + out * out, far + reach * reach
-        live = (
-            live.join(cubes, [f"c{a}" for a in _AXES])
-            .withColumns({"__near": near, "__best": F.min(far).over(per_point)})
-            .filter(F.col("__near") <= F.col("__best") + 1e-12)
-            .select(point_id, *_AXES, *[F.col(f"n{a}").alias(f"c{a}") for a in _AXES])
+        live = live.join(cubes, [f"c{a}" for a in _AXES]).select(
+            point_id, *_AXES, *[F.col(f"n{a}").alias(f"c{a}") for a in _AXES]
         )
+        live = _prune(live, point_id, grown)
     leaves = _cells(grown, spots, "c").select(
         station_id, *[f"c{a}" for a in _AXES], *[F.col(a).alias(f"s{a}") for a in _AXES]
     )

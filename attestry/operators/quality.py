@@ -29,6 +29,15 @@ class RowRule:
     broken: Column
 
 
+@dataclass(frozen=True)
+class TableRule:
+    """A rule judged on the whole table; ``offences`` is an aggregate, above zero on failure."""
+
+    rule_id: str
+    severity: str
+    offences: Column
+
+
 def not_null(rule_id: str, column: str, severity: str = "BLOCKING") -> RowRule:
     return RowRule(rule_id, severity, F.col(column).isNull())
 
@@ -55,36 +64,34 @@ def _result(rule_id: Column, severity: Column, offences: Column) -> list[Column]
     ]
 
 
-def row_rules(df: DataFrame, rules: Sequence[RowRule]) -> DataFrame:
-    """All row rules in one pass: one conditional count each, then one row per rule."""
-    counts = df.agg(*[F.count_if(F.coalesce(r.broken, F.lit(False))).alias(f"r{i}") for i, r in enumerate(rules)])
+def single_pass_rules(df: DataFrame, rules: Sequence[RowRule | TableRule]) -> DataFrame:
+    """All row and table rules in one scan and one aggregate, then one row per rule."""
+
+    def offences(rule: RowRule | TableRule) -> Column:
+        return F.count_if(F.coalesce(rule.broken, F.lit(False))) if isinstance(rule, RowRule) else rule.offences
+
+    counts = df.agg(*[offences(r).alias(f"r{i}") for i, r in enumerate(rules)])
     rows = F.array(
-        *[
-            F.struct(*_result(F.lit(r.rule_id), F.lit(r.severity), F.col(f"r{i}")))
-            for i, r in enumerate(rules)
-        ]
+        *[F.struct(*_result(F.lit(r.rule_id), F.lit(r.severity), F.col(f"r{i}"))) for i, r in enumerate(rules)]
     )
     return counts.select(F.inline(rows))
 
 
-def unique_rule(df: DataFrame, rule_id: str, keys: Sequence[str], severity: str = "BLOCKING") -> DataFrame:
-    """Rows beyond the first of each key."""
-    extra = df.groupBy(*keys).agg((F.count(F.lit(1)) - 1).alias("n")).agg(F.sum("n").alias("n"))
-    return extra.select(*_result(F.lit(rule_id), F.lit(severity), F.col("n")))
+def row_count(rule_id: str, low: int, high: int | None = None, severity: str = "BLOCKING") -> TableRule:
+    n = F.count(F.lit(1))
+    bad = (n < low) if high is None else ~n.between(low, high)
+    return TableRule(rule_id, severity, bad.cast("int"))
 
 
-def row_count_rule(df: DataFrame, rule_id: str, low: int, high: int | None = None, severity: str = "BLOCKING") -> DataFrame:
-    counted = df.agg(F.count(F.lit(1)).alias("n"))
-    bad = F.col("n") < low
-    if high is not None:
-        bad = bad | (F.col("n") > high)
-    return counted.select(*_result(F.lit(rule_id), F.lit(severity), bad.cast("int")))
+def fresh_enough(rule_id: str, at: str, as_of: Column, max_hours: int, severity: str = "WARNING") -> TableRule:
+    late = F.coalesce(F.timestamp_diff("HOUR", F.max(at), as_of) > max_hours, F.lit(True))
+    return TableRule(rule_id, severity, late.cast("int"))
 
 
-def freshness_rule(df: DataFrame, rule_id: str, at: str, as_of: Column, max_hours: int, severity: str = "WARNING") -> DataFrame:
-    newest = df.agg(F.max(at).alias("at"))
-    late = F.coalesce(F.timestamp_diff("HOUR", F.col("at"), as_of) > max_hours, F.lit(True))
-    return newest.select(*_result(F.lit(rule_id), F.lit(severity), late.cast("int")))
+def unique_rule(df: DataFrame, rule_id: str, keys: Sequence[str], severity: str = "BLOCKING") -> DataFrame:
+    """Rows beyond the first of each key."""
+    extra = df.groupBy(*keys).agg((F.count(F.lit(1)) - 1).alias("n")).agg(F.sum("n").alias("n"))
+    return extra.select(*_result(F.lit(rule_id), F.lit(severity), F.col("n")))
 
 
 def volume_rule(df: DataFrame, rule_id: str, keys: Sequence[str], period: Column, severity: str = "WARNING") -> DataFrame:

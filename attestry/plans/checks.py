@@ -45,14 +45,14 @@ def dq_results(t: Tables) -> DataFrame:
         quality.in_domain("returnflag_domain", "l_returnflag", ["A", "R"]),
         quality.in_range("quantity_range", "l_quantity", 1, 45),
         quality.semantic("flag_semantics", ~((F.col("l_returnflag") == "N") & (F.col("l_linestatus") == "F"))),
+        quality.row_count("row_count", 100),
+        quality.fresh_enough("freshness", "l_shipdate", F.lit("2001-12-01").cast("timestamp_ntz"), 720),
     ]
     month = F.date_trunc("month", "l_shipdate").cast("date")
     return quality.combine_results(
         [
-            quality.row_rules(lines, rules),
+            quality.single_pass_rules(lines, rules),
             quality.unique_rule(lines, "line_unique", ["l_orderkey", "l_linenumber"]),
-            quality.row_count_rule(lines, "row_count", 100),
-            quality.freshness_rule(lines, "freshness", "l_shipdate", F.lit("2001-12-01").cast("timestamp_ntz"), 720),
             quality.volume_rule(lines, "supplier_volume", ["l_suppkey"], month),
             quality.continuity_rule(lines.withColumn("period", month), "supplier_continuity", ["l_suppkey"], "period", "month"),
         ]
