@@ -202,7 +202,7 @@ TERMS = """
 REFERENCES = """
     SELECT r_name AS catalog_id, r_regionkey AS catalog_order, r_name <> 'AFRICA' AS enabled,
            CAST(SUBSTR(p_brand, 7) AS INT) AS group_order, p_brand AS group_id,
-           CAST(SUBSTR(p_brand, 7) AS INT) % (r_regionkey + 2) <> 0 AS group_enabled
+           LENGTH(p_brand) = 8 OR r_name IN ('AMERICA', 'EUROPE') AS group_enabled
     FROM {nation} n JOIN {region} r ON n.n_regionkey = r.r_regionkey
          JOIN (SELECT DISTINCT p_brand FROM {part}) b ON CAST(SUBSTR(p_brand, 7) AS INT) = n.n_nationkey + 1"""
 PLAN_SQL = (

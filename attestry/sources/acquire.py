@@ -12,6 +12,7 @@ from attestry.functions.redact import redact_map, redact_values, strip_query
 from attestry.functions.values import WEIGHTS, score_sources
 from attestry.operators import release
 from attestry.operators.discovery import number_requests
+from attestry.session import cut_lineage
 from attestry.sources import files, ledger
 
 # Fields a surveillance sample must show, and the sample limits.
@@ -135,6 +136,8 @@ def evidence_tables(
             "columns_text": F.coalesce(F.get_json_object("document", "$.columns"), F.lit("[]")),
         }
     )
+    # One row per resource feeds ten tables: it is computed once and kept in the shared folder.
+    judged = cut_lineage(judged)
     good = judged.filter(F.col("refusal").isNull()).withColumns(
         {
             "run_id": content_id(F.lit("run"), F.col("resource_key"), at),

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -125,8 +126,12 @@ def append_raw_idempotent(incoming: DataFrame, root: str, table: str, batch_id:
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path)
+    """Whether a table has been written there; an empty folder is not one."""
+    try:
+        spark.read.parquet(path)
+    except AnalysisException:
+        return False
+    return True
 
 
 def register_artifacts(

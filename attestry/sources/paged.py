@@ -37,7 +37,8 @@ class PageRange(InputPartition):
 
 class PagedReader(DataSourceReader):
     def __init__(self, options: dict[str, str]):
-        self.path = options["path"]
+        # The Arrow file systems know the object store under its plain scheme.
+        self.path = options["path"].replace("s3a://", "s3://", 1)
         self.first = int(options.get("firstPage", 0))
         self.per_task = int(options.get("pagesPerTask", 32))
         self.limit = int(options["maxPages"]) if "maxPages" in options else None

@@ -1,7 +1,8 @@
 """Time every registered query on ``$BENCH_SF_DIR`` with ``local[$BENCH_CPUS]``; print one JSON line.
 
 Each query is planned and run to completion into a sink that discards its rows. The first query
-runs once before the clock starts, to warm the JVM.
+runs once before the clock starts, to warm the JVM. With ``$BENCH_RUNS`` above 1 every query is
+warmed up and the median of that many runs counts.
 """
 
 from __future__ import annotations
@@ -9,6 +10,7 @@ from __future__ import annotations
 import json
 import os
 import re
+import statistics
 import sys
 import time
 
@@ -35,8 +37,15 @@ def main() -> None:
         QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
         return round(time.perf_counter() - start, 3)
 
+    runs = int(os.environ.get("BENCH_RUNS", "1"))
+
+    def measure(name: str) -> float:
+        if runs > 1:
+            run(name)
+        return statistics.median(run(name) for _ in range(runs))
+
     run(names[0])
-    times = {name: run(name) for name in names}
+    times = {name: measure(name) for name in names}
     scale = re.search(r"sf([0-9.]+)$", folder.rstrip("/"))
     print(
         json.dumps(

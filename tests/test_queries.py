@@ -23,6 +23,9 @@ def test_query(spark, con, name):
         assert difference(df, con, ORACLES[name]) is None
     else:
         assert df.count() >= 0
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for costly in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas"):
+        assert costly not in plan
 
 
 def test_every_query_has_a_counterpart():
@@ -32,3 +35,12 @@ def test_every_query_has_a_counterpart():
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_filters_and_columns_reach_the_scan(spark):
+    plan = QUERIES["evidence_counts"](spark, FOLDER)._jdf.queryExecution().toString()
+    scans = [line for line in plan.splitlines() if "FileScan" in line and "event_type" in line]
+    assert scans
+    for line in scans:
+        assert "PushedFilters: [IsNotNull(event_type)" in line or "PushedFilters: [IsNotNull(value)" in line or "EqualTo(event_type" in line
+        assert "props" not in line
