@@ -241,7 +241,7 @@ def load_release(
     broken = [r.rule_id for r in results.filter("NOT passed").collect()]
     if broken:
         raise ValueError(f"release bundle breaks rules: {', '.join(sorted(broken))}")
-    ledger.replace_release(release.finalize_counties(staged), f"{root}/county_atlas")
+    ledger.replace_release(release.finalize_counties(staged), f"{root}/county_facts")
     ledger.replace_release(files.bundle_sources(bundle, release_id), f"{root}/source_metadata")
     ledger.replace_release(registry, f"{root}/dataset_release")
     ledger.set_current(spark, f"{root}/current_pointer", release_id)

@@ -175,7 +175,7 @@ def test_load_release_checks_before_it_writes(spark, tmp_path):
         path.write_bytes(gzip.compress(text))
         return str(path), hashlib.sha256(text).hexdigest()
 
-    root = str(tmp_path / "atlas")
+    root = str(tmp_path / "release")
     path, digest = write(feature("01001"), feature("01003"))
     with pytest.raises(ValueError, match="checksum"):
         acquire.load_release(spark, path, root, "r1", "0" * 64, "m", "l", 2)
@@ -183,7 +183,7 @@ def test_load_release_checks_before_it_writes(spark, tmp_path):
         acquire.load_release(spark, path, root, "r1", digest, "m", "l", 3)
     acquire.load_release(spark, path, root, "r1", digest, "m", "l", 2)
     acquire.load_release(spark, path, root, "r1", digest, "m", "l", 2)
-    assert spark.read.parquet(f"{root}/county_atlas").count() == 2
+    assert spark.read.parquet(f"{root}/county_facts").count() == 2
     assert spark.read.parquet(f"{root}/source_metadata").count() == 1
     assert spark.read.parquet(f"{root}/dataset_release").count() == 1
     path, digest = write(feature("01001"), feature("0100x"))
