@@ -198,3 +198,18 @@ def test_repeated_registrations_count_once(spark):
     rows = [("1", "r", datetime(2026, 1, 1)), ("2", "r", datetime(2026, 1, 2)), ("3", "q", datetime(2026, 1, 1))]
     df = spark.createDataFrame(rows, "catalog_resource_id string, resource_key string, registered_at timestamp")
     assert sorted(r.catalog_resource_id for r in history.latest_resources(df).collect()) == ["2", "3"]
+
+
+def test_shape_follows_the_ledger(spark):
+    from attestry.schemas import LEDGERS, shape
+
+    df = spark.range(1).select(
+        F.lit(True).alias("is_active"), F.lit(5).alias("username"), F.lit("GLOBAL").alias("authorization_scope"),
+        F.lit(datetime(2026, 1, 1)).alias("granted_at"), F.lit("x").alias("granted_by"), F.lit("extra").alias("other"),
+    )
+    shaped = shape(df, LEDGERS["approval_stewards"])
+    assert shaped.columns == LEDGERS["approval_stewards"].names and shaped.first().username == "5"
+    with pytest.raises(ValueError, match="granted_by"):
+        shape(df.drop("granted_by"), LEDGERS["approval_stewards"])
+    versions = spark.range(1).select(F.lit("v").alias("data_source_version_id"), F.lit("r").alias("resource_key"), F.lit("APPROVED").alias("status"), F.current_timestamp().alias("created_at"))
+    assert shape(versions, LEDGERS["data_source_versions"]).first().retired_at is None
