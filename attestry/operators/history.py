@@ -18,6 +18,7 @@ __all__ = [
     "join_open",
     "latest_per_key",
     "latest_resources",
+    "observed_cadence",
     "open_rows",
     "prior_success",
     "retire_orphans",
