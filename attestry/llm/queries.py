@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attestry.llm import line_dedup, quality_rules, secret_spans
+from attestry.llm import line_dedup, order_minhash, packing, piece_codec, quality_rules, secret_spans
 from attestry.llm.tables import read, text_of
 
 
@@ -16,6 +17,23 @@ def op2_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return out.select("doc_id", "line_dedup.n_lines", "line_dedup.n_dropped", F.length(text).cast("long").alias("n_chars"), F.sha2(text, 256).alias("kept_sha256"))
 
 
+def op3_order_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Near-duplicate group of every document."""
+    return order_minhash.near_duplicates(read(spark, folder, "documents").select("doc_id", "text"))
+
+
+def op4_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """Place of every piece of every document in the packed sequences."""
+    docs = read(spark, folder, "documents").select("doc_id", "text")
+    # The vocabulary of byte_bpe_50k.json as ranks: the same ids.
+    return packing.pack(packing.pieces_of(docs, public_tokenizers.path("byte_bpe_50k.tiktoken")))
+
+
+def op5_piece_codec(spark: SparkSession, folder: str) -> DataFrame:
+    """Ids and decoded text of every document, as digests."""
+    return piece_codec.digests(read(spark, folder, "documents").select("doc_id", "text"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     """The rule ledger of every document and the verdict of the current policy."""
     rows = quality_rules.ledger(read(spark, folder, "documents").select("doc_id", "text"))
@@ -33,6 +51,9 @@ def op8_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op2_line_dedup": op2_line_dedup,
+    "op3_order_minhash": op3_order_minhash,
+    "op4_packing": op4_packing,
+    "op5_piece_codec": op5_piece_codec,
     "op6_quality_rules": op6_quality_rules,
     "op8_secret_scan": op8_secret_scan,
 }

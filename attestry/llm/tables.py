@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,6 +14,22 @@ from pyspark.sql import functions as F
 from attestry.session import scratch_path
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send the package's own code to the workers, once per application; it need not be installed there."""
+    context = spark.sparkContext
+    if context.applicationId not in _SHIPPED:
+        package = Path(__file__).resolve().parents[1]
+        archive = Path(tempfile.mkdtemp(prefix="code-")) / f"{package.name}.zip"
+        with zipfile.ZipFile(archive, "w") as out:
+            for source in sorted(package.rglob("*.py")):
+                out.write(source, source.relative_to(package.parent))
+        context.addPyFile(str(archive))
+        _SHIPPED.add(context.applicationId)
+
+
 def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
@@ -31,6 +50,7 @@ def per_batch(df: DataFrame, rows_of: Callable[[list], list], schema: str) -> Da
     from pyspark.sql.types import StructType
     from pyspark.sql.pandas.types import to_arrow_schema
 
+    ship(df.sparkSession)
     arrow = to_arrow_schema(StructType.fromDDL(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -49,3 +69,17 @@ def with_length(docs: DataFrame) -> DataFrame:
     if "n_chars" not in docs.columns:
         return docs
     return docs.withColumn("n_chars", F.length("text").cast(dict(docs.dtypes)["n_chars"]))
+
+
+class Recent(dict):
+    """A bounded memo of ``make``: emptied when it holds ``limit`` entries, so its memory does not grow with the input."""
+
+    def __init__(self, make: Callable, limit: int = 250_000):
+        super().__init__()
+        self.make, self.limit = make, limit
+
+    def __missing__(self, key):
+        if len(self) >= self.limit:
+            self.clear()
+        value = self[key] = self.make(key)
+        return value

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from attestry.llm import line_dedup, quality_rules, secret_spans
+from attestry.llm import line_dedup, order_minhash, packing, quality_rules, secret_spans
 from attestry.llm.tables import read, stored, with_length
 
 
@@ -18,15 +19,27 @@ def drop_site_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return with_length(line_dedup.drop_boilerplate(docs).drop("line_dedup"))
 
 
+def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates."""
+    return order_minhash.keep_one(docs)
+
+
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document, its secrets masked."""
     return with_length(secret_spans.mask_secrets(docs))
 
 
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every piece of every document and its place in a sequence."""
+    return packing.pack(packing.pieces_of(docs, public_tokenizers.path("byte_bpe_50k.tiktoken")))
+
+
 STAGES = [
     ("quality rules", apply_quality_rules),
     ("line dedup", drop_site_lines),
+    ("near-dedup", keep_one_of_each_group),
     ("secret scan", mask_secrets),
+    ("packing", pack_sequences),
 ]
 
 #: Several stages are beyond SQL; tests hold each against a brute-force version.
