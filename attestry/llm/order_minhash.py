@@ -10,8 +10,10 @@ on one sketch with a probability of about S ** PICKED, so it is missed with (1 -
 
 Scale: equal texts are one class from the start (128 hash bits, pre-aggregated). Within a bucket of a sketch, classes are first compared
 with one leader only. Buckets that then still span several groups get 8, 64, ... random leaders, until all their members have been leaders:
-a large group of copies costs one comparison per member, and no pair of different groups that shares a sketch is left out. Pairs within a
-group are not expanded. Intermediate tables lie in the shared folder.
+a large group of copies costs one comparison per member, and no pair of different groups that shares a sketch is left out but by the
+signatures: a pair is only made, in the first bucket it shares, if its one-permutation signatures (``BINS`` bins of four bits) allow for a
+similarity of ``LIKELY``, which a pair at the limit fails by chance once in 30,000. Pairs within a group are not expanded. Intermediate
+tables lie in the shared folder.
 
 Defined results: null texts count as empty; all empty texts are one class; null ids sort last; of repeated rows one is kept. Rows and
 columns of the input are otherwise untouched.
@@ -34,6 +36,8 @@ SIMILARITY = 0.8
 PICKED = 3
 SKETCHES = 14
 GROWTH = 8
+BINS = 512
+LIKELY = 0.72
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _ODD = np.uint64(0xD6E8FEB86659FD93)
@@ -97,6 +101,25 @@ def sketch(kmers: np.ndarray, picked: int = PICKED) -> list[int]:
     return out
 
 
+def signature(kmers: np.ndarray) -> list[int]:
+    """Four bits of the smallest hash in each of the bins, 16 bins to a long, then a bit for each bin that holds any."""
+    hashes = np.sort(_mixed(kmers ^ _ROWS[0]))
+    first = np.searchsorted(hashes, np.arange(BINS, dtype=np.uint64) << np.uint64(64 - 9))
+    used = (first < len(hashes)) & (np.append(first[1:], len(hashes)) > first)
+    bits = np.zeros(BINS, np.uint64)
+    bits[used] = hashes[first[used]] & np.uint64(15)
+    packed = np.bitwise_or.reduce(bits.reshape(-1, 16) << (np.arange(16, dtype=np.uint64) * np.uint64(4)), axis=1)
+    masks = np.bitwise_or.reduce(used.astype(np.uint64).reshape(-1, 64) << np.arange(64, dtype=np.uint64), axis=1)
+    return np.concatenate((packed, masks)).view(np.int64).tolist()
+
+
+#: SQL: whether the signatures sa and sb allow for the similarity. Bins that are empty on both sides say nothing.
+_FOURS = "shiftrightunsigned(x ^ y, 1) | shiftrightunsigned(x ^ y, 2) | shiftrightunsigned(x ^ y, 3) | (x ^ y)"
+MAY_BE_SIMILAR = f"""aggregate(zip_with(slice(sa, 1, {BINS // 16}), slice(sb, 1, {BINS // 16}), (x, y) -> 16 - bit_count(({_FOURS}) & 1229782938247303441L)), 0, (s, x) -> s + x)
+    - {BINS} + aggregate(zip_with(slice(sa, {BINS // 16 + 1}, {BINS // 64}), slice(sb, {BINS // 16 + 1}, {BINS // 64}), (x, y) -> bit_count(x | y)), 0, (s, x) -> s + x)
+    >= {LIKELY} * aggregate(zip_with(slice(sa, {BINS // 16 + 1}, {BINS // 64}), slice(sb, {BINS // 16 + 1}, {BINS // 64}), (x, y) -> bit_count(x | y)), 0, (s, x) -> s + x)"""
+
+
 def similarity(a: np.ndarray, b: np.ndarray, limit: float = SIMILARITY) -> float:
     """Of two arrays of labelled k-mers; 0 where it is below ``limit``. Only k-mers inside the band are aligned."""
     total = len(a) + len(b)
@@ -138,14 +161,15 @@ def groups(docs: DataFrame, key: str = "doc_id") -> tuple[DataFrame, DataFrame]:
 
     def sketches(columns: list) -> list:
         a, b, keys, texts = columns
-        return [a, b, keys, [sketch(labelled(words_of(t))) for t in texts]]
+        kmers = [labelled(words_of(t)) for t in texts]
+        return [a, b, keys, [sketch(k) for k in kmers], [signature(k) for k in kmers]]
 
     rows = stored(
-        per_batch(docs.select(*_keys(), F.col(key), "text"), sketches, f"_a long, _b long, `{key}` {kind}, sketch array<long>"),
+        per_batch(docs.select(*_keys(), F.col(key), "text"), sketches, f"_a long, _b long, `{key}` {kind}, sketch array<long>, sign array<long>"),
         "sketches",
     )
     least = F.min(F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("key")))
-    classes = rows.groupBy("_a", "_b").agg(least.alias("least"), F.count("*").alias("n_rows"), F.first("sketch").alias("sketch"))
+    classes = rows.groupBy("_a", "_b").agg(least.alias("least"), F.count("*").alias("n_rows"), F.first("sketch").alias("sketch"), F.first("sign").alias("sign"))
     classes = stored(classes.withColumn("cid", F.monotonically_increasing_id()), "classes")
     members = classes.select("cid", F.posexplode("sketch").alias("j", "v"))
     sizes = members.groupBy("j", "v").agg(F.min("cid").alias("lead"), F.count("*").alias("n")).filter("n > 1")
@@ -173,11 +197,19 @@ def groups(docs: DataFrame, key: str = "doc_id") -> tuple[DataFrame, DataFrame]:
         before = F.lit(0.0) if share == 0 else F.lit(float(GROWTH**share)) / F.col("n")
         now = F.lit(float(GROWTH ** (share + 1))) / F.col("n")
         open_rows = placed.join(spans, ["j", "v"]).withColumn("draw", draw).filter(F.col("draw") >= before)
-        open_rows = stored(open_rows, "open")
+        open_rows = stored(open_rows.join(classes.select("cid", "sketch", "sign"), "cid"), "open")
         if open_rows.isEmpty():
             break
-        leaders = open_rows.filter(F.col("draw") < now).select("j", "v", F.col("cid").alias("a"), F.col("component").alias("ca"))
-        pairs = open_rows.select("j", "v", F.col("cid").alias("b"), F.col("component").alias("cb")).join(leaders, ["j", "v"]).filter("ca <> cb")
+        leaders = open_rows.filter(F.col("draw") < now).select("j", "v", F.col("cid").alias("a"), F.col("component").alias("ca"), F.col("sketch").alias("ka"), F.col("sign").alias("sa"))
+        others = open_rows.select(F.col("j").alias("jb"), F.col("v").alias("vb"), F.col("cid").alias("b"), F.col("component").alias("cb"), F.col("sketch").alias("kb"), F.col("sign").alias("sb"))
+        pairs = others.join(
+            leaders,
+            (F.col("j") == F.col("jb"))
+            & (F.col("v") == F.col("vb"))
+            & (F.col("ca") != F.col("cb"))
+            & F.expr("array_position(zip_with(ka, kb, (x, y) -> x = y), true) = j + 1")
+            & F.expr(MAY_BE_SIMILAR),
+        )
         more = verified(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), words)
         links = links.unionByName(more)
         if not more.isEmpty():
