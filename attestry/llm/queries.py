@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attestry.llm import line_dedup, order_minhash, packing, piece_codec, quality_rules, secret_spans
+from attestry.llm import line_dedup, order_minhash, packing, page_text, piece_codec, quality_rules, secret_spans, vector_links
 from attestry.llm.tables import read, text_of
 
 
@@ -44,18 +44,30 @@ def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op7_page_text(spark: SparkSession, folder: str) -> DataFrame:
+    """Main text of every page."""
+    return page_text.extract(read(spark, folder, "pages").select("page_id", "url", "html"))
+
+
 def op8_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     """Secret spans of every document."""
     return secret_spans.scan(read(spark, folder, "documents").select("doc_id", "text"))
 
 
+def op10_vector_links(spark: SparkSession, folder: str) -> DataFrame:
+    """Links and components of every vector."""
+    return vector_links.near_duplicates(read(spark, folder, "embeddings").select("vec_id", "embedding", "label"))
+
+
 QUERIES = {
     "op2_line_dedup": op2_line_dedup,
     "op3_order_minhash": op3_order_minhash,
     "op4_packing": op4_packing,
     "op5_piece_codec": op5_piece_codec,
     "op6_quality_rules": op6_quality_rules,
+    "op7_page_text": op7_page_text,
     "op8_secret_scan": op8_secret_scan,
+    "op10_vector_links": op10_vector_links,
 }
 
 LINES_SQL = """
