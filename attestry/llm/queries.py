@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attestry.llm import line_dedup, order_minhash, packing, page_text, piece_codec, quality_rules, secret_spans, vector_links
+from attestry.llm import line_dedup, order_minhash, packing, page_text, piece_codec, quality_rules, repeats, secret_spans, vector_links
 from attestry.llm.tables import read, text_of
 
 
@@ -54,6 +54,11 @@ def op8_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secret_spans.scan(read(spark, folder, "documents").select("doc_id", "text"))
 
 
+def op9_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    """What repeats of 100 bytes take from every document."""
+    return repeats.removed(read(spark, folder, "documents").select("doc_id", "text"))
+
+
 def op10_vector_links(spark: SparkSession, folder: str) -> DataFrame:
     """Links and components of every vector."""
     return vector_links.near_duplicates(read(spark, folder, "embeddings").select("vec_id", "embedding", "label"))
@@ -67,6 +72,7 @@ QUERIES = {
     "op6_quality_rules": op6_quality_rules,
     "op7_page_text": op7_page_text,
     "op8_secret_scan": op8_secret_scan,
+    "op9_repeats": op9_repeats,
     "op10_vector_links": op10_vector_links,
 }
 
