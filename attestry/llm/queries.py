@@ -6,10 +6,22 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attestry.llm import line_dedup, order_minhash, packing, page_text, piece_codec, quality_rules, repeats, secret_spans, vector_links
+from attestry.llm import license_scan, line_dedup, order_minhash, packing, page_text, piece_codec, quality_rules, repeats, secret_spans, vector_links
 from attestry.llm.tables import read, text_of
 
 
+def op1_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Licence families of every document's paragraphs."""
+    out = license_scan.scan(read(spark, folder, "documents").select("doc_id", "text"))
+    return out.select(
+        "doc_id",
+        "n_candidates",
+        F.size("licenses").cast("long").alias("n_licenses"),
+        F.array_join(F.array_sort(F.array_distinct("licenses.family")), ",").alias("families"),
+        F.array_join(F.transform("licenses", lambda x: F.concat_ws(":", x["paragraph"].cast("string"), x["family"])), ",").alias("paragraphs"),
+    )
+
+
 def op2_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Lines that go from every document by their frequency on its source."""
     out = line_dedup.drop_boilerplate(read(spark, folder, "documents").select("doc_id", "source", "text"))
@@ -65,6 +77,7 @@ def op10_vector_links(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_license_scan": op1_license_scan,
     "op2_line_dedup": op2_line_dedup,
     "op3_order_minhash": op3_order_minhash,
     "op4_packing": op4_packing,
