@@ -196,16 +196,17 @@ def phrases(words: Column, size: int) -> Column:
     return F.array_distinct(F.array_compact(runs))
 
 
-def relevance_match(
-    resources: DataFrame, id_column: str, fields: Sequence[str], terms: DataFrame, sizes: Sequence[int] = (1, 2, 3)
-) -> DataFrame:
+def relevance_match(resources: DataFrame, id_column: str, fields: Sequence[str], terms: DataFrame) -> DataFrame:
     """Number of distinct search terms found in each resource's text fields.
 
     Terms and texts meet by equality on word runs, never by scanning every text for every term.
+    The lengths of the word runs are those of the terms, whatever they are; only these few numbers come to the driver.
     A list of terms counted as small is broadcast, so the word runs of the texts are not shuffled.
-    ``sizes`` must cover the lengths of the terms in words.
     """
     wanted = terms.select(F.array_join(tokens(F.col("term")), " ").alias("phrase")).filter("phrase <> ''").distinct()
+    sizes = sorted(r[0] for r in wanted.select(F.size(F.split("phrase", " ")).alias("n")).distinct().collect())
+    if not sizes:
+        return resources.select(id_column, F.lit(0).cast("bigint").alias("term_hits"))
     found = F.array_distinct(F.flatten(F.array(*[phrases(tokens(F.col(f)), n) for f in fields for n in sizes])))
     said = resources.select(id_column, F.explode(found).alias("phrase"))
     hits = said.join(broadcast_if_small(wanted), "phrase").groupBy(id_column).agg(F.count(F.lit(1)).alias("term_hits"))

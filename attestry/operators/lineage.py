@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from itertools import count
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -61,22 +62,23 @@ def reconcile_edges(declared: DataFrame, observed: DataFrame, columns: Sequence[
     )
 
 
-def trace_lineage(edges: DataFrame, roots: DataFrame, max_depth: int = 50) -> DataFrame:
+def trace_lineage(edges: DataFrame, roots: DataFrame, max_depth: int | None = None) -> DataFrame:
     """Every asset upstream of each root, with the smallest number of steps to it.
 
     Breadth-first by levels: each level joins only the assets found in the level before, and pairs
     seen earlier are dropped, so diamonds do not multiply and cycles end. Levels are checkpointed,
     which keeps the plan short and lets a lost executor restart from the last level.
-    Raises if ``max_depth`` levels are not enough.
+    A caller may set ``max_depth``; more levels than that raise an error.
     """
     links = edges.select(F.col("output_object").alias("asset"), F.col("input_object").alias("__up")).distinct()
     frontier = roots.select(F.col("asset").alias("root"), "asset").distinct()
     seen = frontier.select("root", F.col("asset").alias("ancestor"), F.lit(0).alias("depth"))
-    for depth in range(1, max_depth + 1):
+    for depth in count(1):
+        if max_depth is not None and depth > max_depth:
+            raise ValueError(f"lineage is deeper than {max_depth} levels")
         step = join_on_key(frontier, links, ["asset"], "inner").select("root", F.col("__up").alias("ancestor")).distinct()
         fresh = cut_lineage(step.join(seen.select("root", "ancestor"), ["root", "ancestor"], "left_anti"))
         if fresh.isEmpty():
             return seen.filter("depth > 0")
         seen = seen.unionByName(fresh.withColumn("depth", F.lit(depth)))
         frontier = fresh.withColumnRenamed("ancestor", "asset")
-    raise ValueError(f"lineage is deeper than {max_depth} levels")

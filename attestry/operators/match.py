@@ -91,13 +91,15 @@ def nearest_station(
     that could still hold its nearest station: those not farther than the farthest corner of the
     best non-empty cube. The number of cubes kept per point is bounded by geometry, however
     many stations crowd one place; stations are only read in the last, smallest cubes.
-    Stations at one position count once (smallest id).
+    Stations at one position count once (smallest id). Points without coordinates, and all points
+    when there is no station, stay with a null station.
     """
     where = unit_vector(F.col("lon"), F.col("lat"))
     spots = stations.withColumns(where).groupBy(*_AXES).agg(F.min(station_id).alias(station_id))
     live = points.select(point_id, *[v.alias(a) for a, v in where.items()])
     # The few non-empty cubes of the first level (at most a few dozen) travel as one array.
     top = _cells(bits, spots, "c").agg(F.collect_set(F.struct(*[f"c{a}" for a in _AXES]))).scalar()
+    # Without a station there is no cube, and every point stays unmatched.
     live = live.withColumn("__cube", F.explode(top)).select(
         point_id, *_AXES, *[F.col(f"__cube.c{a}").alias(f"c{a}") for a in _AXES]
     )
@@ -115,13 +117,15 @@ def nearest_station(
         station_id, *[f"c{a}" for a in _AXES], *[F.col(a).alias(f"s{a}") for a in _AXES]
     )
     gap = sum(((F.col(a) - F.col(f"s{a}")) * (F.col(a) - F.col(f"s{a}")) for a in _AXES), F.lit(0.0))
-    return (
+    found = (
         live.join(leaves, [f"c{a}" for a in _AXES])
         .withColumn("__chord", F.sqrt(gap))
         .groupBy(point_id)
         .agg(F.min(F.struct("__chord", station_id)).alias("m"))
-        .select(point_id, F.col(f"m.{station_id}").alias(station_id), chord_to_metres(F.col("m.__chord")).alias("distance_m"))
+        .select(F.col(point_id).alias("__point"), F.col(f"m.{station_id}").alias(station_id), chord_to_metres(F.col("m.__chord")).alias("distance_m"))
     )
+    asked = points.select(point_id).distinct()
+    return asked.join(found, asked[point_id].eqNullSafe(found["__point"]), "left").drop("__point")
 
 
 def _ring(geometry: str) -> Column:

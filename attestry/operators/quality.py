@@ -12,9 +12,8 @@ from pyspark.sql import functions as F
 from attestry.functions.redact import credential_count
 from attestry.operators.segments import neighbour
 
-# Outlier limit, retryable statuses, attempts and freshness limits in hours.
+# Outlier limit, attempts and freshness limits in hours.
 OUTLIER_SIGMAS = 3.5
-RETRYABLE_STATUSES = (429, 500, 502, 503, 504)
 MAX_ATTEMPTS = 3
 FRESHNESS_HOURS = {"weather": 24, "annual_final": 30 * 24}
 RETENTION_YEARS = 7
@@ -257,7 +256,7 @@ def retry_class(status_code: Column) -> Column:
     """SUCCESS, RETRYABLE (rate limit or server failure) or REVIEW (everything else)."""
     return (
         F.when(status_code.between(200, 299), "SUCCESS")
-        .when(status_code.isin(*RETRYABLE_STATUSES), "RETRYABLE")
+        .when((status_code == 429) | status_code.between(500, 599), "RETRYABLE")
         .otherwise("REVIEW")
     )
 

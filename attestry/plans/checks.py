@@ -163,7 +163,7 @@ def prior_success(t: Tables) -> DataFrame:
 
 
 REQUESTS = """
-    SELECT event_id, CASE WHEN event_type <> 'error' THEN 200 WHEN value < 20 THEN 429 WHEN value < 50 THEN 503 WHEN value < 80 THEN 401 WHEN value < 120 THEN 403 ELSE 422 END AS status_code,
+    SELECT event_id, CASE WHEN event_type <> 'error' THEN 200 WHEN value < 20 THEN 429 WHEN value < 35 THEN 503 WHEN value < 42 THEN 501 WHEN value < 50 THEN 520 WHEN value < 80 THEN 401 WHEN value < 120 THEN 403 ELSE 422 END AS status_code,
            CAST(1 + user_id % 3 AS INT) AS attempt FROM {events}"""
 
 
@@ -171,8 +171,8 @@ REQUESTS = """
     "retry_class",
     f"""WITH q AS ({REQUESTS.replace("{events}", "events")})
         SELECT event_id, status_code, attempt,
-          CASE WHEN status_code BETWEEN 200 AND 299 THEN 'SUCCESS' WHEN status_code IN (429, 500, 502, 503, 504) THEN 'RETRYABLE' ELSE 'REVIEW' END AS retry_class,
-          CASE WHEN status_code IN (429, 500, 502, 503, 504) AND attempt < 3 THEN CAST(pow(2, attempt - 1) AS BIGINT) END AS delay_seconds FROM q""",
+          CASE WHEN status_code BETWEEN 200 AND 299 THEN 'SUCCESS' WHEN (status_code = 429 OR status_code BETWEEN 500 AND 599) THEN 'RETRYABLE' ELSE 'REVIEW' END AS retry_class,
+          CASE WHEN (status_code = 429 OR status_code BETWEEN 500 AND 599) AND attempt < 3 THEN CAST(pow(2, attempt - 1) AS BIGINT) END AS delay_seconds FROM q""",
 )
 def retry_class(t: Tables) -> DataFrame:
     requests = t.spark.sql(REQUESTS, events=t.events)

@@ -355,7 +355,7 @@ def register_resources(t: Tables) -> DataFrame:
 def relevance(t: Tables) -> DataFrame:
     """Two-word search terms (every word pair of the benchmark texts) against whole document texts."""
     terms = t.benchmark.select(F.explode(discovery.phrases(discovery.tokens(F.col("text")), 2)).alias("term"))
-    return discovery.relevance_match(spread(t.documents.select("doc_id", "text")), "doc_id", ["text"], terms, sizes=(2,))
+    return discovery.relevance_match(spread(t.documents.select("doc_id", "text")), "doc_id", ["text"], terms)
 
 
 # --- artifacts and redaction ------------------------------------------------------------------
@@ -577,7 +577,8 @@ def append_ledger(t: Tables) -> DataFrame:
     runs = t.turns.select("ingestion_run_id").distinct()
     requests = t.turns.select("ingestion_run_id", "request_sequence", digest.sha256_hex(F.col("text")).alias("response_sha256"))
     ledger.append_ledger(root, "unit-1", {"ingestion_runs": runs, "ingestion_requests": requests})
-    requests.withColumn("batch_id", F.lit("unit-2")).write.mode("append").partitionBy("batch_id").parquet(f"{root}/ingestion_requests")
+    dead = requests.withColumn("batch_id", F.lit("unit-2")).withColumn("attempt", F.lit("dead"))
+    dead.write.mode("append").partitionBy("batch_id", "attempt").parquet(f"{root}/ingestion_requests")
     seen = ledger.read_ledger(t.spark, root, "ingestion_requests").groupBy("ingestion_run_id").agg(
         F.count(F.lit(1)).alias("n_requests"), F.count_distinct("response_sha256").alias("n_digests")
     )

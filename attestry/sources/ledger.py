@@ -1,13 +1,14 @@
 """Append-only ledgers on Parquet.
 
-A unit of work is one ``batch_id``: every table of the unit is written to its own
-``batch_id=...`` partition and the batch is published last, in a small ``published`` table.
-Readers see published batches only, so a job that dies half-way leaves nothing visible, and
-running it again with the same ``batch_id`` replaces its own files.
+A unit of work is one ``batch_id``. Every attempt at it writes each table to a folder of its own,
+``batch_id=.../attempt=...``, and is published last, in a small ``published`` table of (batch, table, attempt).
+Readers see published attempts only, so a job that dies half-way leaves nothing visible, whatever its
+rerun holds, and published rows are never written over.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
@@ -20,39 +21,54 @@ from attestry.operators.segments import latest_per_key
 PUBLISHED = "published"
 
 
-def _write_batch(df: DataFrame, path: str, batch_id: str, partitions: Sequence[str] = ()) -> None:
+def _write_attempt(df: DataFrame, path: str, batch_id: str, attempt: str, partitions: Sequence[str] = ()) -> None:
     if not _exists(df.sparkSession, path):
         # A file without rows fixes the schema, so that a table whose batches are empty can be read.
-        empty = "/".join(["batch_id=__schema__", *[f"{p}=0" for p in partitions]])
+        empty = "/".join(["batch_id=__schema__", "attempt=__schema__", *[f"{p}=0" for p in partitions]])
         df.limit(0).drop(*partitions).coalesce(1).write.mode("overwrite").parquet(f"{path}/{empty}")
-    (
-        df.withColumn("batch_id", F.lit(batch_id))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("batch_id", *partitions)
-        .parquet(path)
-    )
+    marked = df.withColumn("batch_id", F.lit(batch_id)).withColumn("attempt", F.lit(attempt))
+    marked.write.mode("append").partitionBy("batch_id", "attempt", *partitions).parquet(path)
+
+
+def published_batches(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """Published batches of one table, each with the attempt that counts: the one published first."""
+    stamps = _read_partitioned(spark, f"{root}/{PUBLISHED}").filter(F.col("table_name") == name)
+    return stamps.groupBy("batch_id").agg(F.min_by("table_attempt", F.struct("published_at", "table_attempt")).alias("attempt"))
+
+
+def is_published(spark: SparkSession, root: str, name: str, batch_id: str) -> bool:
+    if not _exists(spark, f"{root}/{PUBLISHED}"):
+        return False
+    return not published_batches(spark, root, name).filter(F.col("batch_id") == batch_id).isEmpty()
 
 
 def append_ledger(root: str, batch_id: str, tables: Mapping[str, DataFrame], partitions: Mapping[str, Sequence[str]] | None = None) -> None:
-    """Append several tables as one unit."""
+    """Append several tables as one unit.
+
+    Every attempt writes to folders of its own and is published last, for all its tables in one file. Rows of an attempt that died are
+    never read. What is published stays: a table whose batch is published already is left out of a later attempt.
+    """
     spark = next(iter(tables.values())).sparkSession
+    tables = {name: df for name, df in tables.items() if not is_published(spark, root, name, batch_id)}
+    if not tables:
+        return
+    attempt = uuid.uuid4().hex
     for name, df in tables.items():
-        _write_batch(df, f"{root}/{name}", batch_id, (partitions or {}).get(name, ()))
-    stamp = spark.range(1).select(F.current_timestamp().alias("published_at"))
-    _write_batch(stamp, f"{root}/{PUBLISHED}", batch_id)
+        _write_attempt(df, f"{root}/{name}", batch_id, attempt, (partitions or {}).get(name, ()))
+    names = F.explode(F.array(*[F.lit(n) for n in tables]))
+    stamp = spark.range(1).select(names.alias("table_name"), F.lit(attempt).alias("table_attempt"), F.current_timestamp().alias("published_at"))
+    _write_attempt(stamp.coalesce(1), f"{root}/{PUBLISHED}", batch_id, attempt)
 
 
 def read_ledger(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """Rows of published batches. Batch ids are compared as text, whatever they look like."""
+    """Rows of the table's published attempts. Batch ids are compared as text, whatever they look like."""
     rows = _read_partitioned(spark, f"{root}/{name}")
-    published = _read_partitioned(spark, f"{root}/{PUBLISHED}").select("batch_id")
-    return rows.join(published, "batch_id", "left_semi")
+    return rows.join(published_batches(spark, root, name), ["batch_id", "attempt"], "left_semi").drop("attempt")
 
 
 def _read_partitioned(spark: SparkSession, path: str) -> DataFrame:
     df = spark.read.parquet(path)
-    return df.withColumn("batch_id", F.col("batch_id").cast("string"))
+    return df.withColumn("batch_id", F.col("batch_id").cast("string")).withColumn("attempt", F.col("attempt").cast("string"))
 
 
 def raw_rows(
@@ -115,12 +131,13 @@ def append_raw_idempotent(incoming: DataFrame, root: str, table: str, batch_id:
     Rebalancing before the write merges small files and splits a hot version.
     """
     spark = incoming.sparkSession
+    if is_published(spark, root, table, batch_id):
+        return
     incoming = incoming.withColumn("version_bucket", _version_bucket())
     loaded = incoming.limit(0)
     if _exists(spark, f"{root}/{table}"):
         touched = [r[0] for r in incoming.select("version_bucket").distinct().collect()]
-        others = read_ledger(spark, root, table).filter(F.col("batch_id") != batch_id)
-        loaded = others.filter(F.col("version_bucket").isin(touched))
+        loaded = read_ledger(spark, root, table).filter(F.col("version_bucket").isin(touched))
     fresh = new_raw_rows(incoming, loaded).hint("rebalance", "version_bucket")
     append_ledger(root, batch_id, {table: fresh}, {table: ["version_bucket"]})
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,16 +21,22 @@ def file_stream(spark: SparkSession, folder: str, schema: StructType, pattern: s
     return reader.format(kind).load(folder)
 
 
+def batch_name(spark: SparkSession, checkpoint: str, table: str, number: int) -> str:
+    """Ledger batch id of a micro-batch: the stream's own id, which Spark keeps in the checkpoint folder, the table and the number."""
+    identity = spark.read.text(f"{checkpoint}/metadata").first()[0]
+    return f"stream-{hashlib.sha256(f'{identity}/{table}'.encode()).hexdigest()[:16]}-{number:012d}"
+
+
 def stream_raw_append(stream: DataFrame, to_raw: Callable[[DataFrame], DataFrame], root: str, table: str, checkpoint: str) -> StreamingQuery:
     """Append each micro-batch to RAW, once.
 
-    The micro-batch number is the ledger's batch id: a batch that Spark runs again replaces its
-    own files. Records already loaded are left out by identity against the ledger, so there is no
+    The ledger's batch id names the stream, the table and the micro-batch: a batch that Spark runs
+    again is published once, and a stream that starts anew has batches of its own. Records already loaded are left out by identity against the ledger, so there is no
     watermark and a late record is never lost.
     """
 
     def load(batch: DataFrame, number: int) -> None:
-        append_raw_idempotent(to_raw(batch), root, table, f"stream-{number:012d}")
+        append_raw_idempotent(to_raw(batch), root, table, batch_name(batch.sparkSession, checkpoint, table, number))
 
     return (
         stream.writeStream.foreachBatch(load)
@@ -51,7 +58,7 @@ def record_arrivals(stream: DataFrame, at: str, source: str, window: str, root:
             F.count(F.lit(1)).alias("n"), F.min(at).alias("first_at"), F.max(at).alias("last_at")
         )
         rows = partial.select(F.col("w.start").alias("window_start"), source, "n", "first_at", "last_at")
-        append_ledger(root, f"stream-{number:012d}", {table: rows})
+        append_ledger(root, batch_name(batch.sparkSession, checkpoint, table, number), {table: rows})
 
     return (
         stream.writeStream.foreachBatch(load)

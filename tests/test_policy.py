@@ -339,3 +339,37 @@ def test_retire_orphans_ignores_versions_without_a_decision(spark):
     known = spark.createDataFrame([("d1",), (None,)], "manual_review_decision_id string")
     got = history.retire_orphans(versions, known, F.lit(T0)).collect()
     assert [(r.data_source_version_id, r.status) for r in got] == [("v2", "RETIRED")]
+
+
+def test_relevance_finds_terms_of_any_length(spark):
+    from attestry.operators import discovery
+
+    resources = spark.createDataFrame([(1, "On the social determinants of health in towns"), (2, "weather"), (3, None)], "id int, text string")
+    terms = spark.createDataFrame([("social determinants of health",), ("weather",), ("the social determinants of health in",)], "term string")
+    assert {r.id: r.term_hits for r in discovery.relevance_match(resources, "id", ["text"], terms).collect()} == {1: 2, 2: 1, 3: 0}
+    assert discovery.relevance_match(resources, "id", ["text"], terms.limit(0)).filter("term_hits = 0").count() == 3
+
+
+def test_all_server_failures_are_retried(spark):
+    from attestry.operators import quality
+
+    codes = spark.createDataFrame([(c,) for c in (200, 404, 429, 500, 501, 505, 520, 599, 600)], "c int")
+    again = {r.c for r in codes.withColumn("k", quality.retry_class(F.col("c"))).filter("k = 'RETRYABLE'").collect()}
+    assert again == {429, 500, 501, 505, 520, 599}
+
+
+def test_lineage_deeper_than_fifty_levels(spark):
+    from attestry.operators import lineage
+
+    edges = spark.createDataFrame([(f"a{i}", f"a{i + 1}") for i in range(53)], "output_object string, input_object string")
+    found = lineage.trace_lineage(edges, spark.createDataFrame([("a0",)], "asset string"))
+    assert found.agg(F.max("depth")).first()[0] == 53
+
+
+def test_points_without_coordinates_keep_a_row(spark):
+    from attestry.operators import match
+
+    points = spark.createDataFrame([(1, 10.0, 50.0), (2, None, 50.0)], "p int, lon double, lat double")
+    stations = spark.createDataFrame([(7, 10.1, 50.0)], "s int, lon double, lat double")
+    assert {r.p: r.s for r in match.nearest_station(points, stations, "p", "s").collect()} == {1: 7, 2: None}
+    assert {r.p: r.s for r in match.nearest_station(points, stations.limit(0), "p", "s").collect()} == {1: None, 2: None}

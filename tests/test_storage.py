@@ -13,10 +13,11 @@ from attestry.sources import files, ledger, paged
 from attestry.streaming import arrivals
 
 
-def test_unpublished_batches_are_invisible_and_reruns_replace(spark, tmp_path):
+def test_unpublished_batches_are_invisible_and_reruns_add_nothing(spark, tmp_path):
     root = str(tmp_path / "l")
     ledger.append_ledger(root, "1", {"a": spark.range(3), "b": spark.range(2)})
-    spark.range(100).withColumn("batch_id", F.lit("2")).write.mode("append").partitionBy("batch_id").parquet(f"{root}/a")
+    dead = spark.range(100).withColumn("batch_id", F.lit("2")).withColumn("attempt", F.lit("dead"))
+    dead.write.mode("append").partitionBy("batch_id", "attempt").parquet(f"{root}/a")
     assert ledger.read_ledger(spark, root, "a").count() == 3
     ledger.append_ledger(root, "2", {"a": spark.range(5)})
     ledger.append_ledger(root, "2", {"a": spark.range(5)})
@@ -24,6 +25,47 @@ def test_unpublished_batches_are_invisible_and_reruns_replace(spark, tmp_path):
     assert ledger.read_ledger(spark, root, "b").count() == 2
 
 
+def test_a_dead_attempt_stays_unread_when_its_rerun_is_empty(spark, tmp_path):
+    root = str(tmp_path / "l")
+    ledger.append_ledger(root, "1", {"a": spark.range(3)})
+    dead = spark.range(100).withColumn("batch_id", F.lit("2")).withColumn("attempt", F.lit("dead"))
+    dead.write.mode("append").partitionBy("batch_id", "attempt").parquet(f"{root}/a")
+    ledger.append_ledger(root, "2", {"a": spark.range(0)})
+    assert ledger.read_ledger(spark, root, "a").count() == 3
+
+
+def test_publication_is_by_table_and_published_rows_stay(spark, tmp_path):
+    root = str(tmp_path / "l")
+    ledger.append_ledger(root, "1", {"a": spark.range(3)})
+    dead = spark.range(5).withColumn("batch_id", F.lit("1")).withColumn("attempt", F.lit("dead"))
+    dead.write.mode("append").partitionBy("batch_id", "attempt").parquet(f"{root}/b")
+    assert ledger.read_ledger(spark, root, "b").count() == 0
+    ledger.append_ledger(root, "1", {"a": spark.range(50), "b": spark.range(7)})
+    assert ledger.read_ledger(spark, root, "a").count() == 3
+    assert ledger.read_ledger(spark, root, "b").count() == 7
+
+
+def test_a_new_stream_on_one_root_keeps_what_the_first_one_loaded(spark, tmp_path):
+    from attestry.streaming import arrivals
+
+    root, landing = str(tmp_path / "raw"), str(tmp_path / "landing")
+    for number, ids in enumerate((range(0, 3), range(3, 5))):
+        rows = spark.createDataFrame([(str(i), f'{{"a":{i}}}') for i in ids], "i string, p string")
+        rows.coalesce(1).write.mode("append").parquet(landing)
+        stream = arrivals.file_stream(spark, landing, rows.schema, "*.parquet")
+        loaded = arrivals.stream_raw_append(stream, lambda df: _raw_of(df), root, "raw", str(tmp_path / f"checkpoint{number}"))
+        loaded.awaitTermination()
+    found = ledger.read_ledger(spark, root, "raw")
+    assert sorted(r[0] for r in found.select("source_record_id").collect()) == ["0", "1", "2", "3", "4"]
+
+
+def _raw_of(df):
+    return ledger.raw_rows(
+        df, "p", version=F.lit("v"), run=F.lit("r"), artifact=F.lit("a"), source_url=F.lit("https://h/x"), record_id=F.col("i"),
+        retrieved_at=F.lit(datetime(2026, 1, 1)),
+    )
+
+
 def test_tables_without_rows_can_be_read(spark, tmp_path):
     root = str(tmp_path / "l")
     ledger.append_ledger(root, "1", {"a": spark.range(0), "b": spark.range(3).withColumn("p", F.lit(1))}, {"b": ["p"]})
