@@ -9,11 +9,12 @@ can have moved: the band. Texts with similarity ``SIMILARITY`` or more are linke
 on one sketch with a probability of about S ** PICKED, so it is missed with (1 - S ** PICKED) ** SKETCHES, 4 in 100,000.
 
 Scale: equal texts are one class from the start (128 hash bits, pre-aggregated). Within a bucket of a sketch, classes are first compared
-with one leader only. Buckets that then still span several groups get 8, 64, ... random leaders, until all their members have been leaders:
-a large group of copies costs one comparison per member, and no pair of different groups that shares a sketch is left out but by the
-signatures: a pair is only made, in the first bucket it shares, if its one-permutation signatures (``BINS`` bins of four bits) allow for a
-similarity of ``LIKELY``, which a pair at the limit fails by chance once in 30,000. Pairs within a group are not expanded. Intermediate
-tables lie in the shared folder.
+with one leader only. Buckets that then still span several groups get ``GROWTH`` random leaders, then ``GROWTH`` times as many, until all
+their members have been leaders: a large group of copies costs one comparison per member, and no pair of different groups that shares a
+sketch is left out but by the signatures: blocks of leaders meet blocks of members in tasks of bounded size, and a pair is only aligned, in
+the first bucket it shares, if its one-permutation signatures (``BINS`` bins of four bits) allow for a similarity of ``LIKELY``, which a pair
+at the limit fails by chance once in 30,000, and if no other link has joined the two yet. Only links leave the task. Intermediate tables lie
+in the shared folder.
 
 Defined results: null texts count as empty; all empty texts are one class; null ids sort last; of repeated rows one is kept. Rows and
 columns of the input are otherwise untouched.
@@ -24,18 +25,22 @@ from __future__ import annotations
 from bisect import bisect_left
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from attestry.llm.components import components
-from attestry.llm.tables import Recent, per_batch, stored, text_of
+from attestry.llm.components import Merged, representatives
+from attestry.llm.tables import Recent, per_batch, ship, stored, text_of
 
 K = 5
 SIMILARITY = 0.8
 PICKED = 3
 SKETCHES = 14
-GROWTH = 8
+GROWTH = 4096
+BLOCK = 512
+BULK = 2_000_000
 BINS = 512
 LIKELY = 0.72
 
@@ -113,11 +118,24 @@ def signature(kmers: np.ndarray) -> list[int]:
     return np.concatenate((packed, masks)).view(np.int64).tolist()
 
 
-#: SQL: whether the signatures sa and sb allow for the similarity. Bins that are empty on both sides say nothing.
-_FOURS = "shiftrightunsigned(x ^ y, 1) | shiftrightunsigned(x ^ y, 2) | shiftrightunsigned(x ^ y, 3) | (x ^ y)"
-MAY_BE_SIMILAR = f"""aggregate(zip_with(slice(sa, 1, {BINS // 16}), slice(sb, 1, {BINS // 16}), (x, y) -> 16 - bit_count(({_FOURS}) & 1229782938247303441L)), 0, (s, x) -> s + x)
-    - {BINS} + aggregate(zip_with(slice(sa, {BINS // 16 + 1}, {BINS // 64}), slice(sb, {BINS // 16 + 1}, {BINS // 64}), (x, y) -> bit_count(x | y)), 0, (s, x) -> s + x)
-    >= {LIKELY} * aggregate(zip_with(slice(sa, {BINS // 16 + 1}, {BINS // 64}), slice(sb, {BINS // 16 + 1}, {BINS // 64}), (x, y) -> bit_count(x | y)), 0, (s, x) -> s + x)"""
+def may_be_similar(sa: np.ndarray, sb: np.ndarray) -> np.ndarray:
+    """Row by row, whether two signatures allow for the similarity. Bins that are empty on both sides say nothing."""
+    x = sa[:, : BINS // 16] ^ sb[:, : BINS // 16]
+    x = (x | x >> np.uint64(1) | x >> np.uint64(2) | x >> np.uint64(3)) & np.uint64(0x1111111111111111)
+    used = np.bitwise_count(sa[:, BINS // 16 :] | sb[:, BINS // 16 :]).sum(axis=1, dtype=np.int64)
+    return used - np.bitwise_count(x).sum(axis=1, dtype=np.int64) >= LIKELY * used
+
+
+def likely_pairs(j: int, a: tuple, b: tuple) -> tuple[np.ndarray, np.ndarray]:
+    """Places in ``a`` and ``b``, each (components, sketches, signatures) of members of one bucket of sketch ``j``, of the pairs to align: of two
+    components, in the first bucket they share, with signatures that allow for it."""
+    open_ = a[0][:, None] != b[0][None, :]
+    for i in range(j):
+        open_ &= a[1][:, None, i] != b[1][None, :, i]
+    x, y = np.nonzero(open_)
+    found = [may_be_similar(a[2][x[at : at + 20_000]], b[2][y[at : at + 20_000]]) for at in range(0, len(x), 20_000)]
+    keep = np.concatenate(found) if found else np.zeros(0, bool)
+    return x[keep], y[keep]
 
 
 def similarity(a: np.ndarray, b: np.ndarray, limit: float = SIMILARITY) -> float:
@@ -155,25 +173,26 @@ def groups(docs: DataFrame, key: str = "doc_id") -> tuple[DataFrame, DataFrame]:
     """Classes of equal texts and their groups.
 
     The first table has a row per row of ``docs`` (key, _a, _b), the second a row per class: _a, _b, its smallest key and number of rows,
-    and of its group the smallest (key, _a, _b) as ``top`` and the number of other classes it is directly linked to, as far as compared.
+    and of its group the smallest (key, _a, _b) as ``top`` and how many found links it has: enough of them to join the group, not all there are.
     """
     kind = dict(docs.dtypes)[key]
 
     def sketches(columns: list) -> list:
         a, b, keys, texts = columns
-        kmers = [labelled(words_of(t)) for t in texts]
-        return [a, b, keys, [sketch(k) for k in kmers], [signature(k) for k in kmers]]
+        words = [words_of(t) for t in texts]
+        kmers = [labelled(w) for w in words]
+        return [a, b, keys, [sketch(k) for k in kmers], [signature(k) for k in kmers], [len(w) for w in words]]
 
     rows = stored(
-        per_batch(docs.select(*_keys(), F.col(key), "text"), sketches, f"_a long, _b long, `{key}` {kind}, sketch array<long>, sign array<long>"),
+        per_batch(docs.select(*_keys(), F.col(key), "text"), sketches, f"_a long, _b long, `{key}` {kind}, sketch array<long>, sign array<long>, n_words long"),
         "sketches",
     )
     least = F.min(F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("key")))
-    classes = rows.groupBy("_a", "_b").agg(least.alias("least"), F.count("*").alias("n_rows"), F.first("sketch").alias("sketch"), F.first("sign").alias("sign"))
+    classes = rows.groupBy("_a", "_b").agg(least.alias("least"), F.count("*").alias("n_rows"), F.first("sketch").alias("sketch"), F.first("sign").alias("sign"), F.first("n_words").alias("n_words"))
     classes = stored(classes.withColumn("cid", F.monotonically_increasing_id()), "classes")
-    members = classes.select("cid", F.posexplode("sketch").alias("j", "v"))
-    sizes = members.groupBy("j", "v").agg(F.min("cid").alias("lead"), F.count("*").alias("n")).filter("n > 1")
-    shared = stored(members.join(sizes, ["j", "v"]), "buckets")
+    members = classes.select("cid", "n_words", F.posexplode("sketch").alias("j", "v"))
+    sizes = members.groupBy("j", "v").agg(F.min("cid").alias("lead"), F.count("*").alias("n"), F.sum("n_words").alias("bulk")).filter("n > 1")
+    shared = stored(members.drop("n_words").join(sizes, ["j", "v"]), "buckets")
 
     candidates = shared.select("cid").distinct().join(classes.select("cid", "_a", "_b"), "cid")
     texts = docs.select(*_keys(), text_of().alias("text")).join(candidates, ["_a", "_b"])
@@ -186,10 +205,11 @@ def groups(docs: DataFrame, key: str = "doc_id") -> tuple[DataFrame, DataFrame]:
     words = per_batch(texts.select("cid", "text"), sequences, "cid long, words binary").groupBy("cid").agg(F.first("words").alias("words"))
     words = stored(words, "words")
     links = verified(shared.filter("cid <> lead").select(F.col("lead").alias("a"), F.col("cid").alias("b")).distinct(), words)
-    labels = components(links)
+    labels = representatives(links)
 
+    largest = shared.agg(F.max("n")).first()[0] or 0
     share = 0
-    while True:
+    while GROWTH**share < largest:
         placed = shared.join(labels.withColumnRenamed("id", "cid"), "cid", "left").withColumn("component", F.coalesce("component", "cid"))
         spans = placed.groupBy("j", "v").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi").select("j", "v")
         # Leaders of a round are drawn by hash: about GROWTH ** (share + 1) of a bucket's members that have not led before.
@@ -197,23 +217,14 @@ def groups(docs: DataFrame, key: str = "doc_id") -> tuple[DataFrame, DataFrame]:
         before = F.lit(0.0) if share == 0 else F.lit(float(GROWTH**share)) / F.col("n")
         now = F.lit(float(GROWTH ** (share + 1))) / F.col("n")
         open_rows = placed.join(spans, ["j", "v"]).withColumn("draw", draw).filter(F.col("draw") >= before)
-        open_rows = stored(open_rows.join(classes.select("cid", "sketch", "sign"), "cid"), "open")
+        open_rows = stored(open_rows.select("cid", "component", "j", "v", "n", "bulk", (F.col("draw") < now).alias("leads")), "open")
         if open_rows.isEmpty():
             break
-        leaders = open_rows.filter(F.col("draw") < now).select("j", "v", F.col("cid").alias("a"), F.col("component").alias("ca"), F.col("sketch").alias("ka"), F.col("sign").alias("sa"))
-        others = open_rows.select(F.col("j").alias("jb"), F.col("v").alias("vb"), F.col("cid").alias("b"), F.col("component").alias("cb"), F.col("sketch").alias("kb"), F.col("sign").alias("sb"))
-        pairs = others.join(
-            leaders,
-            (F.col("j") == F.col("jb"))
-            & (F.col("v") == F.col("vb"))
-            & (F.col("ca") != F.col("cb"))
-            & F.expr("array_position(zip_with(ka, kb, (x, y) -> x = y), true) = j + 1")
-            & F.expr(MAY_BE_SIMILAR),
-        )
-        more = verified(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), words)
+        open_rows = open_rows.join(classes.select("cid", "sketch", "sign"), "cid").join(words, "cid")
+        more = stored(compared(open_rows, GROWTH ** (share + 1)), "links")
         links = links.unionByName(more)
         if not more.isEmpty():
-            labels = components(links)
+            labels = representatives(links)
         share += 1
 
     placed = classes.join(labels.withColumnRenamed("id", "cid"), "cid", "left").withColumn("component", F.coalesce("component", "cid"))
@@ -223,6 +234,50 @@ def groups(docs: DataFrame, key: str = "doc_id") -> tuple[DataFrame, DataFrame]:
     return rows.select(key, "_a", "_b"), out.select("_a", "_b", "n_rows", "top", "group_rows", F.coalesce("n_links", F.lit(0)).alias("n_links"))
 
 
+def compared(rows: DataFrame, leaders: int) -> DataFrame:
+    """Links (a, b) between components among the members of each bucket, of which about ``leaders`` lead; of links inside a group, those of a forest.
+
+    Leaders are dealt into blocks of about ``BLOCK`` members or ``BULK`` words, all members into blocks of four times that, and each pair of
+    blocks is compared in one group, so a group is bounded whatever the size of its bucket. Of two leaders, the smaller one compares.
+    """
+    blocks = F.greatest(F.col("n") / BLOCK, F.col("bulk") / BULK)
+    n_a = F.ceil(blocks * F.least(F.lit(1.0), F.lit(leaders) / F.col("n"))).cast("int")
+    placed = rows.withColumns({"n_a": n_a, "n_b": F.ceil(blocks / 4).cast("int")})
+    own_a, own_b = F.pmod(F.xxhash64("cid", F.lit("a")), "n_a").cast("int"), F.pmod(F.xxhash64("cid", F.lit("b")), "n_b").cast("int")
+    data = ["j", "v", "cid", "component", "leads", "sketch", "sign", "words"]
+    first = placed.filter("leads").select(*data, F.lit(True).alias("first"), own_a.alias("block_a"), F.explode(F.sequence(F.lit(0), F.col("n_b") - 1)).alias("block_b"))
+    second = placed.select(*data, F.lit(False).alias("first"), F.explode(F.sequence(F.lit(0), F.col("n_a") - 1)).alias("block_a"), own_b.alias("block_b"))
+    ship(rows.sparkSession)
+
+    def side(part: pa.Table) -> tuple:
+        longs = [part.column(c).combine_chunks().flatten().to_numpy().view(np.uint64).reshape(part.num_rows, -1) for c in ("sketch", "sign")]
+        return part.column("component").to_numpy(), *longs
+
+    def compare(group: pa.Table) -> pa.Table:
+        is_first = group.column("first")
+        a, b = group.filter(is_first), group.filter(pc.invert(is_first))
+        found: list[tuple[int, int]] = []
+        if a.num_rows and b.num_rows:
+            ids_a, ids_b = a.column("cid").to_numpy(), b.column("cid").to_numpy()
+            x, y = likely_pairs(group.column("j")[0].as_py(), side(a), side(b))
+            once = ~b.column("leads").to_numpy()[y] | (ids_a[x] < ids_b[y])
+            of_a, of_b = a.column("component").to_pylist(), b.column("component").to_pylist()
+            words_a, words_b = a.column("words"), b.column("words")
+            kmers_a, kmers_b = Recent(lambda i: _kmers(words_a[i].as_py())), Recent(lambda i: _kmers(words_b[i].as_py()))
+            merged = Merged()
+            for i, k in zip(x[once].tolist(), y[once].tolist()):
+                if merged.top(of_a[i]) != merged.top(of_b[k]) and similarity(kmers_a[i], kmers_b[k]) > 0:
+                    merged.join(of_a[i], of_b[k])
+                    found.append((int(ids_a[i]), int(ids_b[k])))
+        return pa.table({"a": pa.array([i for i, _ in found], pa.int64()), "b": pa.array([k for _, k in found], pa.int64())})
+
+    return first.unionByName(second).groupBy("j", "v", "block_a", "block_b").applyInArrow(compare, "a long, b long")
+
+
+def _kmers(raw: bytes) -> np.ndarray:
+    return labelled(np.frombuffer(raw, "<u4").astype(np.uint64))
+
+
 def verified(pairs: DataFrame, words: DataFrame) -> DataFrame:
     """The pairs (a, b) whose texts are similar enough, written to the shared folder."""
     left = words.select(F.col("cid").alias("a"), F.col("words").alias("wa"))
@@ -230,7 +285,7 @@ def verified(pairs: DataFrame, words: DataFrame) -> DataFrame:
 
     def check(columns: list) -> list:
         out = []
-        memo = Recent(lambda raw: labelled(np.frombuffer(raw, "<u4").astype(np.uint64)), 64)
+        memo = Recent(_kmers, 64)
         for a, b, wa, wb in zip(*columns):
             if similarity(memo[wa], memo[wb]) > 0:
                 out.append((a, b))
@@ -240,7 +295,7 @@ def verified(pairs: DataFrame, words: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id") -> DataFrame:
-    """One row per row of ``docs``: its key, the class id (smallest key of its group), rows of the group, links of its text, kept."""
+    """One row per row of ``docs``: its key, the class id (smallest key of its group), rows of the group, found links of its text, kept."""
     rows, classes = groups(docs, key)
     joined = rows.join(classes, ["_a", "_b"])
     first = (F.col("_a") == F.col("top._a")) & (F.col("_b") == F.col("top._b")) & F.col(key).eqNullSafe(F.col("top.key"))
