@@ -160,6 +160,14 @@ def test_components(spark):
     assert found == {**{i: 0 for i in range(41)}, 100: 90, 90: 90, 95: 90}
 
 
+def test_components_of_chains_dealt_over_blocks(spark, monkeypatch):
+    monkeypatch.setattr(components, "BLOCK", 7)
+    links = [(i, i + 1) for i in range(150)] + [(1000 + i % 3, 1003 + i) for i in range(30)] + [(1000, 1001)] * 2 + [(1001, 1002)]
+    random.Random(3).shuffle(links)
+    found = dict(components.components(spark.createDataFrame(links, "a long, b long").repartition(6)).collect())
+    assert found == {**{i: 0 for i in range(151)}, **{1000 + i: 1000 for i in range(33)}}
+
+
 # --- 4 packing
 
 
