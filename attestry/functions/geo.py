@@ -25,19 +25,19 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def _points(coordinates: Column, depth: int) -> Column:
+def _rings(coordinates: Column, depth: int) -> Column:
+    """Coordinates of any depth as a list of point chains: the rings of all parts, or the one chain of simpler geometries."""
     kind = "array<double>"
     for _ in range(depth):
         kind = f"array<{kind}>"
     parsed = F.from_json(coordinates, kind)
-    if depth == 0:
-        return F.filter(F.array(parsed), lambda p: p.isNotNull())
-    for _ in range(depth - 1):
-        parsed = F.flatten(parsed)
-    return parsed
+    if depth == 3:
+        return F.flatten(parsed)
+    return parsed if depth == 2 else F.array(F.array(parsed)) if depth == 0 else F.array(parsed)
 
 
-def _box(kind: Column, points: Column) -> Column:
+def _box(kind: Column, rings: Column) -> Column:
+    points = F.flatten(rings)
     sound = (F.size(points) > 0) & F.forall(
         points, lambda p: (F.size(p) >= 2) & F.get(p, 0).isNotNull() & F.get(p, 1).isNotNull()
     )
@@ -46,7 +46,7 @@ def _box(kind: Column, points: Column) -> Column:
         F.coalesce(sound, F.lit(False)),
         F.struct(
             kind.alias("type"),
-            points.alias("points"),
+            F.filter(rings, lambda r: F.size(r) > 0).alias("rings"),
             F.array_min(xs).alias("min_x"),
             F.array_min(ys).alias("min_y"),
             F.array_max(xs).alias("max_x"),
@@ -56,13 +56,17 @@ def _box(kind: Column, points: Column) -> Column:
 
 
 def parse_geometry(geojson: Column) -> Column:
-    """Struct of type, points and bounding box; null for text that is not a usable geometry."""
+    """Struct of type, rings and bounding box; null for text that is not a usable geometry.
+
+    The rings of all parts stand side by side, outer ones and holes alike: which is which follows from
+    the parity of crossings. Points and lines are one chain; empty rings are left out.
+    """
     kind = F.get_json_object(geojson, "$.type")
     coordinates = F.get_json_object(geojson, "$.coordinates")
-    points = F.when(F.lit(False), F.lit(None).cast("array<array<double>>"))
+    rings = F.when(F.lit(False), F.lit(None).cast("array<array<array<double>>>"))
     for name, depth in _DEPTH.items():
-        points = points.when(kind == name, _points(coordinates, depth))
-    return let(F.struct(kind.alias("kind"), points.alias("points")), lambda g: _box(g["kind"], g["points"]))
+        rings = rings.when(kind == name, _rings(coordinates, depth))
+    return let(F.struct(kind.alias("kind"), rings.alias("rings")), lambda g: _box(g["kind"], g["rings"]))
 
 
 def unit_vector(lon: Column, lat: Column) -> dict[str, Column]:
@@ -90,8 +94,21 @@ def ring_edges(ring: Column) -> Column:
     )
 
 
+def area_edges(rings: Column) -> Column:
+    """Edges of all rings of an area; no edge joins one ring to the next."""
+    return F.flatten(F.transform(rings, ring_edges))
+
+
+def any_ring_inside(rings: Column, edges: Column) -> Column:
+    """Whether the first point of any ring lies inside the area with these edges."""
+    return F.exists(rings, lambda r: ring_contains(edges, F.get(F.get(r, 0), 0), F.get(F.get(r, 0), 1)))
+
+
 def ring_contains(edges: Column, x: Column, y: Column) -> Column:
-    """Ray casting: a point is inside if a ray to the right crosses an odd number of edges."""
+    """Ray casting: a point is inside if a ray to the right crosses an odd number of edges.
+
+    Over the edges of all rings this is right for holes and for parts that do not overlap.
+    """
 
     def crosses(e: Column) -> Column:
         at = (e["bx"] - e["ax"]) * (y - e["ay"]) / (e["by"] - e["ay"]) + e["ax"]
@@ -105,7 +122,7 @@ def _turn(px: Column, py: Column, qx: Column, qy: Column, rx: Column, ry: Column
 
 
 def edges_cross(left: Column, right: Column) -> Column:
-    """Whether any edge of one ring properly crosses an edge of the other."""
+    """Whether any edge of one area properly crosses an edge of the other."""
 
     def pair(a: Column, b: Column) -> Column:
         one = _turn(a["ax"], a["ay"], a["bx"], a["by"], b["ax"], b["ay"])

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from attestry.functions.geo import chord_to_metres, edges_cross, ring_contains, ring_edges, unit_vector
+from attestry.functions.geo import any_ring_inside, area_edges, chord_to_metres, edges_cross, ring_contains, unit_vector
 from attestry.operators.segments import join_on_key
 
 
@@ -128,8 +128,9 @@ def nearest_station(
     return asked.join(found, asked[point_id].eqNullSafe(found["__point"]), "left").drop("__point")
 
 
-def _ring(geometry: str) -> Column:
-    return F.col(f"{geometry}.points")
+def _areas(df: DataFrame, geometry: str) -> DataFrame:
+    """Rows whose geometry has an inside."""
+    return df.filter(F.col(f"{geometry}.type").isin("Polygon", "MultiPolygon"))
 
 
 def _box_level(geometry: str) -> Column:
@@ -151,14 +152,14 @@ def _cover(df: DataFrame, geometry: str, level: Column) -> DataFrame:
 
 
 def match_contains(points: DataFrame, areas: DataFrame, geometry: str) -> DataFrame:
-    """CONTAINS: points joined to the areas (parsed geometry, outer ring) that contain them.
+    """CONTAINS: points joined to the areas (parsed geometry of any parts and holes) that contain them.
 
     Every area is laid on the grid whose cells fit its own size; a point looks up its cell once
     per grid in use (at most a few dozen). Only points of a cell meet the areas of that cell.
     """
-    sized = areas.withColumn("__level", _box_level(geometry))
+    sized = _areas(areas, geometry).withColumn("__level", _box_level(geometry))
     levels = sized.agg(F.collect_set("__level").alias("levels")).scalar()
-    covered = _cover(sized, geometry, F.col("__level")).withColumn("__edges", ring_edges(_ring(geometry)))
+    covered = _cover(sized, geometry, F.col("__level")).withColumn("__edges", area_edges(F.col(f"{geometry}.rings")))
     placed = points.withColumn("__level", F.explode(levels))
     size = F.pow(F.lit(2.0), F.col("__level"))
     placed = placed.withColumns({"__cx": F.floor(F.col("lon") / size), "__cy": F.floor(F.col("lat") / size)})
@@ -172,15 +173,15 @@ def match_contains(points: DataFrame, areas: DataFrame, geometry: str) -> DataFr
 
 
 def match_intersects(left: DataFrame, right: DataFrame, left_id: str, right_id: str) -> DataFrame:
-    """INTERSECTS: pairs of areas whose outer rings cross or contain one another.
+    """INTERSECTS: pairs of areas that share a point: their rings cross, or a ring of one lies inside the other.
 
     A pair meets on the coarser grid of the two, in the one cell that holds the lower corner of
     their common box, so no pair is produced twice.
     """
 
     def prepare(df: DataFrame, name: str, ident: str) -> DataFrame:
-        return df.select(F.col(ident).alias(f"__{name}_id"), F.col("geometry").alias(f"__{name}")).withColumns(
-            {f"__{name}_level": _box_level(f"__{name}"), f"__{name}_edges": ring_edges(F.col(f"__{name}.points"))}
+        return _areas(df, "geometry").select(F.col(ident).alias(f"__{name}_id"), F.col("geometry").alias(f"__{name}")).withColumns(
+            {f"__{name}_level": _box_level(f"__{name}"), f"__{name}_edges": area_edges(F.col(f"__{name}.rings"))}
         )
 
     a, b = prepare(left, "a", left_id), prepare(right, "b", right_id)
@@ -202,12 +203,7 @@ def match_intersects(left: DataFrame, right: DataFrame, left_id: str, right_id:
     once = (F.floor(corner_x / size) == F.col("__cx")) & (F.floor(corner_y / size) == F.col("__cy"))
     met = met.filter((F.col("__level") == F.greatest("__a_level", "__b_level")) & boxes & once)
     ea, eb = F.col("__a_edges"), F.col("__b_edges")
-    first_a, first_b = F.element_at(F.col("__a.points"), 1), F.element_at(F.col("__b.points"), 1)
-    touch = (
-        edges_cross(ea, eb)
-        | ring_contains(eb, F.get(first_a, 0), F.get(first_a, 1))
-        | ring_contains(ea, F.get(first_b, 0), F.get(first_b, 1))
-    )
+    touch = edges_cross(ea, eb) | any_ring_inside(F.col("__a.rings"), eb) | any_ring_inside(F.col("__b.rings"), ea)
     return met.filter(touch).select(F.col("__a_id").alias(left_id), F.col("__b_id").alias(f"other_{right_id}"))
 
 

@@ -96,3 +96,41 @@ def test_enforced_guard_fails(spark):
         match.enforce(judged).collect()
     with pytest.raises(ValueError):
         match.era_union([facts])
+
+
+def test_parts_and_holes_match_brute_force(spark):
+    rng = random.Random(11)
+
+    def parts(n):
+        """Disjoint boxes side by side, each with a hole of half its size; as GeoJSON and as (outer, hole) pairs."""
+        size, x, y = 2 ** rng.uniform(0, 4), rng.uniform(-60, 40), rng.uniform(-40, 20)
+        boxes = [(x + 2 * k * size, y, x + (2 * k + 1) * size, y + size) for k in range(n)]
+        return [(b, (b[0] + size / 4, b[1] + size / 4, b[2] - size / 4, b[3] - size / 4)) for b in boxes]
+
+    shapes = [parts(1 + i % 4) for i in range(40)] + [[((0, 0, 16, 16), (4, 4, 12, 12))], [((6, 6, 10, 10), (7, 7, 9, 9))]]
+    texts = ['{"type":"MultiPolygon","coordinates":%s}' % [[[list(p) for p in ring(b)] for b in part] for part in shape] for shape in shapes]
+    rows = [*enumerate(texts), (900, '{"type":"LineString","coordinates":[[-99,-99],[99,-99],[99,99],[-99,99]]}'), (901, None)]
+    df = spark.createDataFrame(rows, "area_id int, t string").select("area_id", parse_geometry(F.col("t")).alias("geometry"))
+
+    def within(x, y, b):
+        return b[0] < x < b[2] and b[1] < y < b[3]
+
+    points = [(rng.uniform(-70, 120), rng.uniform(-50, 40)) for _ in range(600)] + [(8.1, 8.3), (6.5, 6.6), (2.2, 2.1)]
+    placed = spark.createDataFrame([(i, *p) for i, p in enumerate(points)], "point_id int, lon double, lat double")
+    got = [(r.point_id, r.area_id) for r in match.match_contains(placed, df, "geometry").collect()]
+    want = {(i, j) for i, (x, y) in enumerate(points) for j, s in enumerate(shapes) if any(within(x, y, o) and not within(x, y, h) for o, h in s)}
+    assert len(got) == len(set(got)) and set(got) == want
+
+    def meet(a, b):
+        return a[0] < b[2] and b[0] < a[2] and a[1] < b[3] and b[1] < a[3]
+
+    def holds(outer, b):
+        return outer[0] <= b[0] and b[2] <= outer[2] and outer[1] <= b[1] and b[3] <= outer[3]
+
+    # Two frames share a point unless their boxes do not meet or one lies in the hole of the other.
+    overlap = {
+        (i, j) for i, a in enumerate(shapes) for j, b in enumerate(shapes)
+        if any(meet(oa, ob) and not holds(ha, ob) and not holds(hb, oa) for oa, ha in a for ob, hb in b)
+    }
+    pairs = [(r.area_id, r.other_area_id) for r in match.match_intersects(df, df, "area_id", "area_id").collect()]
+    assert len(pairs) == len(set(pairs)) and set(pairs) == overlap and (40, 41) not in overlap
