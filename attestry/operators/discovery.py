@@ -165,12 +165,23 @@ def register_resources(datasets: DataFrame, dataset_id: str, distributions: str)
     return route_resource(exploded, "resource_url")
 
 
+TRACKING = r"^(utm_[a-z]+|gclid|fbclid|msclkid|ref)(=|$)"
+
+
 def canonical_url(url: Column) -> Column:
-    """URL without scheme, ``www``/``m`` prefix, query, fragment, trailing slash and page suffix, host lower-cased."""
-    bare = F.regexp_replace(F.substring_index(F.substring_index(url, "#", 1), "?", 1), r"^[A-Za-z][A-Za-z0-9+.-]*://", "")
+    """URL without scheme, ``www``/``m`` prefix, fragment, trailing slash and page suffix, host lower-cased.
+
+    Of the query only tracking parameters go; the others stay, in order of their text.
+    """
+    whole = F.substring_index(url, "#", 1)
+    address = F.substring_index(whole, "?", 1)
+    asked = F.split(F.substr(whole, F.length(address) + 2), "&")
+    asked = F.array_sort(F.filter(asked, lambda p: (p != "") & ~p.rlike(TRACKING)))
+    query = F.when(F.size(asked) > 0, F.concat(F.lit("?"), F.array_join(asked, "&"))).otherwise("")
+    bare = F.regexp_replace(address, r"^[A-Za-z][A-Za-z0-9+.-]*://", "")
     host = F.regexp_replace(F.lower(F.substring_index(bare, "/", 1)), r"^(www|m)\.", "")
     path = F.regexp_replace(F.substr(bare, F.length(F.substring_index(bare, "/", 1)) + 1), r"(/|\.html?)+$", "")
-    return F.concat(host, path)
+    return F.concat(host, path, query)
 
 
 def resolve_mirrors(resources: DataFrame, key: Column, id_column: str) -> DataFrame:

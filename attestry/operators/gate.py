@@ -55,11 +55,12 @@ def count_matches(df: DataFrame, matches: DataFrame, key: str, name: str, unique
 
 
 def unresolved_changes(changes: DataFrame, decisions: DataFrame | None = None) -> DataFrame:
-    """Change events that still block: not compatible, not justified, not followed by a decision."""
+    """Change events that still block: not compatible, not justified, not followed by an approving decision."""
     blocking = changes.filter(~F.col("compatibility_outcome").isin("COMPATIBLE", "IGNORED_WITH_JUSTIFICATION"))
     if decisions is None:
         return blocking
-    last = decisions.groupBy("resource_key").agg(F.max("decided_at").alias("__last_decided"))
+    approving = decisions.filter(F.col("decision").isin("APPROVED", "APPROVED_WITH_CONDITIONS"))
+    last = approving.groupBy("resource_key").agg(F.max("decided_at").alias("__last_decided"))
     joined = join_on_key(blocking, last, ["resource_key"], "left")
     return joined.filter(
         F.col("__last_decided").isNull() | (F.col("__last_decided") <= F.col("detected_at"))

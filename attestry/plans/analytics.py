@@ -168,11 +168,11 @@ def lineage_edges(t: Tables) -> DataFrame:
 
 @query(
     "reconcile_edges",
-    """WITH d AS (SELECT DISTINCT l_suppkey, l_partkey FROM lineitem WHERE l_returnflag <> 'N'), o AS (SELECT DISTINCT l_suppkey, l_partkey FROM lineitem WHERE l_linestatus = 'O')
+    """WITH d AS (SELECT DISTINCT l_suppkey, l_partkey FROM lineitem WHERE l_returnflag <> 'N'), o AS (SELECT DISTINCT l_suppkey, l_partkey FROM lineitem WHERE l_linestatus = 'O' OR l_returnflag = 'N')
        SELECT l_suppkey, l_partkey, 'DECLARED_ONLY' AS side FROM (FROM d EXCEPT FROM o) UNION ALL SELECT l_suppkey, l_partkey, 'OBSERVED_ONLY' FROM (FROM o EXCEPT FROM d)""",
 )
 def reconcile_edges(t: Tables) -> DataFrame:
-    declared, observed = t.lineitem.filter("l_returnflag <> 'N'"), t.lineitem.filter("l_linestatus = 'O'")
+    declared, observed = t.lineitem.filter("l_returnflag <> 'N'"), t.lineitem.filter("l_linestatus = 'O' OR l_returnflag = 'N'")
     return lineage.reconcile_edges(declared, observed, ["l_suppkey", "l_partkey"])
 
 

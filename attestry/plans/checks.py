@@ -243,7 +243,7 @@ def document_diff(t: Tables) -> DataFrame:
 @query(
     "snapshot_diff",
     """WITH o AS (SELECT * FROM orders WHERE o_orderdate < TIMESTAMP '1998-01-01' QUALIFY ROW_NUMBER() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1),
-       n AS (SELECT * FROM orders WHERE o_orderdate >= TIMESTAMP '2000-06-01' QUALIFY ROW_NUMBER() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1)
+       n AS (SELECT * FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01' QUALIFY ROW_NUMBER() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1)
        SELECT COALESCE(o.o_custkey, n.o_custkey) AS o_custkey, sha256(o.o_orderstatus) AS old_value, sha256(n.o_orderstatus) AS new_value,
          CASE WHEN o.o_custkey IS NULL THEN 'INSERTED' WHEN n.o_custkey IS NULL THEN 'DELETED' WHEN o.o_orderstatus = n.o_orderstatus THEN 'SAME' ELSE 'CHANGED' END AS change
        FROM o FULL OUTER JOIN n ON o.o_custkey = n.o_custkey""",
@@ -255,7 +255,7 @@ def snapshot_diff(t: Tables) -> DataFrame:
         return history.latest_per_key(rows, ["o_custkey"], ["o_orderdate", "o_orderkey"])
 
     old = newest(hashed.filter(F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp_ntz")))
-    new = newest(hashed.filter(F.col("o_orderdate") >= F.lit("2000-06-01").cast("timestamp_ntz")))
+    new = newest(hashed.filter(F.col("o_orderdate") >= F.lit("1998-01-01").cast("timestamp_ntz")))
     return change.snapshot_diff(old, new, ["o_custkey"], "row_hash")
 
 

@@ -256,12 +256,13 @@ def search_plan_first(t: Tables) -> DataFrame:
 @query(
     "search_config_checks",
     f"""WITH {PLAN_SQL} SELECT DISTINCT 'missing_or_empty_group' AS violation, catalog_id, group_id FROM refs
-        WHERE group_id NOT IN (SELECT p_brand FROM part WHERE p_size > 49)
+        WHERE group_id NOT IN (SELECT p_brand FROM part WHERE p_size > 49 AND p_name IS NOT NULL)
         UNION ALL SELECT 'unsupported_schema_version', NULL, NULL FROM region WHERE r_name <> 'ASIA'""",
 )
 def search_config_checks(t: Tables) -> DataFrame:
     versions = t.region.select(F.when(F.col("r_name") == "ASIA", "1.0").otherwise("0.9").alias("schema_version"))
-    terms = t.part.filter("p_size > 49").select(F.col("p_brand").alias("group_id"), F.col("p_name").alias("term"))
+    # Every part is a row of its group; only large ones carry a term, so some groups have rows and no term.
+    terms = t.part.select(F.col("p_brand").alias("group_id"), F.when(F.col("p_size") > 49, F.col("p_name")).alias("term"))
     return discovery.search_config_checks(versions, search_references(t), terms)
 
 
@@ -286,20 +287,23 @@ def distinct_catalogs(t: Tables) -> DataFrame:
 
 
 CANONICAL = r"regexp_replace(lower(split_part(bare, '/', 1)), '^(www|m)\.', '') || regexp_replace(substr(bare, length(split_part(bare, '/', 1)) + 1), '(/|\.html?)+$', '')"
-MIRROR_KEY = r"regexp_replace(regexp_replace(canonical, '^[^/]*?([^./]+\.[^./]+)/', '\1/'), '/[0-9]+$', '')"
+MIRROR_KEY = r"regexp_replace(regexp_replace(canonical, '^[^/]*?([^./]+\.[^./]+)/', '\1/'), '/[0-9]+($|\?)', '\1')"
 
 
 @query(
     "mirrors",
-    f"""WITH b AS (SELECT page_id, regexp_replace(split_part(split_part(url, '#', 1), '?', 1), '^[A-Za-z][A-Za-z0-9+.-]*://', '') AS bare FROM pages),
-        c AS (SELECT page_id, {CANONICAL} AS canonical FROM b), k AS (SELECT page_id, {MIRROR_KEY} AS canonical_key FROM c)
+    f"""WITH u AS (SELECT page_id, split_part(url, '#', 1) AS whole, split_part(split_part(url, '#', 1), '?', 1) AS address FROM pages),
+        b AS (SELECT page_id, regexp_replace(address, '^[A-Za-z][A-Za-z0-9+.-]*://', '') AS bare,
+                list_sort(list_filter(string_split(substr(whole, length(address) + 2), '&'),
+                  lambda p: p <> '' AND NOT regexp_matches(p, '^(utm_[a-z]+|gclid|fbclid|msclkid|ref)(=|$)'))) AS asked FROM u),
+        c AS (SELECT page_id, {CANONICAL} || CASE WHEN len(asked) > 0 THEN '?' || array_to_string(asked, '&') ELSE '' END AS canonical FROM b), k AS (SELECT page_id, {MIRROR_KEY} AS canonical_key FROM c)
         SELECT page_id, canonical_key, MIN(page_id) OVER (PARTITION BY canonical_key) AS canonical_id,
                COUNT(*) OVER (PARTITION BY canonical_key) AS n_observations,
                page_id = MIN(page_id) OVER (PARTITION BY canonical_key) AS is_canonical FROM k""",
 )
 def mirrors(t: Tables) -> DataFrame:
     canonical = discovery.canonical_url(F.col("url"))
-    key = F.regexp_replace(F.regexp_replace(canonical, r"^[^/]*?([^./]+\.[^./]+)/", "$1/"), r"/[0-9]+$", "")
+    key = F.regexp_replace(F.regexp_replace(canonical, r"^[^/]*?([^./]+\.[^./]+)/", "$1/"), r"/[0-9]+($|\?)", "$1")
     return discovery.resolve_mirrors(t.pages.select("page_id", "url"), key, "page_id").drop("url")
 
 

@@ -43,10 +43,10 @@ ADAPTERS: dict[str, str] = {
         FROM {{orders}}""",
     "decisions": """
         SELECT event_id AS manual_review_decision_id, user_id AS resource_key, ts AS decided_at,
-               CASE WHEN value < 95 THEN 'APPROVED' WHEN value < 110 THEN 'APPROVED_WITH_CONDITIONS'
+               CASE WHEN value < 80 THEN 'DEFERRED' WHEN value < 95 THEN 'APPROVED' WHEN value < 110 THEN 'APPROVED_WITH_CONDITIONS'
                  WHEN value < 130 THEN 'REJECTED' WHEN value < 160 THEN 'RETIRED' ELSE 'DEFERRED' END AS decision,
                'reviewed with ' || props AS rationale, event_type AS reviewer_username
-        FROM {events} WHERE event_type = 'purchase' AND value >= 80""",
+        FROM {events} WHERE event_type = 'purchase'""",
     "changes": """
         SELECT event_id AS schema_change_event_id, user_id AS resource_key, ts AS detected_at,
                CASE WHEN value < 90 THEN 'COMPATIBLE' WHEN value < 130 THEN 'BREAKING'

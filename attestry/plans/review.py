@@ -342,12 +342,12 @@ FACTS_SQL = """
         (SELECT COUNT(*) FROM profiles s WHERE s.resource_key = k.resource_key AND s.effective_to IS NULL) AS open_profile_count,
         (SELECT COUNT(*) FROM changes s WHERE s.resource_key = k.resource_key
            AND s.compatibility_outcome NOT IN ('COMPATIBLE', 'IGNORED_WITH_JUSTIFICATION')
-           AND NOT EXISTS (SELECT 1 FROM decisions d WHERE d.resource_key = s.resource_key AND d.decided_at > s.detected_at)) AS blocking_count,
+           AND NOT EXISTS (SELECT 1 FROM decisions d WHERE d.resource_key = s.resource_key AND d.decided_at > s.detected_at AND d.decision IN ('APPROVED', 'APPROVED_WITH_CONDITIONS'))) AS blocking_count,
         a.assessment_status
       FROM (SELECT resource_key FROM document_snapshots UNION SELECT resource_key FROM schema_snapshots
             UNION SELECT resource_key FROM profiles UNION SELECT resource_key FROM assessments
             UNION SELECT resource_key FROM changes c WHERE c.compatibility_outcome NOT IN ('COMPATIBLE', 'IGNORED_WITH_JUSTIFICATION')
-              AND NOT EXISTS (SELECT 1 FROM decisions d WHERE d.resource_key = c.resource_key AND d.decided_at > c.detected_at)) k
+              AND NOT EXISTS (SELECT 1 FROM decisions d WHERE d.resource_key = c.resource_key AND d.decided_at > c.detected_at AND d.decision IN ('APPROVED', 'APPROVED_WITH_CONDITIONS'))) k
       LEFT JOIN latest_assessment a ON a.resource_key = k.resource_key)"""
 FACTS_USES = [*ASSESSED, "document_snapshots", "schema_snapshots", "profile_events", "profiles", "changes", "decisions"]
 READY_SQL = "COALESCE(document_count > 0 AND schema_count > 0 AND open_profile_count = 1 AND assessment_status = 'PENDING_REVIEW' AND blocking_count = 0, FALSE)"
@@ -532,7 +532,7 @@ def open_profile(t: Tables) -> DataFrame:
        m AS (SELECT r.resource_key, COALESCE(nb, 0) AS n_blocking_failures, COALESCE(nw, 0) AS n_warnings,
                EXISTS (SELECT 1 FROM changes s WHERE s.resource_key = r.resource_key
                  AND s.compatibility_outcome NOT IN ('COMPATIBLE', 'IGNORED_WITH_JUSTIFICATION')
-                 AND NOT EXISTS (SELECT 1 FROM decisions d WHERE d.resource_key = s.resource_key AND d.decided_at > s.detected_at)) AS has_material_change
+                 AND NOT EXISTS (SELECT 1 FROM decisions d WHERE d.resource_key = s.resource_key AND d.decided_at > s.detected_at AND d.decision IN ('APPROVED', 'APPROVED_WITH_CONDITIONS'))) AS has_material_change
              FROM resources r LEFT JOIN c ON c.ingestion_run_id = r.resource_key)
        SELECT *, CASE WHEN n_blocking_failures > 0 OR has_material_change THEN 'BLOCKED_REVIEW' ELSE 'PROMOTABLE' END AS promotion_status FROM m""",
     ["resources", "changes", "decisions"],

@@ -31,9 +31,11 @@ def build_session(app_name: str = "attestry", master: str | None = None, **extra
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a temporary one only where that is unset."""
+    """The folder named by ``spark.checkpoint.dir``; a temporary one only where that is unset and all tasks run on this machine."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = tempfile.mkdtemp(prefix="attestry-")
         spark.conf.set("spark.checkpoint.dir", folder)
     if spark.sparkContext.getCheckpointDir() is None:

@@ -8,6 +8,8 @@ from pyspark.sql import types as T
 
 from attestry.functions.geo import parse_geometry
 
+MALFORMED = "malformed_record"
+
 
 def _with_origin(df: DataFrame) -> DataFrame:
     return df.select(
@@ -18,7 +20,8 @@ def _with_origin(df: DataFrame) -> DataFrame:
 def read_direct_file(spark: SparkSession, path: str, kind: str, schema: T.StructType | str | None = None) -> DataFrame:
     """CSV, JSON lines, GeoJSON or Parquet with ``source_file`` and ``source_file_bytes``.
 
-    CSV and JSON need a schema: inferring one would read everything twice.
+    CSV and JSON need a schema: inferring one would read everything twice. Their records that do not fit it keep
+    their text in ``MALFORMED``, which is null for sound ones; ``malformed_records`` are the former.
     """
     reader = spark.read
     if kind == "parquet":
@@ -29,13 +32,23 @@ def read_direct_file(spark: SparkSession, path: str, kind: str, schema: T.Struct
         return each.withColumn("geometry", parse_geometry(F.get_json_object("feature", "$.geometry")))
     if schema is None:
         raise ValueError(f"{kind} files need a schema")
+    fields = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    marked = T.StructType([*fields.fields, T.StructField(MALFORMED, T.StringType())])
+    reader = reader.schema(marked).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", MALFORMED)
     if kind == "csv":
-        return _with_origin(reader.schema(schema).option("header", True).csv(path))
+        # Without pruning a record is judged by all its columns, whatever the query reads.
+        return _with_origin(reader.option("header", True).option("columnPruning", False).csv(path))
     if kind == "json":
-        return _with_origin(reader.schema(schema).json(path))
+        return _with_origin(reader.json(path))
     raise ValueError(f"unsupported file kind: {kind}")
 
 
+def malformed_records(df: DataFrame) -> DataFrame:
+    """Records of ``read_direct_file`` that do not fit the schema: file, text and what could be read of them."""
+    read = F.struct(*[f"`{c}`" for c in df.columns if c not in (MALFORMED, "source_file", "source_file_bytes")])
+    return df.filter(F.col(MALFORMED).isNotNull()).select("source_file", F.col(MALFORMED).alias("record"), read.alias("read"))
+
+
 BUNDLE_SCHEMA = """
 schema_version string, generated_at string, scope string, score_defaults string,
 sources array<struct<key: string, label: string, vintage: string, url: string, note: string>>,

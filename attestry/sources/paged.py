@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import islice
 
 import pyarrow as pa
 from pyarrow import fs
@@ -71,28 +72,26 @@ class PagedReader(DataSourceReader):
             yield from self._read_page(system, sequence, paths)
 
     def _read_page(self, system: fs.FileSystem, sequence: int, paths: list[str]) -> Iterator[pa.RecordBatch]:
-        digest, rows = hashlib.sha256(), 0
-        # First pass: digest and row count of the page. Second pass: records, in bounded batches.
-        for path in paths:
-            with system.open_input_stream(path) as stream:
-                while chunk := stream.read(1 << 20):
-                    digest.update(chunk)
-                    rows += chunk.count(b"\n")
+        digest = hashlib.sha256()
+        # First pass: digest and number of records of the page. Second pass: records, in bounded batches.
+        rows = sum(1 for path in paths for _ in self._records(system, path, digest))
         proof = digest.hexdigest()
         for path in paths:
-            with system.open_input_stream(path) as stream:
-                rest = b""
-                pending: list[str] = []
-                while chunk := stream.read(1 << 20):
-                    *lines, rest = (rest + chunk).split(b"\n")
-                    pending += [line.decode() for line in lines if line]
-                    while len(pending) >= self.batch_rows:
-                        yield self._batch(sequence, path, proof, rows, pending[: self.batch_rows])
-                        pending = pending[self.batch_rows :]
-                if rest:
-                    pending.append(rest.decode())
-                if pending:
-                    yield self._batch(sequence, path, proof, rows, pending)
+            records = self._records(system, path)
+            while pending := [line.decode() for line in islice(records, self.batch_rows)]:
+                yield self._batch(sequence, path, proof, rows, pending)
+
+    def _records(self, system: fs.FileSystem, path: str, digest=None) -> Iterator[bytes]:
+        """Lines that hold more than white space; the last one may lack its end. All bytes go into ``digest``."""
+        with system.open_input_stream(path) as stream:
+            rest = b""
+            while chunk := stream.read(1 << 20):
+                if digest is not None:
+                    digest.update(chunk)
+                *lines, rest = (rest + chunk).split(b"\n")
+                yield from (line for line in lines if line.strip())
+            if rest.strip():
+                yield rest
 
     def _batch(self, sequence: int, path: str, proof: str, rows: int, records: list[str]) -> pa.RecordBatch:
         n = len(records)

@@ -168,11 +168,11 @@ def test_decisions_in_one_batch_supersede_each_other(spark):
 
 def test_unresolved_changes(spark):
     changes = spark.createDataFrame(
-        [("a", "BREAKING", T0), ("b", "COMPATIBLE", T0), ("c", "IGNORED_WITH_JUSTIFICATION", T0), ("d", "BREAKING", T0)],
+        [("a", "BREAKING", T0), ("b", "COMPATIBLE", T0), ("c", "IGNORED_WITH_JUSTIFICATION", T0), ("d", "BREAKING", T0), ("e", "BREAKING", T0)],
         "resource_key string, compatibility_outcome string, detected_at timestamp",
     )
-    decided = spark.createDataFrame([("d", datetime(2026, 5, 1))], "resource_key string, decided_at timestamp")
-    assert [r.resource_key for r in gate.unresolved_changes(changes, decided).collect()] == ["a"]
+    decided = spark.createDataFrame([("d", datetime(2026, 5, 1), "APPROVED_WITH_CONDITIONS"), ("e", datetime(2026, 5, 1), "DEFERRED")], "resource_key string, decided_at timestamp, decision string")
+    assert sorted(r.resource_key for r in gate.unresolved_changes(changes, decided).collect()) == ["a", "e"]
 
 
 def test_null_status_is_not_eligible(spark):

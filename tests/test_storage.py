@@ -121,7 +121,8 @@ def test_paged_source(spark, tmp_path):
     for page in range(1, 6):
         folder = tmp_path / f"page={page:05d}"
         folder.mkdir()
-        (folder / "data.json").write_text("".join(json.dumps({"page": page, "i": i}) + "\n" for i in range(page)))
+        # Blank lines are no records, and the last one may lack its end.
+        (folder / "data.json").write_text("\n \n" * (page % 2) + "\n".join(json.dumps({"page": page, "i": i}) for i in range(page)) + "\n" * (page % 3))
     paged.register(spark)
     df = spark.read.format("paged_json").option("pagesPerTask", 2).load(str(tmp_path))
     assert df.rdd.getNumPartitions() == 3
@@ -131,6 +132,15 @@ def test_paged_source(spark, tmp_path):
     assert sorted({r.page_sequence for r in some.collect()}) == [2, 3]
 
 
+def test_malformed_records_keep_their_text(spark, tmp_path):
+    (tmp_path / "a.json").write_text('{"a": 1}\n{"a": \n{"a": null}\n')
+    (tmp_path / "a.csv").write_text("a,b\n1,2\nx,3\n,4\n")
+    df = files.read_direct_file(spark, str(tmp_path / "a.json"), "json", "a int")
+    assert [r.record for r in files.malformed_records(df).collect()] == ['{"a": '] and df.filter("a = 1").count() == 1
+    df = files.read_direct_file(spark, str(tmp_path / "a.csv"), "csv", "a int, b int")
+    assert [r.record for r in files.malformed_records(df).collect()] == ["x,3"] and sorted(r.b for r in df.select("b").collect()) == [2, 3, 4]
+
+
 def test_direct_files(spark, tmp_path):
     (tmp_path / "g.geojson").write_text(json.dumps({"type": "FeatureCollection", "features": [{"type": "Feature", "properties": {}, "geometry": {"type": "Point", "coordinates": [3, 4]}}]}))
     row = files.read_direct_file(spark, str(tmp_path / "g.geojson"), "geojson").first()
