@@ -60,12 +60,13 @@ def mask_of(rules: tuple[str, ...]) -> int:
 def measure(docs: DataFrame) -> DataFrame:
     """``docs`` with the measurements as long columns."""
     text = text_of()
-    kept = [F.col(f"`{c}`") for c in docs.columns if c not in MEASURES]
+    # Own columns travel in a struct, so none clashes with the names used below.
+    names = [c for c in docs.columns if c not in MEASURES]
+    kept = [F.col("_own").getField(c).alias(c) for c in names]
     words = F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
     lines = F.filter(F.split(text, "\n", -1), lambda line: line.rlike(WORD))
     return (
-        docs.select(*kept, text.alias("_text"))
-        .select(*kept, "_text", words.alias("_words"), lines.alias("_lines"))
+        docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("_own"), text.alias("_text"), words.alias("_words"), lines.alias("_lines"))
         .withColumn("n_words", F.size("_words").cast("long"))
         .withColumn("word_chars", F.length(F.array_join("_words", "")).cast("long"))
         .withColumn("n_symbols", F.regexp_count("_text", F.lit(SYMBOLS)).cast("long"))

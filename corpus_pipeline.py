@@ -16,7 +16,7 @@ def apply_quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def drop_site_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document, without its source's boilerplate lines."""
-    return with_length(line_dedup.drop_boilerplate(docs).drop("line_dedup"))
+    return with_length(line_dedup.drop_boilerplate(docs, report=None))
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
