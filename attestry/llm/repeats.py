@@ -8,10 +8,14 @@ windows with one anchor form a stretch. Equal windows therefore lie in stretches
 2. Shards that hold different stretches are built: an enhanced suffix array over the window starts of one copy of each. A stack-scan of its
    common-prefix intervals of LENGTH bytes or more yields the interval tree; an interval whose occurrences have different bytes to
    their left is a maximal repeat of the shard and is output with all its occurrences.
-   Shards beyond ``SHARD`` stretches compare their windows by hash instead, which needs no group in one task.
+   Shards beyond ``SHARD`` stretches are dealt anew by a longer anchor (``GRAMS``). The last one is a whole window, whose shard holds no two
+   different stretches, so this ends.
+3. The groups that ``repeats`` gives out join the copies of every stretch back: an occurrence in a stretch is one in each of its copies,
+   and a stretch with copies is itself a maximal repeat.
 
 Every repeated window lies in a maximal repeat with the same occurrences, so the union of all but the first occurrences is what
-``removed`` takes out. Longer repeats are reported in pieces, one for each anchor in them.
+``removed`` takes out; for copies of a stretch that is the whole stretch, without a join. Longer repeats are reported in pieces, one for
+each anchor in them.
 
 Defined results: a null text counts as empty; documents are ordered by id, null ids last, then by their text's hash; repeated rows are
 documents of their own, the later ones repeats of the first; texts below LENGTH bytes keep everything.
@@ -21,7 +25,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +36,8 @@ from attestry.llm.tables import per_batch, ship, stored, text_of
 
 LENGTH = 100
 GRAM = 32
+#: Sizes of the anchors, each for the shards that the one before leaves too large.
+GRAMS = (GRAM, 64, 88, LENGTH)
 SHARD = 4000
 TOGETHER = 2000
 
@@ -78,16 +84,16 @@ def part(sums: np.ndarray, forward: np.ndarray, start: np.ndarray, end: np.ndarr
     return _mixed((sums[end] - sums[start]) * forward[start] + end.astype(np.uint64) - start.astype(np.uint64))
 
 
-def stretches(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of one text: hash of the anchor, hash of the stretch, start, end (of its bytes)."""
+def stretches(data: bytes, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of one text: hash of the anchor of ``gram`` bytes, hash of the stretch, start, end (of its bytes)."""
     n = len(data)
     if n < LENGTH:
         return (np.zeros(0, np.int64),) * 4
     sums, forward = hashes(data)
-    at = np.arange(n - GRAM + 1)
-    grams = _mixed((sums[GRAM:] - sums[: n - GRAM + 1]) * forward[: n - GRAM + 1])
+    at = np.arange(n - gram + 1)
+    grams = _mixed((sums[gram:] - sums[: n - gram + 1]) * forward[: n - gram + 1])
     low = (grams & _U(0xFFFFFFFF00000000)) | at.astype(np.uint64)
-    width, span = LENGTH - GRAM + 1, 1
+    width, span = LENGTH - gram + 1, 1
     while span * 2 <= width:
         low = np.minimum(low[:-span], low[span:])
         span *= 2
@@ -112,14 +118,23 @@ def _numbered(docs: DataFrame, key: str) -> DataFrame:
 STRETCHES = "anchor long, stretch long, doc long, start int, end int, whole boolean"
 
 
-def _sent(texts: DataFrame) -> DataFrame:
-    """Stretches of all documents; ``whole`` marks those that repeat an earlier one of their batch and need not be compared."""
+def _sent(texts: DataFrame, gram: int = GRAM) -> DataFrame:
+    """Stretches of all documents, or of the parts in ``ranges``; ``whole`` marks those that repeat an earlier one of their batch and need
+    not be compared."""
     ship(texts.sparkSession)
+    ranged = "ranges" in texts.columns
+
+    def parts_of(batch: pa.RecordBatch) -> Iterator[tuple]:
+        for i, doc in enumerate(batch.column(0).to_pylist()):
+            data = batch.column(1)[i].as_py().encode()
+            for r in batch.column(2)[i].as_py() if ranged else [{"start": 0, "end": len(data)}]:
+                anchor, own, start, end = stretches(data[r["start"] : r["end"]], gram)
+                if len(anchor):
+                    yield np.full(len(anchor), doc, np.int64), anchor, own, start + r["start"], end + r["start"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            docs, found = batch.column(0).to_pylist(), batch.column(1)
-            parts = [(np.full(len(s[0]), d, np.int64), *s) for d, s in ((d, stretches(found[i].as_py().encode())) for i, d in enumerate(docs)) if len(s[0])]
+            parts = list(parts_of(batch))
             if not parts:
                 continue
             doc, anchor, own, start, end = (np.concatenate(c) for c in zip(*parts))
@@ -131,7 +146,7 @@ def _sent(texts: DataFrame) -> DataFrame:
                 names=["anchor", "stretch", "doc", "start", "end", "whole"],
             )
 
-    return texts.select("doc", "text").mapInArrow(run, STRETCHES)
+    return texts.select("doc", "text", *(["ranges"] if ranged else [])).mapInArrow(run, STRETCHES)
 
 
 def _met(sent: DataFrame) -> DataFrame:
@@ -226,19 +241,26 @@ def maximal_repeats(shards: list[int], docs: list[int], starts: list[int], texts
 
 
 def _shard_repeats(rows: DataFrame) -> DataFrame:
-    """Rows (anchor, doc, start, bytes), dealt and sorted by anchor, to (repeat, length, doc, start, first)."""
-    schema = "repeat long, length int, doc long, start int, first boolean"
+    """Rows (anchor, doc, start, stretch, bytes), dealt and sorted by their first three, to (repeat, length, doc, start, first) and the place in
+    a stretch: (anchor, stretch, offset, size)."""
+    schema = "repeat long, length int, doc long, start int, first boolean, anchor long, stretch long, offset int, size int"
     ship(rows.sparkSession)
 
     def solved(held: list[tuple]) -> Iterator[pa.RecordBatch]:
-        found = maximal_repeats(*zip(*held)) if held else []
-        flat = [(shard ^ (i << 1), length, d, s, k == 0) for i, (shard, length, where) in enumerate(found) for k, (d, s) in enumerate(where)]
+        if not held:
+            return
+        shards, docs, starts, own, texts = zip(*held)
+        # Stretches go by their number here, which is in the order of their documents and starts.
+        found = maximal_repeats(list(shards), list(range(len(held))), [0] * len(held), list(texts))
+        flat = [
+            (shard ^ (i << 1), length, docs[n], starts[n] + at, k == 0, shard, own[n], at, len(texts[n]))
+            for i, (shard, length, where) in enumerate(found)
+            for k, (n, at) in enumerate(where)
+        ]
         if flat:
-            repeat, length, doc, start, first = zip(*flat)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(repeat, pa.int64()), pa.array(length, pa.int32()), pa.array(doc, pa.int64()), pa.array(start, pa.int32()), pa.array(first)],
-                names=["repeat", "length", "doc", "start", "first"],
-            )
+            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.bool_(), pa.int64(), pa.int64(), pa.int32(), pa.int32())
+            names = ["repeat", "length", "doc", "start", "first", "anchor", "stretch", "offset", "size"]
+            yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*flat), kinds)], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
@@ -254,57 +276,68 @@ def _shard_repeats(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, schema)
 
 
-def repeats(docs: DataFrame, key: str = "doc_id") -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Tables: the numbered documents (doc, key, text); stretches that repeat an equal one whole, and windows of large shards
-    (doc, start, end); the maximal repeats of the shards (repeat, length, doc, start, first)."""
-    texts = _numbered(docs, key)
-    sent = stored(_sent(texts), "stretches")
-    met = stored(_met(sent).unionByName(sent.filter("whole")), "met")
-    mixed = met.filter("NOT whole")
-    sizes = mixed.groupBy("anchor").agg(F.count("*").alias("n"))
-    asked = (
-        mixed.join(sizes, "anchor")
-        .groupBy("doc")
-        .agg(F.collect_list(F.struct("anchor", "start", "end", (F.col("n") > SHARD).alias("large"))).alias("asked"))
-    )
-    # A document's stretches are no more than its length.
-    cut = texts.select("doc", "text").join(asked, "doc")
-
-    def small(columns: list) -> list:
-        out: list[list] = [[], [], [], []]
+def _found(texts: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Stretches that repeat an equal one whole (doc, start, end); the maximal repeats among the first ones of equal stretches, see
+    ``_shard_repeats``; all stretches of the shards these were found in."""
+
+    def cut(columns: list) -> list:
+        out: list[list] = [[], [], [], [], []]
         for d, text, wanted in zip(*columns):
             data = text.encode()
             for w in wanted:
-                if not w["large"]:
-                    for column, value in zip(out, (w["anchor"], d, w["start"], data[w["start"] : w["end"]])):
-                        column.append(value)
+                for column, value in zip(out, (w["anchor"], d, w["start"], w["stretch"], data[w["start"] : w["end"]])):
+                    column.append(value)
         return out
 
-    def windows(columns: list) -> list:
-        out: list[list] = [[], [], []]
-        for d, text, wanted in zip(*columns):
-            large = [w for w in wanted if w["large"]]
-            if large:
-                sums, forward = hashes(text.encode())
-                start = np.unique(np.concatenate([np.arange(w["start"], w["end"] - LENGTH + 1) for w in large]))
-                for column, value in zip(out, (part(sums, forward, start, start + LENGTH).view(np.int64).tolist(), [d] * len(start), start.tolist())):
-                    column += value
-        return out
+    single, found, solved = [], [], []
+    source = texts.select("doc", "text")
+    for gram in GRAMS:
+        sent = stored(_sent(source, gram), "stretches")
+        met = stored(_met(sent).unionByName(sent.filter("whole")), "met")
+        mixed = met.filter("NOT whole")
+        sizes = mixed.groupBy("anchor").agg(F.count("*").alias("n"))
+        small = mixed.join(sizes.filter(F.col("n") <= SHARD), "anchor")
+        # A document's stretches are no more than its length.
+        asked = small.groupBy("doc").agg(F.collect_list(F.struct("anchor", "start", "end", "stretch")).alias("asked"))
+        shards = per_batch(texts.select("doc", "text").join(asked, "doc"), cut, "anchor long, doc long, start int, stretch long, bytes binary")
+        found.append(stored(_shard_repeats(shards.repartition("anchor").sortWithinPartitions("anchor", "doc", "start")), "repeats"))
+        single.append(met.filter("whole").select("doc", "start", "end"))
+        # Written, so that Spark knows its size: a table of few anchors is broadcast, and no hot anchor meets in one task.
+        large = stored(sizes.filter(F.col("n") > SHARD).select("anchor"), "large")
+        if large.isEmpty():
+            solved.append(sent)
+            break
+        solved.append(sent.join(large, "anchor", "left_anti"))
+        # All copies go on, so that the next anchors' shards know their occurrences too.
+        ranges = sent.join(large, "anchor").groupBy("doc").agg(F.collect_list(F.struct("start", "end")).alias("ranges"))
+        source = texts.select("doc", "text").join(ranges, "doc")
+    return tuple(reduce(DataFrame.unionByName, parts) for parts in (single, found, solved))
 
-    shards = per_batch(cut, small, "anchor long, doc long, start int, bytes binary").repartition("anchor").sortWithinPartitions("anchor")
-    found = stored(_shard_repeats(shards), "repeats")
-    single = met.filter("whole").select("doc", "start", "end")
-    if not sizes.filter(F.col("n") > SHARD).isEmpty():
-        hashed = stored(per_batch(cut, windows, "w long, doc long, start int"), "windows")
-        first = hashed.groupBy("w").agg(F.min(F.struct("doc", "start")).alias("f"), F.count("*").alias("n")).filter("n > 1")
-        again = hashed.join(first, "w").filter("doc <> f.doc OR start <> f.start")
-        single = single.unionByName(again.select("doc", "start", (F.col("start") + LENGTH).alias("end")))
-    return texts, single, found
+
+def repeats(docs: DataFrame, key: str = "doc_id") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Tables: the numbered documents (doc, key, text); stretches that repeat an equal one whole (doc, start, end); the maximal repeats of
+    the shards with all their occurrences (repeat, length, doc, start, first)."""
+    texts = _numbered(docs, key)
+    single, found, solved = _found(texts)
+    copies = solved.select("anchor", "stretch", F.col("doc").alias("d"), F.col("start").alias("s"))
+    spread = found.join(copies, ["anchor", "stretch"]).select(
+        "repeat", "length", F.col("d").alias("doc"), (F.col("s") + F.col("offset")).alias("start"),
+        (F.col("first") & (F.col("d") == F.col("doc")) & (F.col("s") + F.col("offset") == F.col("start"))).alias("first"),
+    )
+    # A stretch with copies is a repeat of its own, unless an interval of its length has it already.
+    whole = found.filter("offset = 0 AND length = size").select("anchor", "stretch").distinct()
+    several = solved.groupBy("anchor", "stretch").agg(F.min(F.struct("doc", "start")).alias("f"), F.count("*").alias("n")).filter("n > 1")
+    alone = several.join(whole, ["anchor", "stretch"], "left_anti").join(solved, ["anchor", "stretch"]).select(
+        F.xxhash64("anchor", "stretch").alias("repeat"), (F.col("end") - F.col("start")).alias("length"), "doc", "start",
+        ((F.col("doc") == F.col("f.doc")) & (F.col("start") == F.col("f.start"))).alias("first"),
+    )
+    return texts, single, spread.unionByName(alone)
 
 
 def removed(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     """One row per row of ``docs``: key, n_bytes, n_removed, n_spans, kept_sha256."""
-    texts, single, found = repeats(docs, key)
+    texts = _numbered(docs, key)
+    single, found, _ = _found(texts)
     later = found.filter("NOT first").select("doc", "start", (F.col("start") + F.col("length")).alias("end"))
     spans = single.unionByName(later).groupBy("doc").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
     kind = dict(docs.dtypes)[key]

@@ -373,6 +373,33 @@ def test_maximal_repeats_hold_all_occurrences():
     assert any([d for d, _ in where] == [0, 1, 2, 3] and length == 10 + len(passage) for _, length, where in found)
 
 
+@pytest.mark.parametrize("shard", [repeats.SHARD, 2])
+def test_repeat_groups_are_whole(spark, shard, monkeypatch):
+    monkeypatch.setattr(repeats, "SHARD", shard)
+    passage, copy = prose(60, 1), prose(70, 3)
+    texts = [copy, copy, copy, passage * 2] + [prose(20, 500 + i) + passage + prose(20, 600 + i) for i in range(6)] + [passage[5:], prose(40, 9)]
+    data, windows, groups = [t.encode() for t in texts], {}, {}
+    for d, t in enumerate(data):
+        for k in range(len(t) - 99):
+            windows.setdefault(t[k : k + 100], set()).add((d, k))
+    rows = repeats.repeats(documents(spark, texts))[2].collect()
+    for r in rows:
+        groups.setdefault((r.repeat, r.length), []).append(r)
+    inside = {}
+    for (_, length), own in groups.items():
+        assert len({r.repeat for r in own}) == 1 and sum(r.first for r in own) == 1
+        where = [(r.doc, r.start) for r in own]
+        assert min(where) == next((r.doc, r.start) for r in own if r.first)
+        word = data[own[0].doc][own[0].start : own[0].start + length]
+        every = [(d, k) for d, t in enumerate(data) for k in range(len(t) - length + 1) if t[k : k + length] == word]
+        assert sorted(where) == every and len(every) > 1
+        for k in range(length - 99):
+            inside.setdefault(word[k : k + 100], set()).add(len(every))
+    # Every repeated window lies in a group with just its own occurrences.
+    repeated = {w: len(at) for w, at in windows.items() if len(at) > 1}
+    assert set(inside) == set(repeated) and all(n in inside[w] for w, n in repeated.items())
+
+
 # --- 10 vectors
 
 
