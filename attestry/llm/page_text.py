@@ -1,8 +1,8 @@
 """Main text of web pages: flat text blocks, classified by a decision tree.
 
 A page is cut at block-level tags into flat blocks of text. A block is described by its words, its link density, both for the blocks before
-and after it, and by where it stands (``FEATURES``). A decision tree fitted on the small labelled table ``LABELLED`` decides which blocks
-are main text. Markup never ends early: comments, scripts, styles, forms and unclosed tags are handled by one pass over the tags, linear
+and after it, and by where it stands (``FEATURES``). A decision tree fitted on the small labelled tables ``LABELLED`` and ``VARIED`` decides
+which blocks are main text. Markup never ends early: comments, scripts, styles, forms and unclosed tags are handled by one pass over the tags, linear
 in the page's length.
 
 Defined results: a null page counts as empty and has an empty text; blocks are joined by one line end in page order; character
@@ -14,6 +14,7 @@ from __future__ import annotations
 import html
 import re
 from functools import lru_cache
+from itertools import product
 from typing import NamedTuple
 
 import numpy as np
@@ -181,6 +182,34 @@ LABELLED = """
 12 0.0 2 1.0 0 0.0 1 0 0 0 0
 90 0.0 2 1.0 40 0.0 1 0 0 0 0
 """
+#: More blocks, where flags and truth may disagree; values that share a label stand together, and every combination is a row.
+VARIED = """
+1,3,12,60,150 0.0,0.1 0,1,11,60 0.0 0,1,9,60 0.0,0.1 0 1 1 0,1 1
+1,3,12,60 0.0,0.1 1,3 1.0 1,9,60 0.0 0 1 1 0 1
+3,12,60 0.0 11,60 0.0 1,3 1.0 0 1 1 0,1 1
+5,12,30 0.3,0.6,1.0 25,60 0.0 25,60 0.0 0 1 1 0 1
+1,2,4,8 0.9,1.0 1,2,4 0.9,1.0 1,3,6 0.9,1.0 0 1 1 0 0
+1,2,4,8 0.9,1.0 30,60 0.0 1,2,4 0.9,1.0 0 1 1 0 0
+1,2,4,8 0.9,1.0 1,2,4 0.9,1.0 0 0.0 0 1 1 0 0
+5,12,30 0.9,1.0 25,60 0.0 3,9 0.0 0 1 1 0 1
+1,8,40,150 0.0,0.2,1.0 1,60 0.0,1.0 0,9,60 0.0 1 0,1 1 0 0
+1,6,45,120 0.0,0.2,1.0 1,60 0.0,1.0 0,11,70 0.0 0 0 1 0,1 0
+25,60,120 0.0,0.1,0.25,0.4 7,60 0.0,0.3 6,60 0.0,0.2 0 0 0 0 1
+25,60,120 0.0,0.1,0.25 1,3 0.0,1.0 30,60 0.0 0 0 0 0 1
+25,60,120 0.0,0.1,0.25 30,60 0.0 1,3 0.0,1.0 0 0 0 0 1
+1,4,8 0.0 30,60 0.0 30,60 0.0 0 0 0 0,1 1
+3,7 0.0 0,1,3 0.0,1.0 30,60 0.0 0 0 0 1 1
+3,30,90 0.0 0 0.0 0 0.0 0 0 0 0 1
+1,2 0.0 1,2,3 0.0,1.0 30,60 0.0 0 0 0 0 0
+1,2,3 0.0,1.0 0,1,3 0.0,1.0 1,3 0.0,1.0 0 0 0 0 0
+5,8 0.0 2,4 0.0,1.0 0,2 0.0 0 0 0 0 0
+4,9,20 0.7,1.0 4,20,60 0.0,0.7,1.0 0,4,20 0.0,0.7,1.0 0 0 0 0 0
+60,90,120 0.0,0.1 40,60,90 0.0 12,40,60,90 0.0 1 0 0 0 1
+45,60,120 0.0,0.1,0.25 40,60,90 0.0,0.2 0,3 0.0 1 0 0 0 1
+45,60,120 0.0,0.1,0.25 0,3 0.0 40,60,90 0.0,0.2 1 0 0 0 1
+45,60,120 0.25 40,60,90 0.0 40,60,90 0.0 1 0 0 0 1
+1,8,15 0.0,1.0 1,4,60 0.0,1.0 0,3,60 0.0 1 0 0 0 0
+"""
 
 
 class Leaf(NamedTuple):
@@ -194,7 +223,12 @@ class Split(NamedTuple):
     above: object
 
 
-def fit(rows: np.ndarray, labels: np.ndarray, depth: int = 6) -> Leaf | Split:
+def labelled() -> np.ndarray:
+    lines = [line.split() for line in (LABELLED + VARIED).split("\n") if line]
+    return np.array([[float(x) for x in row] for line in lines for row in product(*(values.split(",") for values in line))])
+
+
+def fit(rows: np.ndarray, labels: np.ndarray, depth: int = 12) -> Leaf | Split:
     """A tree by the Gini index; limits lie midway between the values of the table."""
     if depth == 0 or labels.min() == labels.max():
         return Leaf(bool(labels.mean() >= 0.5))
@@ -214,7 +248,7 @@ def fit(rows: np.ndarray, labels: np.ndarray, depth: int = 6) -> Leaf | Split:
 
 @lru_cache(maxsize=1)
 def tree() -> Leaf | Split:
-    table = np.array([[float(x) for x in line.split()] for line in LABELLED.split("\n") if line])
+    table = labelled()
     return fit(table[:, :-1], table[:, -1])
 
 

@@ -317,6 +317,26 @@ def test_main_text():
         assert page_text.main_text(odd) == ""
 
 
+def test_words_and_neighbours_decide():
+    long, linked = prose(60, 3), f'{prose(40, 4)} <a href="/x">{prose(14, 5)}</a> {prose(6, 6)}'
+    plain = "".join(f"<p>{t}</p>" for t in (long, linked, prose(50, 7)))
+    want = "\n".join((long, re.sub("<[^>]*>", "", linked), prose(50, 7)))
+    # No marked container: linked paragraphs stay, unlinked menus and the copyright line go.
+    menu = "".join(f"<div>{w}</div>" for w in ("Home", "News", "About", "Contact"))
+    assert page_text.main_text(f"<body>{menu}{plain}<div><a>Terms</a></div><div>All rights reserved 2020 Example</div></body>") == want
+    # Misleading names: prose in a wrapper named like noise, and links inside an article.
+    assert page_text.main_text(f'<body><div class="social-page">{plain}</div></body>') == want
+    tags = "".join(f"<li><a>{w}</a></li>" for w in ("One", "Two", "Three", "Four"))
+    assert page_text.main_text(f"<body><article>{plain}</article></body>") == want
+    assert not {"Two", "Three", "Four"} & set(page_text.main_text(f"<body><article>{plain}<ul>{tags}</ul></article></body>").split("\n"))
+    used, nodes = set(), [page_text.tree()]
+    for node in nodes:
+        if isinstance(node, page_text.Split):
+            used.add(page_text.FEATURES[node.feature])
+            nodes += [node.below, node.above]
+    assert {"words", "links", "words_before", "words_after", "links_after"} <= used
+
+
 # --- 8 secrets
 
 
