@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import html
 import re
+from bisect import bisect
 from functools import lru_cache
 from itertools import product
 from typing import NamedTuple
@@ -38,6 +39,17 @@ NOISE = frozenset(
     "search share sharing sidebar signup skip social sponsor sponsored subscribe teaser toolbar topbar tracking widget".split()
 )
 MAIN = frozenset("article articlebody body content entry main maincontent post story text".split())
+#: Open elements that a start tag ends, as HTML has it, and those that shield the ones outside them.
+CELLS = ("table", "td", "th", "caption")
+ENDS = {
+    "li": (("li",), ("ul", "ol", "menu", "dir", *CELLS)),
+    **dict.fromkeys(("dt", "dd"), (("dt", "dd"), ("dl", *CELLS))),
+    **dict.fromkeys(("td", "th"), (("td", "th", "caption"), ("tr", "table"))),
+    "tr": (("tr", "caption"), ("table",)),
+    **dict.fromkeys(("thead", "tbody", "tfoot"), (("thead", "tbody", "tfoot", "caption"), ("table",))),
+}
+#: Start tags that end an open paragraph.
+ENDS_P = BLOCK - frozenset("html head body frameset caption legend tbody td tfoot th thead tr".split())
 SPLIT = re.compile(r"[^a-z0-9]+|(?<=[a-z])(?=[A-Z])")
 
 FEATURES = ("words", "links", "words_before", "links_before", "words_after", "links_after", "noise", "main", "page_has_main", "heading")
@@ -65,6 +77,7 @@ def blocks(page: str | None) -> list[Block]:
     out: list[Block] = []
     # Open elements: name, noise, main; counts of those that are open.
     stack: list[tuple[str, int, int]] = []
+    places: dict[str, list[int]] = {}
     noise = main = heading = linked = 0
     parts: list[str] = []
     links: list[str] = []
@@ -76,6 +89,24 @@ def blocks(page: str | None) -> list[Block]:
         parts.clear()
         links.clear()
 
+    def last(name: str) -> int:
+        where = places.get(name)
+        return where[-1] if where else -1
+
+    def close_from(depth: int) -> None:
+        nonlocal noise, main
+        for n, is_noise, is_main in stack[depth:]:
+            noise, main = noise - is_noise, main - is_main
+            places[n].pop()
+        del stack[depth:]
+
+    def close_open(names: tuple, shields: tuple) -> None:
+        """Close the outermost of the open ``names`` inside the last of the ``shields``."""
+        inside = max(map(last, shields))
+        found = [where[bisect(where, inside)] for where in (places.get(n, ()) for n in names) if where and where[-1] > inside]
+        if found:
+            close_from(min(found))
+
     at, raw = 0, ""
     for m in TOKEN.finditer(page):
         name = (m[2] or "").lower()
@@ -109,20 +140,21 @@ def blocks(page: str | None) -> list[Block]:
         if name in VOID or name not in BLOCK and name not in ("span", "a"):
             continue
         if m[1]:
-            depth = next((i for i in range(len(stack) - 1, max(-1, len(stack) - 400), -1) if stack[i][0] == name), None)
-            if depth is not None:
-                for _, n, k in stack[depth:]:
-                    noise, main = noise - n, main - k
-                del stack[depth:]
-        elif name in ("p", "li") and stack and stack[-1][0] == name:
-            pass  # an unclosed one ends here
+            depth = last(name)
+            if depth >= 0:
+                close_from(depth)
         else:
+            if name in ENDS_P:
+                close_open(("p",), CELLS)
+            if name in ENDS:
+                close_open(*ENDS[name])
             # A header inside the main container holds the headline; outside it is the page's.
             n, k = _marks(name, m[3])
             if name == "header":
                 n = int(main == 0)
             if name in ("html", "body"):
                 n = k = 0
+            places.setdefault(name, []).append(len(stack))
             stack.append((name, n, k))
             noise, main = noise + n, main + k
     # Elements that take their end tag's place: text after the last tag, unless a script never ended.

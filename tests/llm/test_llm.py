@@ -337,6 +337,20 @@ def test_words_and_neighbours_decide():
     assert {"words", "links", "words_before", "words_after", "links_after"} <= used
 
 
+def test_elements_without_end_tags():
+    article = f"<article><h1>Head</h1><p>{prose(60, 3)}</article>"
+    want = f"Head\n{prose(60, 3)}"
+    rows = "<tr><td>x" * 600
+    assert page_text.main_text(f'<div class="sidebar"><table>{rows}</table></div>{article}') == want
+    assert page_text.main_text(f"{article[:-10]}<table>{rows}</table></article><p>After it all").startswith(want)
+    assert "After" not in page_text.main_text(f"{article[:-10]}<table>{rows}</table></article><p>After it all")
+    assert page_text.main_text(f'<ul><li class="ad">x<p>y<li>z</ul><dl><dt class="ad">a<dd>b</dl><p class="ad">c{article}') == want
+    deep = "<div>" * 1000 + "x" + "</div>" * 1000
+    assert page_text.main_text(f'<div class="sidebar">{deep}<span>{"<span>" * 500}</div>{article}') == want
+    # An end tag within a nested list or table does not end the outer item.
+    assert page_text.main_text(f'<ul><li class="ad">x<ul><li>y<li>z</ul>w</ul>{article}') == want
+
+
 # --- 8 secrets
 
 
