@@ -3,7 +3,9 @@
 Model: first-order Markov chains over characters, one for random strings and one for ordinary identifiers, both fitted with add-one
 smoothing on a labelled sample (``training_sample``, ``SAMPLE`` strings of each label, made by rule from a fixed seed). A string of
 ``MIN_LENGTH`` or more token characters that holds a letter and a digit is a secret if the mean log-likelihood ratio per transition
-exceeds ``threshold``, which lies midway between the labels' means shifted towards the random side (``MARGIN``).
+exceeds ``threshold``, which lies midway between the labels' means shifted towards the random side (``MARGIN``). A string that is none as a
+whole is searched for the part between two delimiters (``CUT``) that exceeds the threshold by most in sum, then what is left and right
+of it, so that names and paths glued to a secret do not hide it.
 
 Spans are ``kind:start:end`` in code points, end exclusive. The fixed patterns' spans always stay; the model adds only spans that
 touch none of them. Defined results: a null text counts as empty; null ids and repeated rows are carried; texts of any length are
@@ -31,8 +33,10 @@ HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{32,}")
 
 KINDS = ("assign", "access", "hex", "random")
 CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}")
+CUT = re.compile(r"[=/+_-]+")
 MIXED = re.compile(r"[0-9].*[A-Za-z]|[A-Za-z].*[0-9]", re.DOTALL)
 
+MIN_LENGTH = 20
 SAMPLE = 4000
 MARGIN = 0.6
 SEED = 20
@@ -85,6 +89,48 @@ def is_random(text: str) -> bool:
     return MIXED.search(text) is not None and mean_ratio(text, ratio) > threshold
 
 
+def _best_part(text: str, ratio: dict[str, float], threshold: float) -> tuple[int, int] | None:
+    """Of the parts between delimiters with MIN_LENGTH or more characters, a letter and a digit: the one of the largest sum above the
+    threshold. One pass: for each end, the best of all starts that lie far enough before it."""
+    sums = [0.0, 0.0]
+    for a, b in zip(text, text[1:]):
+        sums.append(sums[-1] + ratio[a + b] - threshold)
+    # sums[i] is the sum of the pairs up to the one that ends at character i - 1.
+    cuts = [(m.start(), m.end()) for m in CUT.finditer(text)]
+    starts, ends = [0, *(e for _, e in cuts)], [*(s for s, _ in cuts), len(text)]
+    best, lowest, at = None, None, 0
+    letter = digit = -1
+    done = 0
+    for end in ends:
+        for i in range(done, end):
+            if text[i].isdigit():
+                digit = i
+            elif text[i].isalpha():
+                letter = i
+        done = max(done, end)
+        while at < len(starts) and starts[at] <= min(end - MIN_LENGTH, letter, digit):
+            if lowest is None or sums[starts[at] + 1] < lowest[0]:
+                lowest = (sums[starts[at] + 1], starts[at])
+            at += 1
+        if lowest is not None and (best is None or sums[end] - lowest[0] > best[0]):
+            best = (sums[end] - lowest[0], lowest[1], end)
+    return best[1:] if best is not None and best[0] > 0 else None
+
+
+def random_parts(text: str) -> list[tuple[int, int]]:
+    """The random-looking parts (start, end) of a run of token characters, ascending; the run itself if it is one."""
+    if is_random(text):
+        return [(0, len(text))]
+    ratio, threshold = model()
+    out, left = [], [(0, len(text))]
+    while left:
+        start, end = left.pop()
+        if end - start >= MIN_LENGTH and (part := _best_part(text[start:end], ratio, threshold)):
+            out.append((start + part[0], start + part[1]))
+            left += [(start, start + part[0]), (start + part[1], end)]
+    return sorted(out)
+
+
 def find(text: str | None) -> list[tuple[int, int, int]]:
     """Spans as (start, number of kind, end), sorted by start and kind."""
     text = text or ""
@@ -97,8 +143,8 @@ def find(text: str | None) -> list[tuple[int, int, int]]:
         while at < len(base) and base[at][0] < m.end():
             reach = max(reach, base[at][2])
             at += 1
-        if reach <= m.start() and is_random(m[0]):
-            added.append((m.start(), 3, m.end()))
+        if reach <= m.start():
+            added += [(m.start() + start, 3, m.start() + end) for start, end in random_parts(m[0])]
     return sorted(base + added)
 
 

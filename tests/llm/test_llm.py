@@ -371,6 +371,25 @@ def test_character_models_on_held_out_strings():
     assert np.mean([f for label, f in found if label == 0]) < 0.01
 
 
+@pytest.mark.parametrize("prefix", ["SERVICE_ACCOUNT_CREDENTIAL=", "DATABASE_CONNECTION_KEY=", "database_user_key=", "client/config/session/key/", "user_name_"])
+def test_secrets_glued_to_names(prefix):
+    rng, letters = random.Random(8), "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    secrets = ["".join(rng.choice(letters) for _ in range(n)) for n in (20, 24, 32, 40) for _ in range(100)]
+    secrets = [s for s in secrets if secret_spans.is_random(s)]
+    assert len(secrets) > 380
+    assert np.mean([s not in secret_spans.masked(f"x {prefix}{s} y") for s in secrets]) > 0.97
+    two = f"x {prefix}{secrets[0]}/file/name/value/list/table/column/{secrets[-1]} y"
+    assert secrets[0] not in secret_spans.masked(two) and secrets[-1] not in secret_spans.masked(two)
+
+
+def test_ordinary_names_hold_no_secret():
+    ordinary = [text for text, label in secret_spans.training_sample(1000, seed=77) if label == 0]
+    joined = [f"{a}={b}/{c}" for a, b, c in zip(ordinary, ordinary[1:], ordinary[2:])]
+    assert np.mean([bool(secret_spans.find(t)) for t in ordinary]) < 0.01
+    assert np.mean([bool(secret_spans.find(t)) for t in joined]) < 0.02
+    assert secret_spans.find("a_" * 100_000) == []
+
+
 # --- 9 repeats
 
 
