@@ -4,7 +4,8 @@ Model: multinomial logistic regression over the word unigrams and bigrams of a p
 on the labelled table ``LABELLED`` with an L2 penalty. ``unknown`` is one of its classes, with ordinary sentences that use licence words as
 its examples. The temperature of the softmax is the one of smallest log loss when each paragraph is left out in turn. A paragraph is given a
 family if that has a calibrated probability of ``PROBABILITY`` or more and the paragraph holds at least ``CONTAINED`` of the word pairs of one
-of the family's templates; else it is unknown.
+of the family's templates; else it is unknown. A notice may be wrapped: a line with a licence word that is unknown by itself is judged once
+more with the lines around it, up to an empty one and as far as the longest template could reach, and the notice counts at its first such line.
 
 Scoring is column expressions inside one scan: the weights are literals whose size is that of the labelled table, and paragraphs
 without a licence word, which have no feature at all, are passed over by one pattern. No shuffle, no Python on the executors.
@@ -165,6 +166,20 @@ def _array(values: list, kind: str) -> Column:
     return F.array(*[F.lit(v) for v in values]).cast(f"array<{kind}>")
 
 
+def _pairs(words: Column) -> Column:
+    return F.array_distinct(F.zip_with(F.slice(words, 1, F.greatest(F.size(words) - 1, F.lit(0))), F.slice(words, 2, F.size(words)), lambda a, b: F.concat_ws(" ", a, b)))
+
+
+def _reach(lines: Column, longest: int, joined) -> Column:
+    """Of lines' words in their order away from a line: ``words`` up to an empty line or until they are ``longest``, and the number ``n`` of lines."""
+
+    def step(a: Column, w: Column) -> Column:
+        taken = a["open"] & (F.size(w) > 0) & (F.size(a["words"]) < longest)
+        return F.struct(F.when(taken, joined(a["words"], w)).otherwise(a["words"]).alias("words"), F.when(taken, a["n"] + 1).otherwise(a["n"]).alias("n"), taken.alias("open"))
+
+    return F.aggregate(lines, F.struct(F.array().cast("array<string>").alias("words"), F.lit(0).alias("n"), F.lit(True).alias("open")), step)
+
+
 def scan(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     """One row per row of ``docs``: key, ``n_candidates`` (paragraphs with a licence word) and ``licenses``: (paragraph, family, probability, contained)."""
     weights, bias = model()
@@ -172,23 +187,42 @@ def scan(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     lexicon = "(?i)(?<![a-z0-9])(?:" + "|".join(re.escape(w) for w in sorted(LEXICON, key=len, reverse=True)) + ")(?![a-z0-9])"
     pairs_of = {f: [sorted({f"{a} {b}" for a, b in zip(words_of(t), words_of(t)[1:])}) for t in TEMPLATES[f]] for f in TEMPLATES}
 
-    lines = F.transform(F.split(text_of(), "\n", -1), lambda line, i: F.struct(i.alias("paragraph"), line.alias("line")))
-    found = docs.select(F.col(key).alias("key"), F.when(text_of().rlike(lexicon), F.filter(lines, lambda x: x["line"].rlike(lexicon))).alias("lines"))
-    words = F.transform(
-        "lines", lambda x: F.struct(x["paragraph"].alias("paragraph"), F.regexp_extract_all(F.lower(x["line"]), F.lit(f"({WORD})"), F.lit(1)).alias("words"))
-    )
-    pairs = F.transform(
-        "lines",
-        lambda x: F.struct(
-            x["paragraph"].alias("paragraph"),
-            x["words"].alias("words"),
-            F.array_distinct(F.zip_with(F.slice(x["words"], 1, F.greatest(F.size(x["words"]) - 1, F.lit(0))), F.slice(x["words"], 2, F.size(x["words"])), lambda a, b: F.concat_ws(" ", a, b))).alias("pairs"),
-        ),
+    longest = max(len(words_of(t)) for f in TEMPLATES for t in TEMPLATES[f])
+    flat = F.array(*[_array(t, "string") for f in TEMPLATES for t in pairs_of[f]])
+    known = _array(sorted({p for f in TEMPLATES for t in pairs_of[f] for p in t}), "string")
+
+    some = text_of().rlike(lexicon)
+    found = docs.select(
+        F.col(key).alias("key"),
+        F.when(some, F.transform(F.split(text_of(), "\n", -1), lambda line, i: F.when(line.rlike(lexicon), i))).alias("numbers"),
+        F.when(some, F.transform(F.split(text_of(), "\n", -1), lambda line: F.regexp_extract_all(F.lower(line), F.lit(f"({WORD})"), F.lit(1)))).alias("tokens"),
     )
+    found = found.select("key", F.filter("numbers", lambda i: i.isNotNull()).alias("numbers"), "tokens")
+    # Windows are formed only where all the lines together hold enough of a template.
+    found = found.withColumn("held", F.array_intersect(known, _pairs(F.flatten("tokens"))))
+    wrapped = (F.size("held") > 0) & F.exists(flat, lambda t: F.size(F.array_intersect(t, F.col("held"))) >= CONTAINED * F.size(t))
+
+    def line_of(i: Column) -> Column:
+        return F.struct(i.alias("paragraph"), i.alias("lo"), i.alias("hi"), F.element_at("tokens", i + 1).alias("words"))
+
+    def window_of(i: Column) -> Column:
+        before = _reach(F.reverse(F.slice("tokens", F.greatest(i - longest + 1, F.lit(1)), F.least(i, F.lit(longest)))), longest, lambda a, w: F.concat(w, a))
+        after = _reach(F.slice("tokens", i + 2, longest), longest, F.concat)
+        return F.struct(i.alias("paragraph"), before.alias("before"), after.alias("after"))
+
+    def joined(x: Column) -> Column:
+        i = x["paragraph"]
+        words = F.concat(x["before"]["words"], F.element_at("tokens", i + 1), x["after"]["words"])
+        return F.struct(i.alias("paragraph"), (i - x["before"]["n"]).alias("lo"), (i + x["after"]["n"]).alias("hi"), words.alias("words"))
+
+    windows = F.filter(F.transform(F.transform("numbers", window_of), joined), lambda x: x["lo"] < x["hi"])
+    units = F.concat(F.transform("numbers", line_of), F.coalesce(F.when(wrapped, windows), F.slice(F.transform("numbers", line_of), 1, 0)))
+    place = ("paragraph", "lo", "hi")
+    pairs = F.transform("lines", lambda x: F.struct(*[x[c].alias(c) for c in place], x["words"].alias("words"), _pairs(x["words"]).alias("pairs")))
     scores = F.transform(
         "lines",
         lambda x: F.struct(
-            x["paragraph"].alias("paragraph"),
+            *[x[c].alias(c) for c in place],
             x["pairs"].alias("pairs"),
             F.aggregate(
                 F.filter(F.concat(F.array_distinct(x["words"]), x["pairs"]), lambda g: F.array_contains(F.map_keys("weights"), g)),
@@ -205,12 +239,23 @@ def scan(docs: DataFrame, key: str = "doc_id") -> DataFrame:
         share = F.array_max(
             F.transform(F.element_at("templates", number), lambda t: F.size(F.array_intersect(t, x["pairs"])) / F.size(t))
         )
-        return F.struct(x["paragraph"].alias("paragraph"), F.element_at("families", number).alias("family"), (1 / total).alias("probability"), F.coalesce(share, F.lit(0.0)).alias("contained"))
+        return F.struct(*[x[c].alias(c) for c in place], F.element_at("families", number).alias("family"), (1 / total).alias("probability"), F.coalesce(share, F.lit(0.0)).alias("contained"))
 
     templates = F.array(F.array().cast("array<array<string>>"), *[F.array(*[_array(t, "string") for t in pairs_of[f]]) for f in TEMPLATES])
-    named = found.select("key", F.size(F.coalesce("lines", F.array())).cast("long").alias("n_candidates"), words.alias("lines"))
+    named = found.select("key", F.size(F.coalesce("numbers", F.array())).cast("long").alias("n_candidates"), units.alias("lines"))
     literals = [by_feature.alias("weights"), _array(bias, "double").alias("bias"), templates.alias("templates"), _array(list(FAMILIES), "string").alias("families")]
     steps = named.withColumn("lines", pairs).select("*", *literals).withColumn("lines", scores)
     steps = steps.select("key", "n_candidates", F.transform("lines", judged).alias("lines"))
     kept = F.filter("lines", lambda x: (x["family"] != "unknown") & (x["probability"] >= PROBABILITY) & (x["contained"] >= CONTAINED))
-    return steps.select(F.col("key").alias(key), "n_candidates", F.coalesce(kept, F.array().cast(dict(steps.dtypes)["lines"])).alias("licenses"))
+    steps = steps.select("key", "n_candidates", kept.alias("lines"))
+
+    def reported(x: Column) -> Column:
+        """A line by itself, or a window that holds none of its family and no earlier window's line."""
+        alone = lambda y: (y["lo"] == y["hi"]) & y["paragraph"].between(x["lo"], x["hi"])
+        earlier = lambda y: (y["paragraph"] < x["paragraph"]) & (y["hi"] >= x["paragraph"])
+        return (x["lo"] == x["hi"]) | ~F.exists("lines", lambda y: (y["family"] == x["family"]) & (alone(y) | earlier(y)))
+
+    names = ("paragraph", "family", "probability", "contained")
+    licenses = F.array_sort(F.transform(F.filter("lines", reported), lambda x: F.struct(*[x[c].alias(c) for c in names])))
+    kind = "array<struct<paragraph:int,family:string,probability:double,contained:double>>"
+    return steps.select(F.col("key").alias(key), "n_candidates", F.coalesce(licenses, F.array().cast(kind)).alias("licenses"))

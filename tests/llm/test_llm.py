@@ -136,6 +136,33 @@ def test_license_families_on_held_out_sentences(spark):
     assert np.mean([f == k for f, (k, _) in zip(found, HELD_OUT)]) >= 0.9
 
 
+GPL_HEADER = (
+    "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by "
+    "the Free Software Foundation, either version 3 of the License, or (at your option) any later version."
+)
+WRAPPED = {
+    "gpl": GPL_HEADER,
+    "bsd": license_scan.TEMPLATES["bsd"][0] + ":",
+    "mpl-2.0": license_scan.TEMPLATES["mpl-2.0"][0],
+    "mit": license_scan.TEMPLATES["mit"][2] + ' (the "Software"), to deal in the Software without restriction',
+}
+
+
+@pytest.mark.parametrize("prefix", ["", " * ", "# "])
+def test_wrapped_notices(spark, prefix):
+    import textwrap
+
+    cases = [(family, width) for family in WRAPPED for width in (24, 40, 60, 76)]
+    texts = [f"{prose(30, 1)}\n\n" + "\n".join(prefix + x for x in textwrap.wrap(WRAPPED[f], w)) + f"\n{prefix.rstrip()}\n{prose(30, 2)}" for f, w in cases]
+    texts += ["\n".join(textwrap.wrap(t, 30)) for t in license_scan.UNKNOWN] + ["\n\n".join(textwrap.wrap(GPL_HEADER, 76))]
+    rows = license_scan.scan(documents(spark, texts)).orderBy("doc_id").collect()
+    for (family, width), row in zip(cases, rows):
+        assert [x.family for x in row.licenses] == [family], (family, width, row)
+        assert row.licenses[0].paragraph >= 2
+    # Ordinary sentences stay unknown, and an empty line ends a notice.
+    assert all(not r.licenses for r in rows[len(cases) :])
+
+
 # --- 2 line dedup
 
 
