@@ -29,6 +29,8 @@ from attestry.llm.tables import per_batch, stored
 
 CAPACITY = 2048
 END = 0
+#: The only added token of the vocabulary.
+ADDED = "<|endoftext|>"
 GROUP = 2000
 ISLANDS = 2
 EPOCHS = 2
@@ -44,7 +46,6 @@ def encoder(vocabulary: str):
         from tokenizers import Tokenizer
 
         own = Tokenizer.from_file(vocabulary)
-        own.encode_special_tokens = True
         return lambda text: own.encode(text, add_special_tokens=False).ids
     import base64
 
@@ -53,7 +54,17 @@ def encoder(vocabulary: str):
 
     with open(vocabulary, "rb") as lines:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-    return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+    ordinary = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+
+    def ids(text: str) -> list[int]:
+        # As in the tokenizers file, the added token's string is cut out first; its id comes after all ranks.
+        first, *others = text.split(ADDED)
+        out = ordinary(first)
+        for part in others:
+            out += [len(ranks), *ordinary(part)]
+        return out
+
+    return ids
 
 
 def pieces_of(docs: DataFrame, vocabulary: str, key: str = "doc_id", capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:

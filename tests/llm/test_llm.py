@@ -274,6 +274,17 @@ def test_pieces_and_sequences(spark):
     assert packing.pack(packing.pieces_of(docs.limit(0), path)).count() == 0
 
 
+def test_ids_are_the_default_tokenizers():
+    from tokenizers import Tokenizer
+
+    own = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    ids = packing.encoder(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    end = packing.ADDED
+    texts = [t or "" for t in EDGES] + [end, f"{end}{end}", f"a {end} b", f"a{end}b {end}\n", f"<|{end}|>", "<|endoftext", f"{end[:-1]} >", f"é  {end}  日"]
+    assert [ids(t) for t in texts] == [own.encode(t, add_special_tokens=False).ids for t in texts]
+    assert ids(f"a{end}").count(50256) == 1
+
+
 def test_packing_is_no_worse_than_best_fit():
     rng = random.Random(3)
     for n in (1, 2, 50, 700):
