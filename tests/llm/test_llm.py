@@ -515,6 +515,24 @@ def test_links_against_all_pairs(spark):
     assert vector_links.near_duplicates(vectors.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("share", [0.5, 0.9, 0.95, 1.0, "sparse"])
+def test_filters_of_uneven_vectors(share):
+    rng, n = np.random.default_rng(6), 400
+    base = rng.standard_normal((n, 64))
+    if share == "sparse":
+        base *= np.argsort(rng.random((n, 64)), axis=1) < 3
+    else:
+        base[:, :32] *= np.sqrt(share) / np.linalg.norm(base[:, :32], axis=1, keepdims=True)
+        base[:, 32:] *= np.sqrt(1 - share) / np.linalg.norm(base[:, 32:], axis=1, keepdims=True)
+    base /= np.linalg.norm(base, axis=1, keepdims=True)
+    aside = rng.standard_normal((n, 64))
+    aside -= (aside * base).sum(1, keepdims=True) * base
+    partner = 0.98 * base + np.sqrt(1 - 0.98**2) * aside / np.linalg.norm(aside, axis=1, keepdims=True)
+    one, other = vector_links.filters(base), vector_links.filters(partner)
+    assert min(map(len, one)) >= vector_links.LEAST
+    assert np.mean([len(np.intersect1d(a, b)) > 0 for a, b in zip(one, other)]) >= 0.97
+
+
 # --- pipeline
 
 
