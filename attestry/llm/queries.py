@@ -187,11 +187,13 @@ WITH RECURSIVE base AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coale
 damaged AS (SELECT conv_id, turn, CASE WHEN damage = 4 THEN 'user' ELSE role END AS role,
     CASE WHEN damage = 1 THEN '' WHEN damage = 2 THEN translate(text, '.!?', '') ELSE text END AS text, copy
     FROM (SELECT *, unnest(CASE WHEN damage = 3 THEN [1, 2] ELSE [1] END) AS copy FROM base WHERE damage <> 0)),
-numbered AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS i,
-    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS seen, substr(role, 1, 1) AS c FROM damaged),
-r AS (SELECT conv_id, turn, role, text, i, c, CASE WHEN NOT regexp_matches(text, '[^ 	-]') THEN 1 WHEN seen > 1 THEN 2
-    WHEN NOT regexp_matches(text, '[.!?][ 	-]*\z') THEN 3 ELSE 0 END AS fault,
-    lag(c) OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS c0 FROM numbered),
+ordered AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text)) AS i, substr(role, 1, 1) AS c FROM damaged),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) AS seen FROM ordered),
+r AS (SELECT conv_id, turn, role, text, i, c, CASE WHEN NOT regexp_matches(text, '[^ 	-
+]') THEN 1 WHEN seen > 1 THEN 2
+    WHEN NOT regexp_matches(text, '[.!?][ 	-
+]*\z') THEN 3 ELSE 0 END AS fault,
+    lag(c) OVER (PARTITION BY conv_id ORDER BY i) AS c0 FROM numbered),
 sizes AS (SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
     count(*) FILTER (fault = 1) AS blank, count(*) FILTER (fault = 2) AS duplicate, count(*) FILTER (fault = 3) AS truncated,
     count(*) FILTER (i > 1 AND c0 || c NOT IN ('su', 'ua', 'au')) AS illegal FROM r GROUP BY conv_id),
@@ -226,7 +228,8 @@ FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN sizes z ON o.conv_
 """
 
 RUNS_SQL = rf"""
-WITH plain AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^ 	-]+') AS words, {_crc32("CAST(doc_id AS VARCHAR)")} AS h FROM documents),
+WITH plain AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+') AS words, {_crc32("CAST(doc_id AS VARCHAR)")} AS h FROM documents),
 sized AS (SELECT *, CAST(len(words) AS BIGINT) AS n, h // 10 AS g, h % 10 = 0 AND len(words) > 0 AS plants FROM plain),
 cut AS (SELECT *, CASE WHEN plants THEN g % n END AS a FROM sized),
 d AS (SELECT doc_id, n, CASE WHEN plants THEN list_transform(range(n), lambda i: words[CASE WHEN i >= a THEN a + (i - a) % (1 + (n - a) // (3 + g % 8)) ELSE i END + 1])
