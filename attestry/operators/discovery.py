@@ -82,7 +82,6 @@ def number_requests(plan: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
         plan,
         list(keys),
         ["catalog_order", "group_order", "term_order", "term_key"],
-        F.struct("catalog_order", "group_order"),
         "request_sequence",
     )
 

@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from attestry.functions.digest import content_id
-from attestry.operators.history import month_of
 from attestry.operators.segments import join_on_key, latest_per_key, neighbour
 
 # Decisions, those that need conditions, those that create a version, and error codes.
@@ -168,9 +167,7 @@ class DecisionOutcome:
     judged: DataFrame
 
 
-def apply_decisions(
-    batch: DataFrame, stewards: DataFrame, facts: DataFrame, ledger: DataFrame, segment: Column | None = None
-) -> DecisionOutcome:
+def apply_decisions(batch: DataFrame, stewards: DataFrame, facts: DataFrame, ledger: DataFrame) -> DecisionOutcome:
     """Judge a whole batch of decisions in one plan.
 
     Checks run in a fixed order (input, steward, evidence) and the first failure is reported.
@@ -202,7 +199,6 @@ def apply_decisions(
         ["resource_key"],
         ["decided_at", "__new", "manual_review_decision_id"],
         ["manual_review_decision_id"],
-        month_of("decided_at") if segment is None else segment,
         prefix="supersedes_",
     ).filter(F.col("__new") == 1)
     creates = F.col("decision").isin(*APPROVING)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from attestry.operators.segments import join_on_key, latest_per_key, neighbour
+from attestry.operators.segments import Ordered, join_on_key, latest_per_key, neighbour
 
 __all__ = [
     "close_intervals",
@@ -38,36 +38,21 @@ def current_datasets(datasets: DataFrame) -> DataFrame:
     return latest_per_key(datasets, ["dataset_key"], ["discovered_at", "catalog_dataset_id"])
 
 
-def month_of(column: str) -> Column:
-    return F.date_trunc("month", F.col(column))
-
-
-def supersessions(decisions: DataFrame, segment: Column | None = None) -> DataFrame:
+def supersessions(decisions: DataFrame) -> DataFrame:
     """Link every decision to the previous one of the same resource."""
     linked = neighbour(
         decisions,
         ["resource_key"],
         ["decided_at", "manual_review_decision_id"],
         ["manual_review_decision_id"],
-        month_of("decided_at") if segment is None else segment,
         prefix="supersedes_",
     )
     return linked.withColumnRenamed("supersedes_manual_review_decision_id", "supersedes_decision_id")
 
 
-def close_intervals(
-    profiles: DataFrame, keys: Sequence[str], start: str, tie: str, segment: Column | None = None
-) -> DataFrame:
+def close_intervals(profiles: DataFrame, keys: Sequence[str], start: str, tie: str) -> DataFrame:
     """Slowly changing history: a version ends where the next version of its key starts; the last stays open."""
-    closed = neighbour(
-        profiles,
-        keys,
-        [start, tie],
-        [start],
-        month_of(start) if segment is None else segment,
-        prefix="__next_",
-        forward=True,
-    )
+    closed = neighbour(profiles, keys, [start, tie], [start], prefix="__next_", forward=True)
     return closed.withColumnRenamed(f"__next_{start}", "effective_to")
 
 
@@ -89,7 +74,6 @@ def valid_at(
     end: str,
     event_id: str,
     values: Sequence[str],
-    segment_unit: str = "month",
 ) -> DataFrame:
     """The history row valid at each event (``start <= at < end``, null end is open), as columns ``as_of_*``.
 
@@ -118,7 +102,6 @@ def valid_at(
         keys,
         ["__at", "__side", "__id"],
         ["__version"],
-        F.date_trunc(segment_unit, F.col("__at")),
         prefix="__on",
         where=F.col("__side") == 0,
     ).filter(F.col("__side") == 1)
@@ -143,21 +126,19 @@ def prior_success(
     order: Sequence[str],
     run_id: str,
     succeeded: Column,
-    segment: Column,
 ) -> DataFrame:
     """Add ``prior_successful_run_id``: the last successful run of the key strictly before each run."""
-    found = neighbour(runs, keys, order, [run_id], segment, prefix="__prior_", where=succeeded)
+    found = neighbour(runs, keys, order, [run_id], prefix="__prior_", where=succeeded)
     return found.withColumnRenamed(f"__prior_{run_id}", "prior_successful_run_id")
 
 
-def document_diff(snapshots: DataFrame, segment: Column | None = None) -> DataFrame:
+def document_diff(snapshots: DataFrame) -> DataFrame:
     """Mark a document snapshot whose content differs from the previous one of its resource and type."""
     compared = neighbour(
         snapshots,
         ["resource_key", "document_type"],
         ["retrieved_at", "source_document_snapshot_id"],
         ["content_sha256", "source_document_snapshot_id"],
-        month_of("retrieved_at") if segment is None else segment,
     )
     changed = F.col("prev_source_document_snapshot_id").isNotNull() & ~F.col("content_sha256").eqNullSafe(
         F.col("prev_content_sha256")
@@ -200,19 +181,14 @@ def current_status(status_events: DataFrame, run_id: str, at: str, sequence: str
     return latest_per_key(status_events, [run_id], [at, sequence])
 
 
-def observed_cadence(
-    snapshots: DataFrame, key: str, at: str, tie: str, content: str, segment: Column | None = None
-) -> DataFrame:
+def observed_cadence(snapshots: DataFrame, key: str, at: str, tie: str, content: str) -> DataFrame:
     """Typical hours between real content changes per key: the lower median, exact.
 
-    Equal gaps are counted first, so the ordered part per key is the number of distinct gaps.
+    Changes and the gaps between them are found on the same dealt rows. Equal gaps are counted first, so the ordered part per key is the number of distinct gaps.
     """
-    cut = month_of(at) if segment is None else segment
-    seen = neighbour(snapshots.select(key, at, tie, content), [key], [at, tie], [content, tie], cut)
-    changes = seen.filter(
-        F.col(f"prev_{tie}").isNull() | ~F.col(content).eqNullSafe(F.col(f"prev_{content}"))
-    ).select(key, at, tie)
-    gaps = neighbour(changes, [key], [at, tie], [at], cut).filter(F.col(f"prev_{at}").isNotNull())
+    seen = Ordered(snapshots.select(key, at, tie, content), [key], [at, tie]).neighbour([content, tie])
+    changes = seen.filter(F.col(f"prev_{tie}").isNull() | ~F.col(content).eqNullSafe(F.col(f"prev_{content}")))
+    gaps = changes.neighbour([at]).rows().filter(F.col(f"prev_{at}").isNotNull())
     hours = F.timestamp_diff("HOUR", F.col(f"prev_{at}"), F.col(at))
     counted = gaps.groupBy(key, hours.alias("gap_hours")).agg(F.count(F.lit(1)).alias("n"))
     upto = Window.partitionBy(key).orderBy("gap_hours").rowsBetween(Window.unboundedPreceding, 0)

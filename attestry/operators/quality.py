@@ -153,10 +153,10 @@ def page_gaps(requests: DataFrame, run: str, sequence: str, rows: str | None = N
     return per_page.groupBy(run).agg(*measures)
 
 
-def page_gap_ranges(requests: DataFrame, run: str, sequence: str, segment: Column) -> DataFrame:
+def page_gap_ranges(requests: DataFrame, run: str, sequence: str) -> DataFrame:
     """Missing ranges between consecutive recorded pages of a run, and before the first."""
     pages = requests.select(run, sequence).distinct()
-    linked = neighbour(pages, [run], [sequence], [sequence], segment)
+    linked = neighbour(pages, [run], [sequence], [sequence])
     before = F.coalesce(F.col(f"prev_{sequence}"), F.lit(0))
     return linked.filter(F.col(sequence) > before + 1).select(
         run, (before + 1).cast("bigint").alias("gap_from"), (F.col(sequence) - 1).cast("bigint").alias("gap_to")

@@ -1,31 +1,122 @@
 """Ordered per-key operators that stay balanced when one key holds a large share of the rows.
 
-A plain window puts every row of a key into one task. Here a key is cut into *segments* of its
-ordering axis (a month, a day, a block of sequence numbers). The window runs inside each segment;
-one summary row per (key, segment) carries the state from earlier segments. Only summaries, whose
-number is the length of the axis and not the number of rows, are ever ordered per key.
+A plain window puts every row of a key into one task. Here rows are range-partitioned by key *and*
+order: a sample gives the bounds, each row looks up its range, and rows are dealt to tasks by the
+number of their range, so a key of any size, even inside one instant, is spread over as many tasks
+as its rows need. The window runs inside each range; one row per range carries the state on into
+the ranges behind it. Rows are shuffled once, and carries are taken from the same exchange.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from math import isqrt
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_KEY, _SEGMENT, _VALUE, _NEAR, _EDGE, _CARRY = "__key", "__segment", "__value", "__near", "__edge", "__carry"
+_RANGE, _VALUE, _NEAR, _EDGE, _CARRY, _POINT, _BOUNDS = "__range", "__value", "__near", "__edge", "__carry", "__point", "__bounds"
+
+#: Sampled rows per range: the bounds of ranges are off by a fraction of a range only.
+SAMPLED = 32
 
 
-def _cut(df: DataFrame, keys: Sequence[str], segment: Column) -> DataFrame:
-    """Add the key as one struct, which compares nulls as equal, and the segment.
+def _bounds(points: DataFrame, n: int) -> Column:
+    """``n - 1`` or fewer ascending bounds that cut ``points`` evenly, in groups of about ``sqrt(n)``.
 
-    Windows, summaries and the join between them then share one hash partitioning, so the rows
-    are shuffled once.
+    The sample is the ``SAMPLED * n`` points of least hash, so it depends on the data alone and not
+    on the order of tasks; each task forwards no more than that. It is a scalar subquery: nothing
+    runs before the query itself does.
     """
-    return df.withColumns({_KEY: F.struct(*keys) if keys else F.lit(True), _SEGMENT: F.struct(segment.alias("s"))})
+    sample = points.orderBy(F.xxhash64(_POINT), _POINT).limit(SAMPLED * n)
+    ordered = F.array_sort(F.collect_list(_POINT))
+    each = isqrt(n)
+    at = lambda i: F.get(F.col("s"), F.floor(i * F.size("s") / n).cast("int"))
+    cuts = F.array_distinct(F.transform(F.sequence(F.lit(1), F.lit(n - 1)), at))
+    groups = F.transform(F.sequence(F.lit(0), F.floor((F.size("c") - 1) / each).cast("int")), lambda j: F.slice("c", j * each + 1, F.lit(each)))
+    return sample.agg(ordered.alias("s")).select(cuts.alias("c")).select(groups.alias("g")).scalar()
+
 
+class Ordered:
+    """Rows dealt by ranges of ``keys`` and ``order``, which must be total within a key.
+
+    Methods add columns without another shuffle of the rows, in any number; ``rows`` gives the result.
+    """
 
-def _attach(rows: DataFrame, carry: DataFrame) -> DataFrame:
-    return rows.join(carry, [_KEY, _SEGMENT], "left")
+    def __init__(self, df: DataFrame, keys: Sequence[str], order: Sequence[str], ranges: int | None = None):
+        n = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        self.keys, self.order, self.n = list(keys), list(order), n
+        self.point = F.struct(*[F.col(c) for c in (*keys, *order)])
+        own, bounded = F.lit(0), df
+        if n > 1:
+            bounded = df.withColumn(_BOUNDS, _bounds(df.select(self.point.alias(_POINT)), n))
+            groups = F.col(_BOUNDS)
+            passed = F.size(F.filter(groups, lambda g: F.get(g, F.lit(0)) <= self.point))
+            inside = F.size(F.filter(F.get(groups, passed - 1), lambda b: b <= self.point))
+            own = F.when(passed <= 0, 0).otherwise((passed - 1) * isqrt(n) + inside)
+        self.dealt = bounded.select(*df.columns, own.cast("int").alias(_RANGE)).repartitionById(n, _RANGE)
+
+    def _with(self, dealt: DataFrame) -> Ordered:
+        other = object.__new__(Ordered)
+        other.keys, other.order, other.n, other.point, other.dealt = self.keys, self.order, self.n, self.point, dealt
+        return other
+
+    def _key(self) -> Column:
+        return F.struct(*[F.col(k) for k in self.keys]) if self.keys else F.struct(F.lit(True).alias("all"))
+
+    def _carried(self, edges: DataFrame, carry: Column) -> DataFrame:
+        """``dealt`` with what the ranges before it say; ``edges`` has at most one row per range."""
+        one = edges.select(_RANGE, carry.alias(_CARRY))
+        return self.dealt.join(F.broadcast(one), _RANGE, "left")
+
+    def neighbour(self, values: Sequence[str], *, prefix: str = "prev_", where: Column | None = None, forward: bool = False) -> Ordered:
+        """Add ``prefix + name`` for each value of the nearest earlier row of the same key.
+
+        ``where`` restricts which rows may be the neighbour (last matching row strictly before this
+        one). ``forward`` looks at the nearest later row instead.
+        """
+        columns = self.dealt.columns
+        packed = F.struct(*[F.col(v) for v in values])
+        base = self._with(self.dealt.withColumn(_VALUE, packed if where is None else F.when(where, packed)))
+
+        def direction(name: str) -> Column:
+            return F.desc_nulls_last(name) if forward else F.asc_nulls_first(name)
+
+        before = (Window.unboundedPreceding, -1)
+        inside = Window.partitionBy(_RANGE, *self.keys).orderBy(*[direction(o) for o in self.order]).rowsBetween(*before)
+        # A range's nearest match lies with the key at its far end: the only one that goes on.
+        pick = F.min_by if forward else F.max_by
+        rank = F.when(F.col(_VALUE).isNotNull(), self.point)
+        edges = base.dealt.groupBy(_RANGE).agg(pick(F.struct(self._key().alias("key"), F.col(_VALUE).alias("value")), rank).alias(_EDGE))
+        across = Window.partitionBy(F.lit(0)).orderBy(direction(_RANGE)).rowsBetween(*before)
+        found = base._carried(edges, F.last(_EDGE, ignorenulls=True).over(across))
+        near = F.last(_VALUE, ignorenulls=True).over(inside)
+        carried = F.when(F.col(_CARRY)["key"].eqNullSafe(self._key()), F.col(_CARRY)["value"])
+        out = found.withColumn(_NEAR, F.coalesce(near, carried))
+        return self._with(out.select(*columns, *[F.col(_NEAR)[v].alias(f"{prefix}{v}") for v in values]))
+
+    def numbered(self, name: str) -> Ordered:
+        """Add the row number 1..n within a key along the order."""
+        columns = self.dealt.columns
+        counts = self.dealt.groupBy(_RANGE, self._key().alias("key")).agg(F.count(F.lit(1)).alias("n"))
+        edges = counts.groupBy(_RANGE).agg(F.max_by(F.struct("key", "n"), F.col("key")).alias(_EDGE))
+        upto = Window.partitionBy(F.col(_EDGE)["key"]).orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, 0)
+        totals = edges.select(_RANGE, F.struct(F.col(_EDGE)["key"].alias("key"), F.sum(F.col(_EDGE)["n"]).over(upto).alias("n")).alias(_EDGE))
+        # The range before may end in another key: then nothing is carried. Ranges without rows have no edge, so rows take the last edge before them.
+        found = self._carried(totals, F.lag(_EDGE).over(Window.partitionBy(F.lit(0)).orderBy(_RANGE)))
+        inside = Window.partitionBy(_RANGE, *self.keys).orderBy(*[F.asc_nulls_first(o) for o in self.order])
+        carried = F.when(F.col(_CARRY)["key"].eqNullSafe(self._key()), F.col(_CARRY)["n"])
+        number = F.row_number().over(inside) + F.coalesce(carried, F.lit(0))
+        return self._with(found.withColumn(_NEAR, number.cast("bigint")).select(*columns, F.col(_NEAR).alias(name)))
+
+    def filter(self, condition: Column) -> Ordered:
+        return self._with(self.dealt.filter(condition))
+
+    def with_columns(self, columns: dict[str, Column]) -> Ordered:
+        return self._with(self.dealt.withColumns(columns))
+
+    def rows(self) -> DataFrame:
+        return self.dealt.drop(_RANGE)
 
 
 def neighbour(
@@ -33,53 +124,18 @@ def neighbour(
     keys: Sequence[str],
     order: Sequence[str],
     values: Sequence[str],
-    segment: Column,
     *,
     prefix: str = "prev_",
     where: Column | None = None,
     forward: bool = False,
 ) -> DataFrame:
-    """Add ``prefix + name`` for each value of the nearest earlier row of the same key.
+    """``Ordered.neighbour`` of the rows of ``df``."""
+    return Ordered(df, keys, order).neighbour(values, prefix=prefix, where=where, forward=forward).rows()
 
-    ``order`` must be total within a key and ``segment`` must not decrease along it.
-    ``where`` restricts which rows may be the neighbour (last matching row strictly before this
-    one). ``forward`` looks at the nearest later row instead.
-    """
-    packed = F.struct(*[F.col(v) for v in values])
-    if where is not None:
-        packed = F.when(where, packed)
-    base = _cut(df, keys, segment).withColumn(_VALUE, packed)
-
-    def direction(name: str) -> Column:
-        return F.desc_nulls_last(name) if forward else F.asc_nulls_first(name)
-
-    inside = Window.partitionBy(_KEY, _SEGMENT).orderBy(*[direction(o) for o in order])
-    inside = inside.rowsBetween(Window.unboundedPreceding, -1)
-    rows = base.withColumn(_NEAR, F.last(_VALUE, ignorenulls=True).over(inside))
-
-    pick = F.min_by if forward else F.max_by
-    rank = F.when(F.col(_VALUE).isNotNull(), F.struct(*[F.col(o) for o in order]))
-    edges = base.groupBy(_KEY, _SEGMENT).agg(pick(F.col(_VALUE), rank).alias(_EDGE))
-    across = Window.partitionBy(_KEY).orderBy(direction(_SEGMENT)).rowsBetween(Window.unboundedPreceding, -1)
-    carry = edges.select(_KEY, _SEGMENT, F.last(_EDGE, ignorenulls=True).over(across).alias(_CARRY))
-
-    found = F.coalesce(F.col(_NEAR), F.col(_CARRY))
-    return _attach(rows, carry).select(
-        *df.columns, *[found[v].alias(f"{prefix}{v}") for v in values]
-    )
 
-
-def numbered(df: DataFrame, keys: Sequence[str], order: Sequence[str], segment: Column, name: str) -> DataFrame:
+def numbered(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str) -> DataFrame:
     """Row number 1..n within a key along ``order``, without one task per key."""
-    base = _cut(df, keys, segment)
-    inside = Window.partitionBy(_KEY, _SEGMENT).orderBy(*[F.asc_nulls_first(o) for o in order])
-    rows = base.withColumn(_NEAR, F.row_number().over(inside))
-    sizes = base.groupBy(_KEY, _SEGMENT).agg(F.count(F.lit(1)).alias(_EDGE))
-    across = Window.partitionBy(_KEY).orderBy(F.asc_nulls_first(_SEGMENT)).rowsBetween(Window.unboundedPreceding, -1)
-    carry = sizes.select(_KEY, _SEGMENT, F.coalesce(F.sum(_EDGE).over(across), F.lit(0)).alias(_CARRY))
-    return _attach(rows, carry).select(
-        *df.columns, (F.col(_NEAR) + F.col(_CARRY)).cast("bigint").alias(name)
-    )
+    return Ordered(df, keys, order).numbered(name).rows()
 
 
 def join_on_key(

@@ -9,10 +9,6 @@ from attestry.operators import change, history, quality
 from attestry.plans.registry import Tables, query
 
 
-def _day(column: str):
-    return F.date_trunc("day", F.col(column))
-
-
 # --- rules ------------------------------------------------------------------------------------
 
 DQ_SQL = """
@@ -113,8 +109,7 @@ def page_gaps(t: Tables) -> DataFrame:
     ["pages_fetched"],
 )
 def page_gap_ranges(t: Tables) -> DataFrame:
-    block = F.floor(F.col("request_sequence") / 4)
-    return quality.page_gap_ranges(t.pages_fetched, "ingestion_run_id", "request_sequence", block)
+    return quality.page_gap_ranges(t.pages_fetched, "ingestion_run_id", "request_sequence")
 
 
 @query(
@@ -126,7 +121,7 @@ def number_requests(t: Tables) -> DataFrame:
 
     numbered_rows = numbered(
         t.lineitem, ["l_suppkey"], ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice"],
-        F.date_trunc("quarter", "l_shipdate"), "request_sequence",
+        "request_sequence",
     )
     return numbered_rows.select("l_suppkey", "l_orderkey", "l_linenumber", "l_partkey", "request_sequence")
 
@@ -157,7 +152,7 @@ def reconcile_counts(t: Tables) -> DataFrame:
 )
 def prior_success(t: Tables) -> DataFrame:
     found = history.prior_success(
-        t.runs, ["resource_key"], ["started_at", "ingestion_run_id"], "ingestion_run_id", F.col("status") == "COMPLETED", _day("started_at")
+        t.runs, ["resource_key"], ["started_at", "ingestion_run_id"], "ingestion_run_id", F.col("status") == "COMPLETED"
     )
     return found.select("ingestion_run_id", "resource_key", "status", "prior_successful_run_id")
 
@@ -204,7 +199,7 @@ SCHEMA_DIFF_SQL = """
 
 
 def schema_changes(t: Tables) -> DataFrame:
-    return change.schema_diff(t.schema_history, t.schema_fields, F.date_trunc("quarter", "retrieved_at"))
+    return change.schema_diff(t.schema_history, t.schema_fields)
 
 
 @query("schema_diff", f"WITH {SCHEMA_DIFF_SQL} SELECT * FROM changes", ["schema_history", "schema_fields"])
@@ -235,7 +230,7 @@ def classify_change(t: Tables) -> DataFrame:
     ["document_snapshots"],
 )
 def document_diff(t: Tables) -> DataFrame:
-    return history.document_diff(t.document_snapshots, _day("retrieved_at")).select(
+    return history.document_diff(t.document_snapshots).select(
         "source_document_snapshot_id", "resource_key", "document_type", "prev_source_document_snapshot_id", "is_material_change"
     )
 
@@ -337,7 +332,7 @@ def freshness(t: Tables) -> DataFrame:
 )
 def observed_cadence(t: Tables) -> DataFrame:
     return history.observed_cadence(
-        t.document_snapshots, "resource_key", "retrieved_at", "source_document_snapshot_id", "content_sha256", _day("retrieved_at")
+        t.document_snapshots, "resource_key", "retrieved_at", "source_document_snapshot_id", "content_sha256"
     )
 
 

@@ -220,7 +220,7 @@ def approval_queue_filtered(t: Tables) -> DataFrame:
 
 
 def profiles(t: Tables) -> DataFrame:
-    return history.close_intervals(t.profile_events, ["resource_key"], "effective_from", "source_access_profile_id", F.date_trunc("day", "effective_from"))
+    return history.close_intervals(t.profile_events, ["resource_key"], "effective_from", "source_access_profile_id")
 
 
 @query(
@@ -262,7 +262,7 @@ def evidence_counts(t: Tables) -> DataFrame:
     ["decisions"],
 )
 def review_history(t: Tables) -> DataFrame:
-    linked = history.supersessions(t.decisions, F.date_trunc("day", "decided_at"))
+    linked = history.supersessions(t.decisions)
     return console.review_history(linked).drop("conditions", "data_source_version_id", "app_version", "correlation_id")
 
 
@@ -416,7 +416,7 @@ def authorize(t: Tables) -> DataFrame:
 
 
 def outcome(t: Tables) -> gate.DecisionOutcome:
-    return gate.apply_decisions(decision_batch(t), t.stewards, facts(t), t.decisions, F.date_trunc("day", "decided_at"))
+    return gate.apply_decisions(decision_batch(t), t.stewards, facts(t), t.decisions)
 
 
 @query(
@@ -506,7 +506,7 @@ def scd2_profiles(t: Tables) -> DataFrame:
 def profile_as_of(t: Tables) -> DataFrame:
     found = history.valid_at(
         t.decisions, profiles(t), ["resource_key"], "decided_at", "effective_from", "effective_to",
-        "manual_review_decision_id", ["source_access_profile_id"], "day",
+        "manual_review_decision_id", ["source_access_profile_id"],
     )
     return found.select("manual_review_decision_id", "resource_key", "as_of_source_access_profile_id")
 

@@ -1,11 +1,14 @@
-"""Segmented operators against plain windows, and the join that AQE can split."""
+"""Ordered operators against plain windows, and the join that AQE can split."""
 
 from __future__ import annotations
 
+import re
+
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from attestry.operators.segments import broadcast_if_small, join_on_key, latest_per_key, neighbour, numbered, spread
+from attestry.operators.segments import Ordered, broadcast_if_small, join_on_key, latest_per_key, neighbour, numbered, spread
 
 
 def skewed(spark, n=3000):
@@ -23,36 +26,79 @@ def rows(df):
     return sorted(map(tuple, df.collect()), key=repr)
 
 
-def test_neighbour_is_a_lag(spark):
+@pytest.fixture(params=[1, 2, 7, 40])
+def ranges(spark, request):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(request.param))
+    yield request.param
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_neighbour_is_a_lag(spark, ranges):
     df = skewed(spark)
-    got = neighbour(df, ["k"], ["t", "id"], ["v", "id"], F.floor(F.col("t") / 17))
+    got = neighbour(df, ["k"], ["t", "id"], ["v", "id"])
     w = Window.partitionBy("k").orderBy("t", "id")
     want = df.withColumns({"prev_v": F.lag("v").over(w), "prev_id": F.lag("id").over(w)})
     assert rows(got) == rows(want.select(got.columns))
 
 
-def test_neighbour_forward_and_where(spark):
+def test_neighbour_forward_and_where(spark, ranges):
     df = skewed(spark)
-    got = neighbour(df, ["k"], ["t", "id"], ["id"], F.floor(F.col("t") / 3), where=F.col("v").isNotNull(), forward=True)
-    w = Window.partitionBy("k").orderBy("t", "id").rowsBetween(1, Window.unboundedFollowing)
-    want = df.withColumn("prev_id", F.first(F.when(F.col("v").isNotNull(), F.col("id")), ignorenulls=True).over(w))
-    assert rows(got) == rows(want.select(got.columns))
+    w = Window.partitionBy("k").orderBy("t", "id")
+    # Matches that are rare leave whole ranges of a key without one.
+    for where in (F.col("v").isNotNull(), F.col("id") % 977 == 5):
+        later = F.first(F.when(where, F.col("id")), ignorenulls=True).over(w.rowsBetween(1, Window.unboundedFollowing))
+        got = neighbour(df, ["k"], ["t", "id"], ["id"], where=where, forward=True)
+        assert rows(got) == rows(df.withColumn("prev_id", later).select(got.columns))
+        earlier = F.last(F.when(where, F.col("id")), ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))
+        got = neighbour(df, ["k"], ["t", "id"], ["id"], where=where)
+        assert rows(got) == rows(df.withColumn("prev_id", earlier).select(got.columns))
 
 
-def test_neighbour_without_key_and_with_one_segment(spark):
+def test_neighbour_without_key_on_nulls_and_empty(spark, ranges):
     df = skewed(spark, 400)
-    w = Window.partitionBy(F.lit(1)).orderBy("t", "id")
-    want = df.withColumn("prev_id", F.lag("id").over(w))
-    for segment in (F.lit(0), F.col("t")):
-        got = neighbour(df, [], ["t", "id"], ["id"], segment)
-        assert rows(got) == rows(want)
+    w = Window.partitionBy(F.lit(1)).orderBy("v", "id")
+    assert rows(neighbour(df, [], ["v", "id"], ["id"])) == rows(df.withColumn("prev_id", F.lag("id").over(w)))
+    assert neighbour(df.limit(0), ["k"], ["t", "id"], ["id"]).collect() == []
+    assert rows(numbered(df.limit(1), ["k"], ["t", "id"], "n"))[0][-1] == 1
 
 
-def test_numbered(spark):
+def test_numbered(spark, ranges):
     df = skewed(spark)
-    got = numbered(df, ["k"], ["t", "id"], F.floor(F.col("t") / 11), "n")
+    got = numbered(df, ["k"], ["t", "id"], "n")
     want = df.withColumn("n", F.row_number().over(Window.partitionBy("k").orderBy("t", "id")).cast("bigint"))
     assert rows(got) == rows(want)
+    everything = numbered(df, [], ["id"], "n")
+    assert rows(everything) == rows(df.withColumn("n", F.row_number().over(Window.orderBy("id")).cast("bigint")))
+
+
+def test_a_hot_key_in_one_instant_is_spread_evenly(spark):
+    """A third of all rows have one key and one day; ranges are even all the same."""
+    df = spark.range(0, 60_000, 1, 6).select(
+        "id", F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 1000).alias("k"),
+        F.when(F.col("id") % 3 == 0, F.lit("2024-01-01")).otherwise(F.lit("2024-02-01")).cast("date").alias("day"),
+    )
+    dealt = Ordered(df, ["k"], ["day", "id"], 16).dealt
+    sizes = [r.n for r in dealt.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    assert len(sizes) == 16 and max(sizes) < 1.5 * 60_000 / 16
+
+
+def final_plan(df):
+    df.write.format("noop").mode("overwrite").save()
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rows_are_shuffled_once(spark):
+    """Whatever is asked of the dealt rows: one exchange of rows, from which the carries are taken too."""
+    df = skewed(spark)
+    one = neighbour(df, ["k"], ["t", "id"], ["v"])
+    several = Ordered(df, ["k"], ["t", "id"]).neighbour(["v"]).neighbour(["id"], prefix="next_", forward=True).numbered("n").rows()
+    for plan in (final_plan(one), final_plan(several)):
+        final = plan.split("Initial Plan")[0]
+        assert len(set(re.findall(r"Exchange shufflepartitionidpassthrough.*?plan_id=(\d+)", final))) == 1
+        # No other exchange holds rows: the rest are the sample, one edge per range and their broadcast.
+        assert "hashpartitioning(k" not in final and "rangepartitioning" not in final
 
 
 def test_latest_per_key_is_limited_before_the_shuffle(spark):
@@ -105,16 +151,3 @@ def test_broadcast_only_after_counting(spark):
 def test_spread(spark):
     assert spread(spark.range(0, 100, 1, 1)).rdd.getNumPartitions() >= 8
     assert spread(spark.range(0, 100, 1, 50)).rdd.getNumPartitions() == 50
-
-
-def test_segmented_rows_are_shuffled_once(spark):
-    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        got = neighbour(skewed(spark), ["k"], ["t", "id"], ["v"], F.floor(F.col("t") / 17))
-        physical = got._jdf.queryExecution().executedPlan().toString()
-        assert "SortMergeJoin" in physical
-        # One exchange for the rows; the other three carry one summary row per key and segment.
-        assert physical.count("Exchange hashpartitioning") == 4
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
