@@ -78,18 +78,16 @@ def replace_release(t: Tables) -> DataFrame:
     from attestry.session import scratch_path
 
     root = scratch_path(t.spark, "release")
-    rows = t.orders.select(
-        F.year("o_orderdate").cast("string").alias("release_id"), "o_orderkey", "o_orderstatus"
-    )
-    ledger.replace_release(rows, f"{root}/rows")
-    ledger.replace_release(rows.filter("release_id = '1997' AND o_orderstatus = 'F'"), f"{root}/rows")
-    for sequence, name in enumerate(("1997", "1998")):
-        ledger.set_current(t.spark, f"{root}/pointer", name, F.lit("2002-01-01").cast("timestamp"), sequence)
-    loaded = t.spark.read.schema("o_orderkey bigint, o_orderstatus string, release_id string").parquet(f"{root}/rows")
+    rows = t.orders.select(F.year("o_orderdate").cast("string").alias("release_id"), "o_orderkey", "o_orderstatus")
+    names = [r.release_id for r in rows.select("release_id").distinct().collect()]
+    ledger.replace_releases(root, {"facts": rows}, names, current="1997")
+    ledger.replace_release(root, "1997", {"facts": rows.filter("release_id = '1997' AND o_orderstatus = 'F'")})
+    ledger.set_current(t.spark, root, "1998")
+    loaded = ledger.read_release(t.spark, root, "facts")
     registry = loaded.groupBy("release_id").agg(
         F.count(F.lit(1)).alias("row_count"), F.count_if(F.col("o_orderstatus") == "F").alias("finished")
     )
-    return ledger.with_current_flag(registry, t.spark.read.parquet(f"{root}/pointer"))
+    return ledger.with_current_flag(registry, root)
 
 
 COUNTIES_SQL = """

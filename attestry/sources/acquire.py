@@ -14,6 +14,7 @@ from attestry.operators import release
 from attestry.operators.discovery import number_requests
 from attestry.session import cut_lineage
 from attestry.sources import files, ledger
+from attestry.sources.commits import Log
 
 # Fields a surveillance sample must show, and the sample limits.
 REQUIRED_FIELDS = ("fips", "year", "case_status", "frequency")
@@ -226,9 +227,10 @@ def load_release(
 ) -> DataFrame:
     """Check, flatten and write a release, then move the pointer. Returns the check results.
 
-    Nothing is written unless the digest of the uncompressed text and all acceptance rules hold. Counties and sources
-    replace their own release; the pointer is written last.
+    Nothing is written unless the digest of the uncompressed text and all acceptance rules hold. Counties, sources, registry and
+    pointer change in one commit, which replaces the release as a whole or does nothing.
     """
+    seen = Log(spark, root).head()
     found = files.content_digest(spark, bundle_path).select("sha256").first()
     if found is None or found.sha256 != expected_sha256:
         raise ValueError("release bundle checksum mismatch")
@@ -241,8 +243,6 @@ def load_release(
     broken = [r.rule_id for r in results.filter("NOT passed").collect()]
     if broken:
         raise ValueError(f"release bundle breaks rules: {', '.join(sorted(broken))}")
-    ledger.replace_release(release.finalize_counties(staged), f"{root}/county_facts")
-    ledger.replace_release(files.bundle_sources(bundle, release_id), f"{root}/source_metadata")
-    ledger.replace_release(registry, f"{root}/dataset_release")
-    ledger.set_current(spark, f"{root}/current_pointer", release_id)
+    tables = {"county_facts": release.finalize_counties(staged), "source_metadata": files.bundle_sources(bundle, release_id), "dataset_release": registry}
+    ledger.replace_release(root, release_id, tables, current=True, seen=seen)
     return results

@@ -1,74 +1,57 @@
-"""Append-only ledgers on Parquet.
+"""Append-only ledgers, RAW and releases on Parquet.
 
-A unit of work is one ``batch_id``. Every attempt at it writes each table to a folder of its own,
-``batch_id=.../attempt=...``, and is published last, in a small ``published`` table of (batch, table, attempt).
-Readers see published attempts only, so a job that dies half-way leaves nothing visible, whatever its
-rerun holds, and published rows are never written over.
+A unit of work is one ``batch_id`` (for releases, one release id). Every attempt at it writes each table to a folder of its own, and one record of the
+commit log names them all (``commits``), so a job that dies half-way leaves nothing visible, whatever its rerun holds. A batch is published
+once: publishing it again with the same content does nothing, with other content it is an error. A release is replaced as a whole.
 """
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructType
 
 from attestry.functions.digest import artifact_key, row_hash, sha256_hex
-from attestry.operators.segments import latest_per_key
+from attestry.sources import identities
+from attestry.sources.commits import Conflict, Log, content
 
-PUBLISHED = "published"
 
-
-def _write_attempt(df: DataFrame, path: str, batch_id: str, attempt: str, partitions: Sequence[str] = ()) -> None:
-    if not _exists(df.sparkSession, path):
-        # A file without rows fixes the schema, so that a table whose batches are empty can be read.
-        empty = "/".join(["batch_id=__schema__", "attempt=__schema__", *[f"{p}=0" for p in partitions]])
-        df.limit(0).drop(*partitions).coalesce(1).write.mode("overwrite").parquet(f"{path}/{empty}")
-    marked = df.withColumn("batch_id", F.lit(batch_id)).withColumn("attempt", F.lit(attempt))
-    marked.write.mode("append").partitionBy("batch_id", "attempt", *partitions).parquet(path)
-
-
-def published_batches(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """Published batches of one table, each with the attempt that counts: the one published first."""
-    stamps = _read_partitioned(spark, f"{root}/{PUBLISHED}").filter(F.col("table_name") == name)
-    return stamps.groupBy("batch_id").agg(F.min_by("table_attempt", F.struct("published_at", "table_attempt")).alias("attempt"))
+def is_published(spark: SparkSession, root: str, name: str, batch_id: str) -> bool:
+    return name in Log(spark, root).published(batch_id)
 
 
-def is_published(spark: SparkSession, root: str, name: str, batch_id: str) -> bool:
-    if not _exists(spark, f"{root}/{PUBLISHED}"):
-        return False
-    return not published_batches(spark, root, name).filter(F.col("batch_id") == batch_id).isEmpty()
+def _same_content(name: str, batch_id: str, entry: Mapping, digest: str) -> None:
+    if entry["digest"] != digest:
+        raise Conflict(f"{name}: batch {batch_id} is published with other content")
 
 
 def append_ledger(root: str, batch_id: str, tables: Mapping[str, DataFrame], partitions: Mapping[str, Sequence[str]] | None = None) -> None:
     """Append several tables as one unit.
 
-    Every attempt writes to folders of its own and is published last, for all its tables in one file. Rows of an attempt that died are
-    never read. What is published stays: a table whose batch is published already is left out of a later attempt.
+    Tables of the batch that are published already must hold the same rows, columns of ``commits.VOLATILE`` aside, and are left as they are.
     """
-    spark = next(iter(tables.values())).sparkSession
-    tables = {name: df for name, df in tables.items() if not is_published(spark, root, name, batch_id)}
-    if not tables:
-        return
-    attempt = uuid.uuid4().hex
-    for name, df in tables.items():
-        _write_attempt(df, f"{root}/{name}", batch_id, attempt, (partitions or {}).get(name, ()))
-    names = F.explode(F.array(*[F.lit(n) for n in tables]))
-    stamp = spark.range(1).select(names.alias("table_name"), F.lit(attempt).alias("table_attempt"), F.current_timestamp().alias("published_at"))
-    _write_attempt(stamp.coalesce(1), f"{root}/{PUBLISHED}", batch_id, attempt)
+    log = Log(next(iter(tables.values())).sparkSession, root)
+    seen, known = log.head(), log.published(batch_id)
+    marked = {n: df.withColumn("batch_id", F.lit(batch_id)) for n, df in tables.items()}
+    for name in tables.keys() & known.keys():
+        _same_content(name, batch_id, known[name], marked[name].agg(*content(marked[name])).first().digest)
+    new = {n: df for n, df in marked.items() if n not in known}
+    if new:
+        entries = log.described(new, log.write(new, partitions), batch_id)
+        try:
+            log.commit(entries, seen)
+        except Conflict:
+            # Someone else published the batch meanwhile: that is well if it is the same.
+            found = log.published(batch_id)
+            for e in entries:
+                _same_content(e["table"], batch_id, found[e["table"]], e["digest"])
 
 
 def read_ledger(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """Rows of the table's published attempts. Batch ids are compared as text, whatever they look like."""
-    rows = _read_partitioned(spark, f"{root}/{name}")
-    return rows.join(published_batches(spark, root, name), ["batch_id", "attempt"], "left_semi").drop("attempt")
-
-
-def _read_partitioned(spark: SparkSession, path: str) -> DataFrame:
-    df = spark.read.parquet(path)
-    return df.withColumn("batch_id", F.col("batch_id").cast("string")).withColumn("attempt", F.col("attempt").cast("string"))
+    """Rows of the table's published batches."""
+    return Log(spark, root).read(name)
 
 
 def raw_rows(
@@ -103,52 +86,40 @@ def raw_rows(
 RAW_IDENTITY = ("data_source_version_id", "source_record_id", "source_row_hash")
 
 
-def new_raw_rows(incoming: DataFrame, loaded: DataFrame, identity: Sequence[str] = RAW_IDENTITY) -> DataFrame:
-    """Incoming RAW rows not loaded yet, each once. Loading one version twice adds nothing.
+def append_raw_idempotent(incoming: DataFrame, root: str, table: str, batch_id: str) -> int:
+    """Append only what published batches do not hold yet, each record once.
 
-    A record without its own id is identified by its hash. Both steps use one partitioning.
+    Identities are looked up in an index (``identities``) that is published together with the rows, so RAW itself is never read.
+    Appending a batch again does nothing; other records under a published batch id are an error. Of two appends at the same time the
+    later one starts anew. Returns the number of the index's buckets that were read.
     """
-    known = loaded.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(f"__k{i}") for i, c in enumerate(identity)])
-    keyed = incoming.withColumns(
-        {f"__k{i}": F.coalesce(F.col(c).cast("string"), F.lit("")) for i, c in enumerate(identity)}
-    )
-    keys = [f"__k{i}" for i in range(len(identity))]
-    return keyed.dropDuplicates(keys).join(known, keys, "left_anti").drop(*keys)
-
-
-RAW_BUCKETS = 16
-
-
-def _version_bucket() -> Column:
-    return F.pmod(F.xxhash64(F.col("data_source_version_id").cast("string")), F.lit(RAW_BUCKETS)).cast("int")
-
-
-def append_raw_idempotent(incoming: DataFrame, root: str, table: str, batch_id: str) -> None:
-    """Append only what published batches do not hold yet.
-
-    RAW is laid out by a bucket of the source version. Loading a batch reads identities of the
-    buckets it touches (at most ``RAW_BUCKETS`` numbers come to the driver), not the whole table.
-    Rebalancing before the write merges small files and splits a hot version.
-    """
-    spark = incoming.sparkSession
-    if is_published(spark, root, table, batch_id):
-        return
-    incoming = incoming.withColumn("version_bucket", _version_bucket())
-    loaded = incoming.limit(0)
-    if _exists(spark, f"{root}/{table}"):
-        touched = [r[0] for r in incoming.select("version_bucket").distinct().collect()]
-        loaded = read_ledger(spark, root, table).filter(F.col("version_bucket").isin(touched))
-    fresh = new_raw_rows(incoming, loaded).hint("rebalance", "version_bucket")
-    append_ledger(root, batch_id, {table: fresh}, {table: ["version_bucket"]})
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    """Whether a table has been written there; an empty folder is not one."""
-    try:
-        spark.read.parquet(path)
-    except AnalysisException:
-        return False
-    return True
+    log = Log(incoming.sparkSession, root)
+    mark = identities.names(table)[2]
+    keyed = identities.hashed(incoming, RAW_IDENTITY)
+    # The digest is that of all records given, whatever was loaded before them.
+    given = keyed.agg(*content(keyed, ["__h", "__g"])).first().digest
+    while True:
+        seen, known = log.head(), log.published(batch_id)
+        if table in known:
+            _same_content(table, batch_id, known[table], given)
+            return 0
+        held, n_buckets = identities.seen_before(log, table, keyed)
+        fresh = keyed.dropDuplicates(["__h", "__g"])
+        if held is not None:
+            fresh = fresh.join(held, ["__h", "__g"], "left_anti")
+        # Rows of a version lie together, in files of an even size.
+        rows = fresh.drop("__h", "__g").withColumn("batch_id", F.lit(batch_id)).hint("rebalance", "data_source_version_id").sortWithinPartitions("data_source_version_id")
+        attempts = log.write({table: rows})
+        (entry,) = log.described({table: rows}, attempts, batch_id)
+        written = log.spark.read.schema(rows.schema).parquet(log.attempt_path(table, entry["attempt"]))
+        run = identities.run_of(log, table, identities.hashed(written, RAW_IDENTITY), entry["rows"], 0) if entry["rows"] else []
+        last = entry | {"table": mark, "unit": "last", "rows": 0}
+        try:
+            log.commit([entry | {"digest": given}, *run, last], seen)
+        except Conflict:
+            continue
+        identities.merge(log, table)
+        return n_buckets
 
 
 def register_artifacts(
@@ -204,27 +175,64 @@ def close_run(run_id: Column, status: str, at: Column, runs: DataFrame, status_c
     return runs.select(run_id.alias("ingestion_run_id"), F.lit(status).alias(status_column), at.alias("at"))
 
 
-def replace_release(rows: DataFrame, path: str) -> None:
-    """Write whole releases over their own partitions; other releases stay as they are."""
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("release_id").parquet(path)
+SLOT = "release_slot"
 
 
-def set_current(spark: SparkSession, pointer_path: str, release_id: str, at: Column | None = None, sequence: int | None = None) -> None:
-    """Append a pointer row; the newest one names the current release."""
-    row = spark.range(1).select(
-        F.lit(release_id).alias("release_id"),
-        (F.current_timestamp() if at is None else at).alias("set_at"),
-        (F.lit(sequence) if sequence is not None else F.unix_micros(F.current_timestamp())).cast("bigint").alias("sequence"),
-    )
-    row.write.mode("append").parquet(pointer_path)
+def replace_releases(root: str, tables: Mapping[str, DataFrame], release_ids: Sequence[str], current: str | None = None, seen: int | None = None) -> None:
+    """Replace whole releases in all ``tables`` (rows with a ``release_id``) and move the pointer, in one commit.
+
+    A release without rows in a table has none there afterwards. Other releases stay as they are. ``seen`` is the commit number that the load rests
+    on; if one of these releases was loaded since, this load is refused.
+    """
+    log = Log(next(iter(tables.values())).sparkSession, root)
+    seen = log.head() if seen is None else seen
+    # Releases are told apart on disk by their place in the list, which needs no escaping; 0 stands for any other.
+    slot = F.array_position(F.array(*[F.lit(r) for r in release_ids]), F.col("release_id")).cast("int")
+    tables = {n: df.withColumn("release_id", F.col("release_id").cast("string")) for n, df in tables.items()}
+    attempts = log.write({n: df.withColumn(SLOT, F.coalesce(slot, F.lit(0))) for n, df in tables.items()}, dict.fromkeys(tables, [SLOT]))
+    entries = []
+    for name, df in tables.items():
+        back = log.spark.read.schema(StructType([*df.schema.fields]).add(SLOT, IntegerType())).parquet(log.attempt_path(name, attempts[name]))
+        counted = {r[SLOT]: r.n for r in back.groupBy(SLOT).agg(F.count(F.lit(1)).alias("n")).collect()}
+        if 0 in counted:
+            raise ValueError(f"{name} has {counted[0]} rows of other releases than {', '.join(release_ids)}")
+        for i, release in enumerate(release_ids, 1):
+            folder = f"{attempts[name]}/{SLOT}={i}"
+            entries.append({"table": name, "unit": release, "attempt": folder, "digest": "", "rows": counted.get(i, 0), "schema": df.schema.json(), "retired": False})
+    if current is not None:
+        entries.append(_pointer(current))
+    log.commit(entries, seen)
+
+
+def replace_release(root: str, release_id: str, tables: Mapping[str, DataFrame], current: bool = False, seen: int | None = None) -> None:
+    """``replace_releases`` for one release, whose tables need no ``release_id``."""
+    marked = {n: df.withColumn("release_id", F.lit(release_id)) for n, df in tables.items()}
+    replace_releases(root, marked, [release_id], release_id if current else None, seen)
+
+
+def read_release(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """Rows of all releases of a table, each as it was loaded last."""
+    return Log(spark, root).read(name)
+
+
+def _pointer(release_id: str) -> dict:
+    return {"table": "current_release", "unit": "pointer", "attempt": release_id, "digest": "", "rows": 0, "schema": "", "retired": False}
+
+
+def set_current(spark: SparkSession, root: str, release_id: str) -> None:
+    """Name the current release; the newest commit counts. Moving it twice at the same time is refused."""
+    log = Log(spark, root)
+    log.commit([_pointer(release_id)], log.head())
+
+
+def current_release(spark: SparkSession, root: str) -> str | None:
+    entry = Log(spark, root).entries("current_release").get("pointer")
+    return entry["attempt"] if entry else None
 
 
-def with_current_flag(releases: DataFrame, pointers: DataFrame) -> DataFrame:
-    """Release registry with ``is_current`` taken from the newest pointer row (a one-row broadcast)."""
-    newest = latest_per_key(pointers.withColumn("__all", F.lit(1)), ["__all"], ["set_at", "sequence"])
-    current = newest.select("release_id", F.lit(True).alias("is_current"))
-    joined = releases.join(F.broadcast(current), "release_id", "left")
-    return joined.withColumn("is_current", F.coalesce(F.col("is_current"), F.lit(False)))
+def with_current_flag(releases: DataFrame, root: str) -> DataFrame:
+    """Release registry with ``is_current`` as the newest commit has it."""
+    return releases.withColumn("is_current", F.col("release_id").eqNullSafe(F.lit(current_release(releases.sparkSession, root))))
 
 
 def newest_release(releases: DataFrame, by: str) -> DataFrame:

@@ -9,7 +9,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from attestry.operators import lineage
-from attestry.sources import files, ledger, paged
+from attestry.sources import files, identities, ledger, paged
+from attestry.sources.commits import EVERY, Conflict, Log
 from attestry.streaming import arrivals
 
 
@@ -40,7 +41,10 @@ def test_publication_is_by_table_and_published_rows_stay(spark, tmp_path):
     dead = spark.range(5).withColumn("batch_id", F.lit("1")).withColumn("attempt", F.lit("dead"))
     dead.write.mode("append").partitionBy("batch_id", "attempt").parquet(f"{root}/b")
     assert ledger.read_ledger(spark, root, "b").count() == 0
-    ledger.append_ledger(root, "1", {"a": spark.range(50), "b": spark.range(7)})
+    with pytest.raises(Conflict, match="other content"):
+        ledger.append_ledger(root, "1", {"a": spark.range(50), "b": spark.range(7)})
+    assert ledger.read_ledger(spark, root, "b").count() == 0
+    ledger.append_ledger(root, "1", {"a": spark.range(3).orderBy(F.desc("id")), "b": spark.range(7)})
     assert ledger.read_ledger(spark, root, "a").count() == 3
     assert ledger.read_ledger(spark, root, "b").count() == 7
 
@@ -97,16 +101,137 @@ def test_idempotent_append(spark, tmp_path):
     assert got == [("", 2), ("1", 1), ("1", 9), ("3", 1)]
 
 
+def test_a_published_batch_with_other_records_is_an_error(spark, tmp_path):
+    root = str(tmp_path / "raw")
+    ledger.append_raw_idempotent(raw(spark, ("1", '{"a":1}'), ("2", '{"a":2}')), root, "raw", "b1")
+    with pytest.raises(Conflict, match="other content"):
+        ledger.append_raw_idempotent(raw(spark, ("3", '{"a":3}')), root, "raw", "b1")
+    # The same records in another order are the same batch, and records that were loaded before belong to it too.
+    ledger.append_raw_idempotent(raw(spark, ("2", '{"a":2}'), ("1", '{"a":1}')), root, "raw", "b1")
+    for _ in range(2):
+        ledger.append_raw_idempotent(raw(spark, ("2", '{"a":2}'), ("3", '{"a":3}')), root, "raw", "b2")
+    assert sorted(r.source_record_id for r in ledger.read_ledger(spark, root, "raw").collect()) == ["1", "2", "3"]
+
+
+def test_reads_of_the_identity_index_stay_flat(spark, tmp_path, monkeypatch):
+    """Twenty batches, each with one record of an earlier batch; small buckets, so that runs have several and are merged."""
+    monkeypatch.setattr(identities, "BUCKET", 16)
+    root, n, read, listed = str(tmp_path / "raw"), 40, [], []
+    for number in range(20):
+        ids = [*range(number * n, number * n + n), max(0, number * n - 7)]
+        batch = raw(spark, *[(str(i), json.dumps({"a": i})) for i in ids])
+        read.append(ledger.append_raw_idempotent(batch, root, "raw", f"b{number}"))
+        log = Log(spark, root)
+        levels = [identities._parts(u)[0] for u in log.entries("raw_identities")]
+        listed.append(log.listed)
+        assert max(levels.count(level) for level in set(levels)) < identities.FAN
+    found = ledger.read_ledger(spark, root, "raw")
+    assert found.count() == 20 * n == found.select("source_record_id").distinct().count()
+    # One bucket holds the repeated record; a wrong answer of a filter is rare.
+    assert read[0] == 0 and all(1 <= r <= 3 for r in read[1:]) and sum(read[10:]) <= sum(read[1:10]) + 5
+    assert max(levels) >= 1 and set(listed) and max(listed) <= 70
+    assert log.read("raw_identities").select("__h", "__g").distinct().count() == 20 * n
+
+
+def test_index_tells_what_it_holds(spark, tmp_path):
+    log = Log(spark, str(tmp_path / "l"))
+    rows = spark.range(3000).select(F.col("id").cast("string").alias("i"))
+    keyed = identities.hashed(rows, ["i"])
+    monkey = identities.BUCKET
+    try:
+        identities.BUCKET = 100
+        log.commit(identities.run_of(log, "t", keyed.filter("cast(i as int) % 2 = 0"), 1500, 0), log.head())
+        known, n = identities.seen_before(log, "t", keyed.filter("cast(i as int) < 300"))
+        got = {int(r.i) for r in keyed.join(known, ["__h", "__g"]).collect()}
+        assert got >= set(range(0, 300, 2)) and not any(i % 2 for i in got) and n <= 15
+        none, n = identities.seen_before(log, "t", keyed.filter("cast(i as int) = 1"))
+        assert n <= 1
+        assert identities.seen_before(log, "t", keyed.limit(0)) == (None, 0)
+    finally:
+        identities.BUCKET = monkey
+
+
+def test_listing_stays_bounded_over_a_thousand_commits(spark, tmp_path):
+    root = str(tmp_path / "l")
+    log = Log(spark, root)
+    entry = {"table": "t", "attempt": "attempt=x", "digest": "d", "rows": 1, "schema": "{}", "retired": False}
+    head = -1
+    for i in range(1000):
+        head = log.commit([entry | {"unit": f"u{i}"}], head)
+    assert head == 999
+    log.listed = 0
+    assert log.head() == 999 and log.listed <= EVERY + 2
+    assert len(log.entries("t")) == 1000 and set(log.published("u17")) == {"t"} and log.published("u1000") == {}
+    # A lost hint is only a hint, and a dead snapshot of the next epoch is none.
+    log._put(f"{root}/_commits/epoch", "3", replace=True)
+    assert log.head() == 999 and len(Log(spark, root).entries("t")) == 1000
+
+
+def test_concurrent_commits(spark, tmp_path):
+    log = Log(spark, str(tmp_path / "l"))
+    entry = {"table": "t", "attempt": "attempt=x", "digest": "d", "rows": 1, "schema": "{}", "retired": False}
+    seen = log.head()
+    assert log.commit([entry | {"unit": "a"}], seen) == 0
+    # Another unit moves on to the next number; the same one is refused.
+    assert log.commit([entry | {"unit": "b"}], seen) == 1
+    with pytest.raises(Conflict, match="meanwhile"):
+        log.commit([entry | {"unit": "a"}], seen)
+    assert log.commit([entry | {"unit": "a", "retired": True}], log.head()) == 2
+    assert set(log.entries("t")) == {"b"}
+
+
 def test_replacing_one_release_keeps_the_others(spark, tmp_path):
-    path = str(tmp_path / "rel")
-    rows = spark.createDataFrame([("r1", 1), ("r1", 2), ("r2", 3)], "release_id string, x int")
-    ledger.replace_release(rows, path)
-    ledger.replace_release(spark.createDataFrame([("r1", 9)], "release_id string, x int"), path)
-    assert sorted(r.x for r in spark.read.parquet(path).collect()) == [3, 9]
-    for name in ("r1", "r2"):
-        ledger.set_current(spark, f"{path}-pointer", name)
-    flagged = ledger.with_current_flag(rows.select("release_id").distinct(), spark.read.parquet(f"{path}-pointer"))
-    assert {r.release_id: r.is_current for r in flagged.collect()} == {"r1": False, "r2": True}
+    root = str(tmp_path / "rel")
+    rows = spark.createDataFrame([("r1", 1), ("r1", 2), ("r 2/ä", 3)], "release_id string, x int")
+    ledger.replace_releases(root, {"facts": rows, "more": rows.limit(0)}, ["r1", "r 2/ä"], current="r1")
+    ledger.replace_release(root, "r1", {"facts": spark.createDataFrame([(9,)], "x int"), "more": spark.createDataFrame([(8,)], "x int")})
+    assert sorted((r.x, r.release_id) for r in ledger.read_release(spark, root, "facts").collect()) == [(3, "r 2/ä"), (9, "r1")]
+    assert [r.x for r in ledger.read_release(spark, root, "more").collect()] == [8]
+    ledger.set_current(spark, root, "r 2/ä")
+    flagged = ledger.with_current_flag(rows.select("release_id").distinct(), root)
+    assert {r.release_id: r.is_current for r in flagged.collect()} == {"r1": False, "r 2/ä": True}
+    # A reload without rows empties the release.
+    ledger.replace_release(root, "r1", {"facts": spark.createDataFrame([], "x int")})
+    assert [r.x for r in ledger.read_release(spark, root, "facts").collect()] == [3]
+    assert [r.x for r in ledger.read_release(spark, root, "more").collect()] == [8]
+    with pytest.raises(ValueError, match="other releases"):
+        ledger.replace_releases(root, {"facts": rows}, ["r1"])
+
+
+def test_a_release_load_that_dies_changes_nothing(spark, tmp_path, monkeypatch):
+    """Killed before each table's write and before the commit, in turn; and two loads at the same time."""
+    root = str(tmp_path / "rel")
+    frames = lambda x: {n: spark.createDataFrame([(x, i) for i in range(2)], "x int, i int") for n in ("a", "b", "c")}
+    ledger.replace_release(root, "r", frames(1), current=True)
+
+    def state():
+        return {n: sorted((r.x, r.i) for r in ledger.read_release(spark, root, n).collect()) for n in ("a", "b", "c")}, ledger.current_release(spark, root)
+
+    before = state()
+    real_write, real_commit = Log.write, Log.commit
+    for step in range(4):
+
+        def dying_write(self, tables, partitions=None, step=step):
+            done = real_write(self, dict(list(tables.items())[:step]), partitions)
+            if step < 3:
+                raise RuntimeError("executor lost")
+            return done
+
+        def dying_commit(self, entries, seen):
+            raise RuntimeError("driver lost")
+
+        monkeypatch.setattr(Log, "write", dying_write)
+        monkeypatch.setattr(Log, "commit", dying_commit)
+        with pytest.raises(RuntimeError):
+            ledger.replace_release(root, "r", frames(2), current=True)
+        monkeypatch.setattr(Log, "write", real_write)
+        monkeypatch.setattr(Log, "commit", real_commit)
+        assert state() == before
+    seen = Log(spark, root).head()
+    ledger.replace_release(root, "r", frames(3), current=True)
+    with pytest.raises(Conflict, match="meanwhile"):
+        ledger.replace_release(root, "r", frames(4), current=True, seen=seen)
+    assert state()[0]["a"] == [(3, 0), (3, 1)]
 
 
 def test_manifest_is_order_free_and_covers_many_blocks(spark):
@@ -235,13 +360,14 @@ def test_load_release_checks_before_it_writes(spark, tmp_path):
         acquire.load_release(spark, path, root, "r1", digest, "m", "l", 3)
     acquire.load_release(spark, path, root, "r1", digest, "m", "l", 2)
     acquire.load_release(spark, path, root, "r1", digest, "m", "l", 2)
-    assert spark.read.parquet(f"{root}/county_facts").count() == 2
-    assert spark.read.parquet(f"{root}/source_metadata").count() == 1
-    assert spark.read.parquet(f"{root}/dataset_release").count() == 1
+    assert ledger.read_release(spark, root, "county_facts").count() == 2
+    assert ledger.read_release(spark, root, "source_metadata").count() == 1
+    assert ledger.read_release(spark, root, "dataset_release").count() == 1
+    assert ledger.current_release(spark, root) == "r1"
     path, digest = write(feature("01001"), feature("0100x"))
     with pytest.raises(ValueError, match="fips_format"):
         acquire.load_release(spark, path, root, "r2", digest, "m", "l", 2)
-    assert spark.read.parquet(f"{root}/dataset_release").count() == 1
+    assert ledger.read_release(spark, root, "dataset_release").count() == 1 and ledger.current_release(spark, root) == "r1"
 
 
 def test_repeated_registrations_count_once(spark):
