@@ -10,7 +10,6 @@ the ranges behind it. Rows are shuffled once, and carries are taken from the sam
 from __future__ import annotations
 
 from collections.abc import Sequence
-from math import isqrt
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -22,7 +21,7 @@ SAMPLED = 32
 
 
 def _bounds(points: DataFrame, n: int) -> Column:
-    """``n - 1`` or fewer ascending bounds that cut ``points`` evenly, in groups of about ``sqrt(n)``.
+    """``n - 1`` or fewer ascending bounds that cut ``points`` evenly, as one array.
 
     The sample is the ``SAMPLED * n`` points of least hash, so it depends on the data alone and not
     on the order of tasks; each task forwards no more than that. It is a scalar subquery: nothing
@@ -30,11 +29,9 @@ def _bounds(points: DataFrame, n: int) -> Column:
     """
     sample = points.orderBy(F.xxhash64(_POINT), _POINT).limit(SAMPLED * n)
     ordered = F.array_sort(F.collect_list(_POINT))
-    each = isqrt(n)
     at = lambda i: F.get(F.col("s"), F.floor(i * F.size("s") / n).cast("int"))
     cuts = F.array_distinct(F.transform(F.sequence(F.lit(1), F.lit(n - 1)), at))
-    groups = F.transform(F.sequence(F.lit(0), F.floor((F.size("c") - 1) / each).cast("int")), lambda j: F.slice("c", j * each + 1, F.lit(each)))
-    return sample.agg(ordered.alias("s")).select(cuts.alias("c")).select(groups.alias("g")).scalar()
+    return sample.agg(ordered.alias("s")).select(cuts.alias("c")).scalar()
 
 
 class Ordered:
@@ -47,14 +44,16 @@ class Ordered:
         n = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         self.keys, self.order, self.n = list(keys), list(order), n
         self.point = F.struct(*[F.col(c) for c in (*keys, *order)])
-        own, bounded = F.lit(0), df
+        found = df.withColumns({_RANGE: F.lit(0), _POINT: self.point})
         if n > 1:
-            bounded = df.withColumn(_BOUNDS, _bounds(df.select(self.point.alias(_POINT)), n))
-            groups = F.col(_BOUNDS)
-            passed = F.size(F.filter(groups, lambda g: F.get(g, F.lit(0)) <= self.point))
-            inside = F.size(F.filter(F.get(groups, passed - 1), lambda b: b <= self.point))
-            own = F.when(passed <= 0, 0).otherwise((passed - 1) * isqrt(n) + inside)
-        self.dealt = bounded.select(*df.columns, own.cast("int").alias(_RANGE)).repartitionById(n, _RANGE)
+            found = found.withColumn(_BOUNDS, _bounds(df.select(self.point.alias(_POINT)), n))
+            # Binary search, a projection for each step, so that all of it is compiled.
+            step = 1 << ((n - 1).bit_length() - 1)
+            while step:
+                passed = F.get(_BOUNDS, F.col(_RANGE) + (step - 1)) <= F.col(_POINT)
+                found = found.withColumn(_RANGE, F.when(passed, F.col(_RANGE) + step).otherwise(F.col(_RANGE)))
+                step >>= 1
+        self.dealt = found.drop(_POINT, _BOUNDS).repartitionById(n, _RANGE)
 
     def _with(self, dealt: DataFrame) -> Ordered:
         other = object.__new__(Ordered)
