@@ -124,9 +124,9 @@ QUERIES = {
 LINES_SQL = """
 WITH lines AS (SELECT doc_id, source, text, l.i, l.line FROM (
     SELECT doc_id, source, text, unnest([{'i': i, 'line': line} FOR line, i IN string_split(coalesce(text, ''), chr(10))]) AS l FROM documents)),
-pages AS (SELECT source, count(*) AS pages FROM documents GROUP BY source),
-counts AS (SELECT source, trim(line) AS line, count(DISTINCT doc_id) AS n FROM lines WHERE trim(line) <> '' GROUP BY 1, 2),
-boiler AS (SELECT c.source, c.line FROM counts c JOIN pages p ON c.source IS NOT DISTINCT FROM p.source WHERE c.n >= 10 AND c.n > p.pages * 0.1),
+pages AS (SELECT source, count(DISTINCT coalesce(text, '')) AS pages FROM documents GROUP BY source),
+counts AS (SELECT source, trim(line) AS line, count(DISTINCT text) AS n FROM lines WHERE trim(line) <> '' GROUP BY 1, 2),
+boiler AS (SELECT c.source, c.line FROM counts c JOIN pages p ON c.source IS NOT DISTINCT FROM p.source WHERE c.n >= 2 AND c.n > p.pages * 0.1),
 kept AS (SELECT d.doc_id, count(*) AS n_lines, count(b.line) AS n_dropped,
     coalesce(string_agg(d.line, chr(10) ORDER BY d.i) FILTER (b.line IS NULL), '') AS text
     FROM lines d LEFT JOIN boiler b ON d.source IS NOT DISTINCT FROM b.source AND trim(d.line) = b.line GROUP BY d.doc_id)
