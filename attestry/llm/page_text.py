@@ -2,11 +2,13 @@
 
 A page is cut at block-level tags into flat blocks of text. A block is described by its words, its link density, both for the blocks before
 and after it, and by where it stands (``FEATURES``). A decision tree fitted on the small labelled tables ``LABELLED`` and ``VARIED`` decides
-which blocks are main text. Markup never ends early: comments, scripts, styles, forms and unclosed tags are handled by one pass over the tags, linear
-in the page's length.
+which blocks are main text. Tags are found by the rules of HTML: scripts, styles and the like run to their own end tag, whatever they hold; values
+without quotes end at white space or ``>``; left-out elements may be nested. One pass, linear in the page's length however broken it is.
 
-Defined results: a null page counts as empty and has an empty text; blocks are joined by one line end in page order; character
-references are decoded, white space inside a block (line breaks too) becomes one space. Null ids and repeated rows are carried. No shuffle.
+Defined results: a null page counts as empty and has an empty text, as has a page of markup only; blocks are joined by one line end in page order;
+character references are decoded, white space inside a block (line breaks too) becomes one space. Pages of any length are read whole. Null ids and
+repeated rows are carried; a tie in the tree's leaf counts as main text; an empty table gives an empty one; other columns, whatever their
+names, play no part. No shuffle.
 """
 
 from __future__ import annotations
@@ -14,6 +16,7 @@ from __future__ import annotations
 import html
 import re
 from bisect import bisect
+from collections.abc import Iterator
 from functools import lru_cache
 from itertools import product
 from typing import NamedTuple
@@ -23,9 +26,21 @@ from pyspark.sql import DataFrame
 
 from attestry.llm.tables import per_batch
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.DOTALL)
+#: A tag whose attributes are all well-formed; possessive, so that one pass decides. Others go through ``_loose_tag``.
+TAG = re.compile(
+    r"""<(/?)([a-zA-Z][^\s/>]*+)((?>\s++[^\s"'<>/=]++(?>\s*+=\s*+(?>"[^"]*+"|'[^']*+'|[^\s"'=<>`]++))?+)*+)\s*+(/?)>"""
+)
 NAMED = re.compile(r"""(?:^|\s)(?:class|id|role|aria-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
-RAW = ("script", "style", "noscript", "template", "textarea", "title", "svg", "iframe", "select", "option", "button", "object", "canvas")
+GAP = re.compile(r"[\s/]*+")
+ATTRIBUTE = re.compile(r"=?[^\s/>=]*+")
+EQUALS = re.compile(r"\s*+=\s*+")
+UNQUOTED = re.compile(r"[^\s>]*+")
+TAG_NAME = re.compile(r"</?([a-zA-Z][^\s/>]*+)")
+AFTER_QUOTE = frozenset(" \t\n\f\r/>")
+MARKING = frozenset(("class", "id", "role", "aria-label"))
+#: Elements whose content is text up to their own end tag, and elements whose content is markup that is left out.
+RAW = {n: re.compile(rf"</{n}(?=[\s/>])", re.IGNORECASE) for n in ("script", "style", "noscript", "textarea", "title", "iframe", "xmp", "noembed", "noframes")}
+SKIPPED = frozenset(("template", "svg", "select", "datalist", "button", "object", "canvas", "audio", "video"))
 BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 "
     "head header hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split()
@@ -48,6 +63,7 @@ ENDS = {
     "tr": (("tr", "caption"), ("table",)),
     **dict.fromkeys(("thead", "tbody", "tfoot"), (("thead", "tbody", "tfoot", "caption"), ("table",))),
 }
+SHIELDS = (*CELLS, "template", "object", "button")
 #: Start tags that end an open paragraph.
 ENDS_P = BLOCK - frozenset("html head body frameset caption legend tbody td tfoot th thead tr".split())
 SPLIT = re.compile(r"[^a-z0-9]+|(?<=[a-z])(?=[A-Z])")
@@ -64,9 +80,89 @@ class Block(NamedTuple):
     heading: int
 
 
-def _marks(name: str, attributes: str) -> tuple[int, int]:
+class Tag(NamedTuple):
+    start: int
+    end: int
+    name: str
+    closing: bool
+    empty: bool
+    marks: list[str]
+
+
+def _loose_tag(page: str, start: int) -> Tag | None:
+    """A tag by the rules for broken ones: a value without quotes ends at white space or ``>``. A quote that never ends, or whose
+    end is followed by something that no tag has there, ends at ``>``. None if the page ends first."""
+    m = TAG_NAME.match(page, start)
+    at, marks = m.end(), []
+    while True:
+        gap = GAP.match(page, at)
+        at = gap.end()
+        if at >= len(page):
+            return None
+        if page[at] == ">":
+            return Tag(start, at + 1, m[1].lower(), page[start + 1] == "/", gap.group().endswith("/"), marks)
+        attribute = ATTRIBUTE.match(page, at)
+        at, value = attribute.end(), ""
+        equals = EQUALS.match(page, at)
+        if equals:
+            at = equals.end()
+            quote = page[at : at + 1]
+            if quote and quote in "\"'":
+                end = page.find(quote, at + 1)
+                close = page.find(">", at + 1, end if end >= 0 else len(page))
+                if end < 0 or close >= 0 and page[end + 1 : end + 2] not in AFTER_QUOTE:
+                    if close < 0:
+                        return None
+                    value, at = page[at + 1 : close], close
+                else:
+                    value, at = page[at + 1 : end], end + 1
+            else:
+                unquoted = UNQUOTED.match(page, at)
+                value, at = unquoted.group(), unquoted.end()
+        if attribute.group().lower() in MARKING:
+            marks.append(value)
+
+
+def tags(page: str) -> Iterator[Tag]:
+    """Tags in their order. What lies between them is text, but for comments, declarations and raw content, which come as tags without a
+    name. Each character is looked at a bounded number of times."""
+    at, size = 0, len(page)
+    while (at := page.find("<", at)) >= 0:
+        following = page[at + 1 : at + 2]
+        if following == "!" and page.startswith("<!--", at):
+            # "<!-->" and "<!--->" are whole comments.
+            end = at + 5 if page.startswith("<!-->", at) else at + 6 if page.startswith("<!--->", at) else page.find("-->", at + 4) + 3
+            end = size if end < at + 5 else end
+            yield Tag(at, end, "", False, False, [])
+            at = end
+            continue
+        letter = page[at + 2 : at + 3] if following == "/" else following
+        if not (letter.isascii() and letter.isalpha()):
+            if following not in ("!", "?", "/") or following == "/" and not letter:
+                at += 1
+                continue
+            end = page.find(">", at)
+            end = size if end < 0 else end + 1
+            yield Tag(at, end, "", False, False, [])
+            at = end
+            continue
+        m = TAG.match(page, at)
+        tag = Tag(at, m.end(), m[2].lower(), bool(m[1]), bool(m[4]), [next(filter(None, n.groups()), "") for n in NAMED.finditer(m[3])]) if m else _loose_tag(page, at)
+        if tag is None:
+            yield Tag(at, size, "", False, False, [])
+            return
+        at = tag.end
+        if tag.name in RAW and not tag.closing:
+            end = RAW[tag.name].search(page, at)
+            yield Tag(tag.start, end.start() if end else size, "", False, False, [])
+            at = end.start() if end else size
+            continue
+        yield tag
+
+
+def _marks(name: str, values: list[str]) -> tuple[int, int]:
     """Whether a container is noise, and whether it is a main one."""
-    words = {w.lower() for m in NAMED.finditer(attributes) for w in SPLIT.split(next(filter(None, m.groups()), "")) if w}
+    words = {w.lower() for v in values for w in SPLIT.split(v) if w}
     noise = name in ASIDE or not NOISE.isdisjoint(words)
     return int(noise), int(not noise and (name in ("article", "main") or (name in ("div", "section", "td") and not MAIN.isdisjoint(words))))
 
@@ -75,10 +171,10 @@ def blocks(page: str | None) -> list[Block]:
     """Flat blocks of a page in their order; blocks without text are left out."""
     page = page or ""
     out: list[Block] = []
-    # Open elements: name, noise, main; counts of those that are open.
-    stack: list[tuple[str, int, int]] = []
+    # Open elements: name, noise, main, skipped; counts of those that are open.
+    stack: list[tuple[str, int, int, int]] = []
     places: dict[str, list[int]] = {}
-    noise = main = heading = linked = 0
+    noise = main = skipped = heading = linked = 0
     parts: list[str] = []
     links: list[str] = []
 
@@ -94,9 +190,9 @@ def blocks(page: str | None) -> list[Block]:
         return where[-1] if where else -1
 
     def close_from(depth: int) -> None:
-        nonlocal noise, main
-        for n, is_noise, is_main in stack[depth:]:
-            noise, main = noise - is_noise, main - is_main
+        nonlocal noise, main, skipped
+        for n, is_noise, is_main, is_skipped in stack[depth:]:
+            noise, main, skipped = noise - is_noise, main - is_main, skipped - is_skipped
             places[n].pop()
         del stack[depth:]
 
@@ -107,58 +203,53 @@ def blocks(page: str | None) -> list[Block]:
         if found:
             close_from(min(found))
 
-    at, raw = 0, ""
-    for m in TOKEN.finditer(page):
-        name = (m[2] or "").lower()
-        if raw:
-            if not (m[1] and name == raw):
-                continue
-            raw, at = "", m.end()
-            continue
-        if m.start() < at:
-            continue
-        piece = page[at : m.start()]
-        at = m.end()
-        if piece:
+    at = 0
+    for tag in tags(page):
+        name = tag.name
+        if tag.start > at and not skipped:
+            piece = page[at : tag.start]
             parts.append(piece)
             if linked:
                 links.append(piece)
-        if not name:
-            continue
-        if name in RAW:
-            if not m[1] and not m[3].endswith("/"):
-                raw = name
-            continue
+        at = tag.end
         if name == "br":
             parts.append(" ")
             continue
         if name == "a":
-            linked = 0 if m[1] else 1
+            linked = 0 if tag.closing else 1
         if name in BLOCK:
-            close_block()
-            heading = int(name in ("h1", "h2", "h3", "h4", "h5", "h6") and not m[1])
-        if name in VOID or name not in BLOCK and name not in ("span", "a"):
+            if last("svg") > last("foreignobject") and not tag.closing:
+                # Drawings hold no such elements: it ends here, whether closed or not.
+                close_from(places["svg"][bisect(places["svg"], last("foreignobject"))])
+            if not skipped:
+                close_block()
+                heading = int(name in ("h1", "h2", "h3", "h4", "h5", "h6") and not tag.closing)
+        if name in VOID or name not in BLOCK and name not in SKIPPED and name not in ("span", "a", "foreignobject"):
             continue
-        if m[1]:
+        if tag.closing:
             depth = last(name)
             if depth >= 0:
                 close_from(depth)
+        elif name in SKIPPED:
+            if not (tag.empty and name == "svg"):
+                places.setdefault(name, []).append(len(stack))
+                stack.append((name, 0, 0, 1))
+                skipped += 1
         else:
             if name in ENDS_P:
-                close_open(("p",), CELLS)
+                close_open(("p",), SHIELDS)
             if name in ENDS:
-                close_open(*ENDS[name])
+                close_open(ENDS[name][0], (*ENDS[name][1], "template", "object", "button"))
             # A header inside the main container holds the headline; outside it is the page's.
-            n, k = _marks(name, m[3])
+            n, k = _marks(name, tag.marks)
             if name == "header":
                 n = int(main == 0)
             if name in ("html", "body"):
                 n = k = 0
             places.setdefault(name, []).append(len(stack))
-            stack.append((name, n, k))
+            stack.append((name, n, k, 0))
             noise, main = noise + n, main + k
-    # Elements that take their end tag's place: text after the last tag, unless a script never ended.
-    if not raw:
+    if not skipped:
         parts.append(page[at:])
     close_block()
     return out

@@ -172,10 +172,22 @@ def test_lines_by_site(spark):
     out = {r.doc_id: r for r in line_dedup.drop_boilerplate(docs).collect()}
     for i, t in enumerate(texts):
         lines = t.split("\n")
-        assert out[i].text == ("\n".join(lines[1:3]) if i < 25 else "\n".join(lines[1:]) if i < 38 else t)
+        assert out[i].text == ("\n".join(lines[1:3]) if i < 38 else "\n".join(lines[1:]))
         assert out[i].line_dedup.n_lines == 4
 
 
+@pytest.mark.parametrize("size", [1, 2, 3, 5, 9])
+def test_lines_of_small_sites(spark, size):
+    """A footer goes however small the site; copies of one page, of which a site of one text has several, keep their lines."""
+    own = [f"{prose(5, i)}\nthe footer" for i in range(size)]
+    docs = documents(spark, [*own, own[0], own[0], ""]).withColumn("source", F.lit("small"))
+    out = {r.doc_id: r for r in line_dedup.drop_boilerplate(docs).collect()}
+    for i, t in enumerate([*own, own[0], own[0], ""]):
+        assert out[i].text == (t.split("\n")[0] if size > 1 else t)
+    assert sum(r.line_dedup.n_dropped for r in out.values()) == (size + 2 if size > 1 else 0)
+    assert sum(r.line_dedup.n_dropped for r in line_dedup.drop_boilerplate(docs, min_pages=size + 1).collect()) == 0
+
+
 # --- 3 near-duplicates
 
 
@@ -343,6 +355,46 @@ def test_policies_and_ablations(spark):
 # --- 7 page text
 
 
+ARTICLE = "<article><h1>Head</h1><p>" + " ".join(f"word{i}" for i in range(80)) + "</p><p>It's all.</p></article>"
+
+
+@pytest.mark.parametrize(
+    "before",
+    [
+        "<script>var s='<!--';</script>", "<script>s=\"<a href='\";</script>", "<style>a:after{content:'<!--\"'}</style>", "<p title=don't></p>",
+        "<svg><svg></svg><text>x</text></svg>", "<template><template></template>hidden</template>", "<object><object></object>hidden</object>",
+        "<SCRIPT>x</SCRIPTX>y</script >", "<!-->", "<!--->", "<!-- a > b -->", "<a href='></a>", '<a href="x></a>', "<select><option>a<option>b</select>",
+        "<datalist><option value=x></datalist>", "<script>if(a<b)document.write('</scr'+'ipt>')</script>", '<div data-x="<p>y</p>"></div>', "<div class='a'b></div>",
+        "<?php x ?>", "<!doctype html>", "</>", '<img alt="a > b">', "<svg/>", "<button><span>x</span></button>", "<div><button>x</div>", "<svg><text>x",
+    ],
+)
+def test_markup_never_eats_the_article(before):
+    assert page_text.main_text(f"<html><body>{before}{ARTICLE}</body></html>") == page_text.main_text(ARTICLE) and page_text.main_text(ARTICLE).endswith("\nIt's all.")
+
+
+@pytest.mark.parametrize("unit", ["<a '", "<a href='", '<a x="', "<a x=\">'", "<!--", "<", "</", "<a b='c\"d>", "<script>", "<svg>", "<p", "<div class="])
+def test_broken_markup_takes_linear_time(unit):
+    import time
+
+    def seconds(size):
+        start = time.process_time()
+        page_text.blocks(unit * (size // len(unit) | 1))
+        return time.process_time() - start
+
+    seconds(1000)
+    assert seconds(1_600_000) < 40 * seconds(100_000) + 1
+
+
+def test_pages_as_a_query(spark):
+    rows = [(1, "u", ARTICLE), (1, "u", ARTICLE), (None, None, ARTICLE), (2, "u", None), (3, "u", ""), (4, "u", "<script>x")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    pages = pages.select("*", *[F.lit("own").alias(c) for c in ("text", "n_chars", "a.b", "key")])
+    want = page_text.main_text(ARTICLE)
+    got = sorted(map(tuple, page_text.extract(pages).collect()), key=repr)
+    assert got == sorted([(k, u, want if h == ARTICLE else "", len(want) if h == ARTICLE else 0) for k, u, h in rows], key=repr)
+    assert page_text.extract(pages.limit(0)).collect() == []
+
+
 def test_main_text():
     page = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var t="</p>";</script></head><body><header><h1>Site</h1></header>
       <nav><ul><li><a href="/a">a</a></li></ul></nav><!-- ad <p>no</p> --><div class="ad">Buy this now please.</div><div id="cookie-notice">We use cookies</div>
