@@ -44,7 +44,7 @@ def approval_queue(
             .drop("__changed_at")
         )
     else:
-        waiting = active.join(decisions.select("resource_key"), "resource_key", "left_anti").withColumns(
+        waiting = active.join(decisions.select("resource_key").distinct(), "resource_key", "left_anti").withColumns(
             {
                 "latest_decision": F.lit(None).cast("string"),
                 "latest_decision_at": F.lit(None).cast(decisions.schema["decided_at"].dataType),

@@ -67,10 +67,12 @@ def unresolved_changes(changes: DataFrame, decisions: DataFrame | None = None) -
 
 
 def evidence_facts(
-    documents: DataFrame, schemas: DataFrame, open_profiles: DataFrame, assessments: DataFrame, blocking: DataFrame
+    documents: DataFrame, schemas: DataFrame, open_profiles: DataFrame, assessments: DataFrame, blocking: DataFrame, resources: DataFrame | None = None
 ) -> DataFrame:
     """One row per resource with counts of each kind of evidence and the latest assessment status.
 
+    With the register of ``resources``, ``resource_count`` says how many active entries a resource has there.
+
     The five ledgers are stacked and aggregated once: one shuffle with partial aggregation in
     place of five joins, and no ledger's hot resource lands in one task.
     """
@@ -80,6 +82,8 @@ def evidence_facts(
         "open_profile_count": open_profiles,
         "blocking_count": blocking,
     }
+    if resources is not None:
+        kinds["resource_count"] = resources.filter("is_active")
     parts = [
         df.select("resource_key", *[F.lit(int(k == name)).alias(k) for k in kinds]) for name, df in kinds.items()
     ]
@@ -94,10 +98,13 @@ def evidence_facts(
     )
 
 
-def prerequisites_met() -> Column:
-    """Over ``evidence_facts``: documents, schema, one open profile, pending review, nothing blocking."""
+def prerequisites_met(registered: bool = False) -> Column:
+    """Over ``evidence_facts``: documents, schema, one open profile, pending review, nothing blocking; and, if ``registered``
+    is asked for, exactly one active entry in the register."""
+    entered = F.col("resource_count") == 1 if registered else F.lit(True)
     return F.coalesce(
-        (F.col("document_count") > 0)
+        entered
+        & (F.col("document_count") > 0)
         & (F.col("schema_count") > 0)
         & (F.col("open_profile_count") == 1)
         & (F.col("assessment_status") == "PENDING_REVIEW")
@@ -109,7 +116,7 @@ def prerequisites_met() -> Column:
 def evidence_complete(resources: DataFrame, documents: DataFrame, schemas: DataFrame, pending: DataFrame) -> DataFrame:
     """Resources that have a document snapshot, a schema snapshot and a pending assessment."""
     return reduce(
-        lambda left, right: left.join(right.select("resource_key"), "resource_key", "left_semi"),
+        lambda left, right: left.join(right.select("resource_key").distinct(), "resource_key", "left_semi"),
         (documents, schemas, pending),
         resources,
     )
@@ -170,6 +177,8 @@ class DecisionOutcome:
 def apply_decisions(batch: DataFrame, stewards: DataFrame, facts: DataFrame, ledger: DataFrame) -> DecisionOutcome:
     """Judge a whole batch of decisions in one plan.
 
+    Facts that were made with the register of resources refuse the approval of an unregistered one.
+
     Checks run in a fixed order (input, steward, evidence) and the first failure is reported.
     Accepted decisions supersede the previous accepted one of the same resource, which may be in
     the ledger or earlier in the batch. Identifiers come from content, so a rerun repeats them.
@@ -181,7 +190,7 @@ def apply_decisions(batch: DataFrame, stewards: DataFrame, facts: DataFrame, led
         F.coalesce(
             F.col("error_code"),
             F.when(F.col("steward_count") != 1, UNAUTHORIZED_STEWARD),
-            F.when(F.col("decision").isin(*APPROVING) & ~prerequisites_met(), INCOMPLETE_EVIDENCE),
+            F.when(F.col("decision").isin(*APPROVING) & ~prerequisites_met("resource_count" in facts.columns), INCOMPLETE_EVIDENCE),
         ),
     ).select(*batch.columns, "error_code")
     accepted = judged.filter(F.col("error_code").isNull()).drop("error_code")

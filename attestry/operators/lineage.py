@@ -62,6 +62,43 @@ def reconcile_edges(declared: DataFrame, observed: DataFrame, columns: Sequence[
     )
 
 
+def add_edges(reach: DataFrame, new_edges: DataFrame) -> DataFrame:
+    """Pairs (root, ancestor, depth) that new edges add to a reachability table, or bring nearer; the table itself is left as it is.
+
+    Semi-naive: a new pair goes from what reaches the edge's output to what its input reaches, so only pairs of these two
+    assets are read (a join by them, not a search from all roots). Pairs found in one round meet the new edges again in the next, until none is
+    new; a round costs what the last one found.
+    """
+    links = new_edges.select("output_object", "input_object").distinct()
+    known = reach.select("root", "ancestor", "depth")
+    # What lies above each new input, itself included, and below each new output.
+    inputs, outputs = links.select(F.col("input_object").alias("root")).distinct(), links.select(F.col("output_object").alias("ancestor")).distinct()
+    above = join_on_key(known, inputs, ["root"], "inner").unionByName(inputs.select("root", F.col("root").alias("ancestor"), F.lit(0).alias("depth")))
+    below = join_on_key(known, outputs, ["ancestor"], "inner").unionByName(outputs.select(F.col("ancestor").alias("root"), "ancestor", F.lit(0).alias("depth")))
+    spans = cut_lineage(
+        links.join(above.select(F.col("root").alias("input_object"), F.col("ancestor").alias("top"), F.col("depth").alias("up")), "input_object").groupBy("output_object", "top").agg(F.min("up").alias("up"))
+    )
+    found = delta = None
+    frontier = cut_lineage(below)
+    while True:
+        steps = frontier.select("root", F.col("ancestor").alias("output_object"), "depth").join(spans, "output_object")
+        # Going round a cycle back to the root is a pair like any other; the root's own empty path is not.
+        step = steps.groupBy("root", F.col("top").alias("ancestor")).agg(F.min(F.col("depth") + 1 + F.col("up")).cast("int").alias("depth"))
+        before = known if found is None else known.unionByName(found)
+        best = before.join(step.select("root", "ancestor").distinct(), ["root", "ancestor"], "left_semi").groupBy("root", "ancestor").agg(F.min("depth").alias("__best"))
+        delta = cut_lineage(step.join(best, ["root", "ancestor"], "left").filter(F.col("__best").isNull() | (F.col("depth") < F.col("__best"))).drop("__best"))
+        if delta.isEmpty():
+            break
+        found = delta if found is None else cut_lineage(found.unionByName(delta).groupBy("root", "ancestor").agg(F.min("depth").alias("depth")))
+        frontier = delta.join(outputs, "ancestor", "left_semi")
+    return (known.limit(0) if found is None else found).filter("root <> ancestor")
+
+
+def with_edges(reach: DataFrame, added: DataFrame) -> DataFrame:
+    """A reachability table with what ``add_edges`` found: one row per pair, the smallest depth."""
+    return reach.select("root", "ancestor", "depth").unionByName(added).groupBy("root", "ancestor").agg(F.min("depth").alias("depth"))
+
+
 def trace_lineage(edges: DataFrame, roots: DataFrame, max_depth: int | None = None) -> DataFrame:
     """Every asset upstream of each root, with the smallest number of steps to it.
 

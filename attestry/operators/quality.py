@@ -297,31 +297,36 @@ def conform_aggregate(
     keys: Sequence[str],
     measure: str,
     state: str,
-    method: str = "SUM",
+    method: str | Sequence[str] = "SUM",
     weight: str | None = None,
 ) -> DataFrame:
-    """Aggregate a measure without turning missing values into zero.
+    """Aggregate a measure without turning missing values into zero, by one method or by several at once.
 
     Only VALUE and ZERO rows enter the measure; a group without any gives null. Counts of every
     value state stand beside it. RATE divides by, and AREA_WEIGHTED_MEAN weights with, ``weight``
-    of the rows that entered.
+    of the rows that entered. All methods come out of one scan and one aggregate, one row each.
     """
+    methods = [method] if isinstance(method, str) else list(method)
     usable = F.col(state).isin("VALUE", "ZERO") & F.col(measure).isNotNull()
     value = F.when(usable, F.col(measure))
-    if method == "SUM":
-        total = F.sum(value)
-    elif method == "MEAN":
-        total = F.avg(value)
-    elif method in ("RATE", "AREA_WEIGHTED_MEAN"):
-        if weight is None:
-            raise ValueError(f"{method} needs a weight column")
-        base = F.sum(F.when(usable, F.col(weight)))
-        top = F.sum(value) if method == "RATE" else F.sum(value * F.col(weight))
-        total = F.when(base != 0, top / base)
-    else:
-        raise ValueError(f"unknown aggregation method: {method}")
+    sums = [F.sum(value).alias("__sum"), F.avg(value).alias("__mean")]
+    totals = {"SUM": F.col("__sum"), "MEAN": F.col("__mean")}
+    if weight is not None:
+        sums += [F.sum(F.when(usable, F.col(weight))).alias("__base"), F.sum(value * F.col(weight)).alias("__weighted")]
+        over = lambda top: F.when(F.col("__base") != 0, F.col(top) / F.col("__base"))
+        totals |= {"RATE": over("__sum"), "AREA_WEIGHTED_MEAN": over("__weighted")}
+    for name in methods:
+        if name in ("RATE", "AREA_WEIGHTED_MEAN") and weight is None:
+            raise ValueError(f"{name} needs a weight column")
+        if name not in totals:
+            raise ValueError(f"unknown aggregation method: {name}")
     counts = [F.count_if(F.col(state) == s).alias(n) for n, s in STATE_COLUMNS.items()]
-    return df.groupBy(*keys).agg(total.alias("measure"), *counts).withColumn("aggregation_method", F.lit(method))
+    sums = df.groupBy(*keys).agg(*sums, *counts)
+    # One method keeps the measure's own type; several share one.
+    kind = None if len(methods) == 1 else "double"
+    rows = [F.struct((totals[m] if kind is None else totals[m].cast(kind)).alias("measure"), F.lit(m).alias("aggregation_method")) for m in methods]
+    out = sums.withColumn("__r", F.explode(F.array(*rows)))
+    return out.select(*keys, "__r.measure", *STATE_COLUMNS, "__r.aggregation_method")
 
 
 def feature_snapshot(
@@ -416,11 +421,10 @@ def profile_contract(profiles: DataFrame, order_clause: str = ":id ASC") -> Data
 
 
 def ordered_sample(df: DataFrame, order: str, size: int = 25) -> DataFrame:
-    """First ``size`` records by record id, 1 to 100; an empty source is an error when the sample runs."""
+    """First ``size`` records by record id, 1 to 100; an empty source is an error."""
     if not 1 <= size <= 100:
         raise ValueError("sample size must be between 1 and 100")
-    sample = df.orderBy(F.asc_nulls_last(order)).limit(size)
-    return sample
+    return require_rows(df.orderBy(F.asc_nulls_last(order)).limit(size))
 
 
 def require_rows(sample: DataFrame) -> DataFrame:

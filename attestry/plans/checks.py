@@ -383,14 +383,8 @@ MEASURED = """
 )
 def conform_aggregate(t: Tables) -> DataFrame:
     rows = t.spark.sql(MEASURED, lineitem=t.lineitem)
-    parts = [
-        quality.conform_aggregate(rows, ["l_suppkey", "l_returnflag"], "cents", "state", method, "area").select(
-            "l_suppkey", "l_returnflag", "aggregation_method", "n_value", "n_zero", "n_unknown", "n_suppressed", "n_not_reported",
-            F.col("measure").cast("double").alias("measure"),
-        )
-        for method in ("SUM", "MEAN", "RATE", "AREA_WEIGHTED_MEAN")
-    ]
-    return quality.combine_results(parts)
+    methods = ("SUM", "MEAN", "RATE", "AREA_WEIGHTED_MEAN")
+    return quality.conform_aggregate(rows, ["l_suppkey", "l_returnflag"], "cents", "state", methods, "area").drop("n_null", "n_missing")
 
 
 @query(

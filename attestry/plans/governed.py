@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from attestry.operators import events, gate, rules
+from attestry.operators import events, gate, history, lineage, rules, vintages
+from attestry.operators import profiles as sketches
 from attestry.plans.registry import Tables, query
-from attestry.session import scratch_path
-from attestry.sources import ledger
+from attestry.plans.review import FACTS_SQL, FACTS_USES, assessments, profiles
+from attestry.session import cut_lineage, scratch_path
+from attestry.sources import ledger, paged
 
 RULES = [
     {"rule_id": "keys_not_null", "kind": "not_null", "severity": "BLOCKING", "columns": ["l_partkey", "l_suppkey"]},
@@ -167,3 +169,122 @@ def promotion_by_ledgers(t: Tables) -> DataFrame:
     found = recorded_events(t)
     runs = t.customer.select(F.col("c_custkey").alias("resource_key"), (F.col("c_custkey") % 12).cast("string").alias("ingestion_run_id"))
     return gate.promotion_gate(runs, recorded_results(t), events.open_events(found, naming_decisions(found)))
+
+
+@query(
+    "registered_prerequisites",
+    f"""WITH {FACTS_SQL}, n AS (SELECT COALESCE(f.resource_key, r.resource_key) AS resource_key, COALESCE(document_count, 0) AS document_count, COALESCE(schema_count, 0) AS schema_count,
+          COALESCE(open_profile_count, 0) AS open_profile_count, COALESCE(blocking_count, 0) AS blocking_count, assessment_status, CAST(r.resource_key IS NOT NULL AS BIGINT) AS resource_count
+          FROM facts f FULL OUTER JOIN (SELECT resource_key FROM resources WHERE is_active) r ON r.resource_key = f.resource_key)
+        SELECT resource_key, resource_count, COALESCE(resource_count = 1 AND document_count > 0 AND schema_count > 0 AND open_profile_count = 1
+          AND assessment_status = 'PENDING_REVIEW' AND blocking_count = 0, FALSE) AS ready FROM n""",
+    ["resources", *FACTS_USES],
+)
+def registered_prerequisites(t: Tables) -> DataFrame:
+    """Approval prerequisites that ask for the resource's entry in the register, too."""
+    blocking = gate.unresolved_changes(t.changes, t.decisions)
+    open_profiles = history.open_rows(profiles(t), "effective_to")
+    rows = gate.evidence_facts(t.document_snapshots, t.schema_snapshots, open_profiles, assessments(t), blocking, t.resources)
+    return rows.select("resource_key", "resource_count", gate.prerequisites_met(registered=True).alias("ready"))
+
+
+# --- profiles, vintages, lineage, pages -------------------------------------------------------
+
+PROFILED = ("o_totalprice", "o_custkey", "o_orderpriority")
+
+
+@query(
+    "merged_profiles",
+    " UNION ALL ".join(
+        f"""SELECT '{c}' AS column_name, COUNT(*) AS row_count, COUNT(*) FILTER ({c} IS NULL) AS null_count, COUNT(DISTINCT {c}) AS exact_distinct,
+            TRUE AS distinct_within_5_percent, {'TRUE' if c != 'o_orderpriority' else 'NULL::BOOLEAN'} AS median_within_2_percent_of_ranks,
+            MIN(CAST({c if c != 'o_orderpriority' else 'NULL'} AS DOUBLE)) AS min_number, MAX(CAST({c if c != 'o_orderpriority' else 'NULL'} AS DOUBLE)) AS max_number FROM orders"""
+        for c in PROFILED
+    ),
+)
+def merged_profiles(t: Tables) -> DataFrame:
+    """Profiles per year as the versions, merged from their sketches; estimates are held against exact values."""
+    orders = t.orders.withColumn("version", F.year("o_orderdate"))
+    root = scratch_path(t.spark, "profiles")
+    ledger.append_ledger(root, "first", {"column_profiles": sketches.profile_versions(orders, "version", PROFILED)})
+    merged = sketches.read_profiles(sketches.merge_profiles(ledger.read_ledger(t.spark, root, "column_profiles")), (0.5,))
+    exact = sketches.exact_distincts(orders, PROFILED).withColumnRenamed("distinct_count", "exact_distinct")
+    median = F.get("quantiles", F.lit(0))
+    joined = merged.withColumn("__m", median).join(exact, "column_name")
+    ranks = orders.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("v")) for c in PROFILED[:2]])))
+    below = ranks.join(joined.select("column_name", "__m"), "column_name").groupBy("column_name").agg(
+        (F.count_if(F.col("v") < F.col("__m")) / F.count(F.lit(1))).alias("under"), (F.count_if(F.col("v") <= F.col("__m")) / F.count(F.lit(1))).alias("upto")
+    )
+    near = F.abs(F.col("distinct_count") - F.col("exact_distinct")) <= F.col("exact_distinct") * 0.05
+    return joined.join(below, "column_name", "left").select(
+        "column_name", "row_count", "null_count", "exact_distinct", near.alias("distinct_within_5_percent"),
+        ((F.col("under") <= 0.52) & (F.col("upto") >= 0.48)).alias("median_within_2_percent_of_ranks"), "min_number", "max_number",
+    )
+
+
+AS_OF = ("1994-01-01", "1996-07-01", "2000-01-01")
+
+
+@query(
+    "feature_vintages",
+    f"""WITH r AS (SELECT *, CAST(ROUND(l_extendedprice * 100) AS BIGINT) AS cents, 'v' || l_orderkey % 5 AS version, l_orderkey * 10 + l_linenumber AS tie FROM lineitem),
+        k AS (SELECT *, LEAD(l_shipdate) OVER (PARTITION BY l_suppkey, l_partkey ORDER BY l_shipdate, tie) AS until FROM r),
+        a AS (SELECT k.*, t.as_of FROM k, (SELECT unnest([{', '.join(f"TIMESTAMP '{d}'" for d in AS_OF)}]) AS as_of) t WHERE l_shipdate <= as_of AND (until IS NULL OR as_of < until)),
+        v AS (SELECT as_of, l_suppkey, version, COUNT(*) AS n FROM a GROUP BY 1, 2, 3),
+        l AS (SELECT as_of, l_suppkey, string_agg(version || ':' || n, ',' ORDER BY version) AS versions FROM v GROUP BY 1, 2)
+        SELECT a.as_of, a.l_suppkey, COUNT(*) AS input_rows, MAX(l_shipdate) AS newest_vintage, CAST(SUM(cents) AS BIGINT) AS cents, MAX(versions) AS versions, 'run-1' AS run_id
+        FROM a JOIN l ON l.as_of = a.as_of AND l.l_suppkey = a.l_suppkey GROUP BY 1, 2""",
+)
+def feature_vintages(t: Tables) -> DataFrame:
+    """What was known of each supplier at three times: of every part its newest line then."""
+    lines = t.lineitem.select(
+        "l_suppkey", "l_partkey", "l_shipdate", F.round(F.col("l_extendedprice") * 100).cast("bigint").alias("c"),
+        F.concat(F.lit("v"), (F.col("l_orderkey") % 5).cast("string")).alias("version"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("tie"),
+    )
+    rows = vintages.snapshots(lines, ["l_suppkey"], ["l_suppkey", "l_partkey"], "l_shipdate", "tie", "version", {"cents": "c"}, "supplier-v1", AS_OF, F.lit("run-1"))
+    listed = F.array_join(F.transform("versions", lambda v: F.concat_ws(":", v["version"], v["records"].cast("string"))), ",")
+    return rows.select("as_of", "l_suppkey", "input_rows", "newest_vintage", "cents", listed.alias("versions"), "run_id")
+
+
+UP_SQL = """up AS (SELECT DISTINCT output_object AS root, input_object AS ancestor, 1 AS depth FROM edges
+         UNION ALL SELECT u.root, e.input_object, u.depth + 1 FROM up u JOIN edges e ON e.output_object = u.ancestor)"""
+
+
+@query(
+    "trace_from_roots",
+    f"WITH RECURSIVE {UP_SQL} SELECT root, ancestor, MIN(depth) AS depth FROM up WHERE root LIKE 'order:%7' GROUP BY 1, 2",
+    ["edges"],
+)
+def trace_from_roots(t: Tables) -> DataFrame:
+    """Everything upstream of the assets asked for, and of no other."""
+    asked = t.edges.select(F.col("output_object").alias("asset")).filter("asset LIKE 'order:%7'")
+    return lineage.trace_lineage(t.edges, asked)
+
+
+@query("extend_lineage", f"WITH RECURSIVE {UP_SQL} SELECT root, ancestor, MIN(depth) AS depth FROM up GROUP BY 1, 2", ["edges"])
+def extend_lineage(t: Tables) -> DataFrame:
+    """A reachability table of most edges, extended by the edges of one nation and of some customers."""
+    late = F.col("output_object").rlike("^nation:1$|^customer:.*3$")
+    old, new = t.edges.filter(~late), t.edges.filter(late)
+    reach = cut_lineage(lineage.trace_lineage(old, old.select(F.col("output_object").alias("asset"))))
+    return lineage.with_edges(reach, lineage.add_edges(reach, new))
+
+
+@query(
+    "paged_stream",
+    """SELECT day(ts) AS page_sequence, event_id, event_type, COUNT(*) OVER (PARTITION BY day(ts)) AS page_rows FROM events""",
+)
+def paged_stream(t: Tables) -> DataFrame:
+    """Events laid out as pages and streamed as they land, with a restart after the first half; each page arrives once."""
+    root = scratch_path(t.spark, "page-stream").removeprefix("file:")
+    rows = t.events.select(F.dayofmonth("ts").alias("page"), "event_id", "event_type").repartition("page")
+    paged.register(t.spark)
+    for last, part in enumerate((rows.filter("page <= 15"), rows.filter("page > 15"))):
+        part.write.mode("append").partitionBy("page").json(f"{root}/pages")
+        if last:
+            paged.mark_complete(f"{root}/pages")
+        stream = t.spark.readStream.format("paged_stream").option("firstPage", 1).load(f"{root}/pages")
+        job = paged.page_records(stream).writeStream.format("parquet").option("checkpointLocation", f"{root}/checkpoint").option("path", f"{root}/out").trigger(availableNow=True).start()
+        job.awaitTermination()
+    found = t.spark.read.parquet(f"{root}/out").withColumn("r", F.from_json("record", "event_id bigint, event_type string"))
+    return found.select("page_sequence", "r.event_id", "r.event_type", "page_rows")

@@ -9,14 +9,16 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from itertools import islice
 
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 from pyspark.sql.types import StructType
 
+from attestry.session import ship_package
+
 SCHEMA = "page_sequence bigint, endpoint string, page_sha256 string, page_rows bigint, record string"
 _ARROW = pa.schema(
     [
@@ -29,6 +31,17 @@ _ARROW = pa.schema(
 )
 
 
+def _body(system: fs.FileSystem, path: str) -> bytes:
+    with system.open_input_stream(path) as stream:
+        return stream.read()
+
+
+def mark_complete(path: str) -> None:
+    """Say that no page will follow, so that the newest one may be read too."""
+    system, base = PagedReader({"path": path})._filesystem()
+    system.open_output_stream(f"{base}/_COMPLETE").close()
+
+
 class PageRange(InputPartition):
     """Consecutive pages: ``(sequence, files)`` each."""
 
@@ -51,7 +64,8 @@ class PagedReader(DataSourceReader):
             return fs.FileSystem.from_uri(uri)
         return fs.LocalFileSystem(), self.path
 
-    def partitions(self) -> list[PageRange]:
+    def _listed(self) -> dict[int, list[str]]:
+        """Files of every page that is there."""
         system, base = self._filesystem()
         listed = system.get_file_info(fs.FileSelector(base, recursive=True))
         pages: dict[int, list[str]] = {}
@@ -60,11 +74,18 @@ class PagedReader(DataSourceReader):
             name = info.path.rsplit("/", 1)[-1]
             if info.type == fs.FileType.File and folder.startswith("page=") and not name.startswith((".", "_")):
                 pages.setdefault(int(folder.removeprefix("page=")), []).append(info.path)
+        return pages
+
+    def _ranges(self, wanted: list[int], pages: dict[int, list[str]]) -> list[PageRange]:
+        listed_pages = [(p, sorted(pages[p])) for p in wanted]
+        return [PageRange(listed_pages[i : i + self.per_task]) for i in range(0, len(listed_pages), self.per_task)]
+
+    def partitions(self) -> list[PageRange]:
+        pages = self._listed()
         wanted = sorted(p for p in pages if p >= self.first)
         if self.limit is not None:
             wanted = wanted[: self.limit]
-        listed_pages = [(p, sorted(pages[p])) for p in wanted]
-        return [PageRange(listed_pages[i : i + self.per_task]) for i in range(0, len(listed_pages), self.per_task)]
+        return self._ranges(wanted, pages)
 
     def read(self, partition: PageRange) -> Iterator[pa.RecordBatch]:
         system, _ = self._filesystem()
@@ -72,26 +93,15 @@ class PagedReader(DataSourceReader):
             yield from self._read_page(system, sequence, paths)
 
     def _read_page(self, system: fs.FileSystem, sequence: int, paths: list[str]) -> Iterator[pa.RecordBatch]:
-        digest = hashlib.sha256()
-        # First pass: digest and number of records of the page. Second pass: records, in bounded batches.
-        rows = sum(1 for path in paths for _ in self._records(system, path, digest))
-        proof = digest.hexdigest()
-        for path in paths:
-            records = self._records(system, path)
-            while pending := [line.decode() for line in islice(records, self.batch_rows)]:
-                yield self._batch(sequence, path, proof, rows, pending)
-
-    def _records(self, system: fs.FileSystem, path: str, digest=None) -> Iterator[bytes]:
-        """Lines that hold more than white space; the last one may lack its end. All bytes go into ``digest``."""
-        with system.open_input_stream(path) as stream:
-            rest = b""
-            while chunk := stream.read(1 << 20):
-                if digest is not None:
-                    digest.update(chunk)
-                *lines, rest = (rest + chunk).split(b"\n")
-                yield from (line for line in lines if line.strip())
-            if rest.strip():
-                yield rest
+        # A page is one response of the publisher: it is read once, and held while its records go out in bounded batches.
+        bodies = [_body(system, path) for path in paths]
+        proof = hashlib.sha256(b"".join(bodies)).hexdigest()
+        # Lines that hold more than white space; the last one may lack its end.
+        records = [[line for line in body.split(b"\n") if line.strip()] for body in bodies]
+        rows = sum(map(len, records))
+        for path, own in zip(paths, records):
+            for start in range(0, len(own), self.batch_rows):
+                yield self._batch(sequence, path, proof, rows, [line.decode() for line in own[start : start + self.batch_rows]])
 
     def _batch(self, sequence: int, path: str, proof: str, rows: int, records: list[str]) -> pa.RecordBatch:
         n = len(records)
@@ -107,6 +117,73 @@ class PagedReader(DataSourceReader):
         )
 
 
+PAGE_SCHEMA = "page_sequence bigint, endpoint string, page_sha256 string, body string"
+_PAGE = pa.schema([("page_sequence", pa.int64()), ("endpoint", pa.string()), ("page_sha256", pa.string()), ("body", pa.string())])
+
+
+class PageStreamReader(DataSourceStreamReader):
+    """Whole pages as they land, each once. The position is the number of the page after the last complete one, so a restart goes on there.
+
+    A page is complete when a later page or the mark ``_COMPLETE`` lies beside it: the publisher writes pages in order. Pages after a
+    missing one wait for it. Records are Spark's to parse (``page_records``); the reader hands out bytes once and looks at none.
+    """
+
+    def __init__(self, options: dict[str, str]):
+        self.pages = PagedReader(options)
+        self.most = int(options["maxPagesPerBatch"]) if "maxPagesPerBatch" in options else None
+        self.given = self.pages.first
+
+    def initialOffset(self) -> dict:
+        return {"page": self.pages.first}
+
+    def latestOffset(self) -> dict:
+        system, base = self.pages._filesystem()
+        there = self.pages._listed()
+        marked = system.get_file_info(f"{base}/_COMPLETE").type == fs.FileType.File
+        last = max(there, default=self.pages.first - 1)
+        # The newest page may still be written to.
+        at = self.given
+        while at in there and (at < last or marked) and (self.most is None or at - self.given < self.most):
+            at += 1
+        return {"page": at}
+
+    def partitions(self, start: dict, end: dict) -> list[PageRange]:
+        self.given = end["page"]
+        there = self.pages._listed()
+        return self.pages._ranges(list(range(start["page"], end["page"])), there)
+
+    def commit(self, end: dict) -> None:
+        self.given = end["page"]
+
+    def read(self, partition: PageRange) -> Iterator[pa.RecordBatch]:
+        system, _ = self.pages._filesystem()
+        for sequence, paths in partition.pages:
+            body = b"\n".join(_body(system, path) for path in paths)
+            values = (sequence, paths[0].rsplit("/", 1)[0], hashlib.sha256(body).hexdigest(), body.decode())
+            yield pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(values, _PAGE)], schema=_PAGE)
+
+
+class PageStreamSource(DataSource):
+    """``spark.readStream.format("paged_stream").load(path)``; options ``firstPage``, ``maxPagesPerBatch``, ``pagesPerTask``."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "paged_stream"
+
+    def schema(self) -> str:
+        return PAGE_SCHEMA
+
+    def streamReader(self, schema: StructType) -> DataSourceStreamReader:
+        return PageStreamReader(self.options)
+
+
+def page_records(pages: DataFrame) -> DataFrame:
+    """One row per record of whole pages, with the number of records of its page; blank lines are no records."""
+    lines = F.filter(F.split("body", "\n"), lambda line: F.length(F.trim(line)) > 0)
+    cut = pages.withColumn("__lines", lines)
+    return cut.select("page_sequence", "endpoint", "page_sha256", F.size("__lines").cast("bigint").alias("page_rows"), F.explode("__lines").alias("record"))
+
+
 class PagedJsonSource(DataSource):
     """``spark.read.format("paged_json").load(path)``; options ``firstPage``, ``maxPages``, ``pagesPerTask``."""
 
@@ -122,4 +199,6 @@ class PagedJsonSource(DataSource):
 
 
 def register(spark: SparkSession) -> None:
+    ship_package(spark)
     spark.dataSource.register(PagedJsonSource)
+    spark.dataSource.register(PageStreamSource)
