@@ -76,6 +76,13 @@ def expand_search_plan(
     ).select("catalog_id", "catalog_order", "__first.group_order", "__first.term_order", "term_key", "term")
 
 
+def search_plan(config: DataFrame) -> DataFrame:
+    """Numbered requests of a whole search configuration: group terms and, after them, each catalog's own."""
+    parts = config_relations(config)
+    terms = parts["groups"].select("group_id", F.posexplode("terms").alias("term_order", "term"))
+    return number_requests(expand_search_plan(parts["references"], terms, parts["specific"]))
+
+
 def number_requests(plan: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Deterministic ``request_sequence`` 1..n by catalog, group and term position."""
     return numbered(

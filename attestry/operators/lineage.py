@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from attestry.functions.digest import content_id
 from attestry.operators.gate import is_eligible
 from attestry.operators.segments import join_on_key
+from attestry.schemas import LEDGERS, shape
 from attestry.session import cut_lineage
 
 RELATIONSHIPS = ("DIRECT_COPY", "PARSE", "FILTER", "JOIN", "AGGREGATE", "SPATIAL_MATCH", "TEMPORAL_WINDOW", "DERIVATION")
@@ -51,6 +52,23 @@ def lineage_edges_for(
     )
 
 
+def transformation_runs(
+    name: str, target: str, versions: DataFrame, status: Column, started_at: Column, completed_at: Column, code_version: str | None = None
+) -> DataFrame:
+    """One row of ``transformation_runs``: what was built from which approved source versions.
+
+    The id comes from name, target, start and versions, so a rerun of the same work is the same run. ``versions`` is a register, not facts:
+    its list is bounded by the number of sources.
+    """
+    listed = versions.agg(F.array_sort(F.collect_set(F.col("data_source_version_id").cast("string"))).alias("input_source_versions"))
+    rows = listed.select(
+        content_id(F.lit("transformation"), F.lit(name), F.lit(target), started_at, F.array_join("input_source_versions", ",")).alias("transformation_run_id"),
+        F.lit(name).alias("transformation_name"), F.lit(code_version).alias("code_version"), "input_source_versions", F.lit(target).alias("target_relation"),
+        status.alias("status"), started_at.alias("started_at"), completed_at.alias("completed_at"),
+    )
+    return shape(rows, LEDGERS["transformation_runs"])
+
+
 def reconcile_edges(declared: DataFrame, observed: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Edges found on one side only, tagged DECLARED_ONLY or OBSERVED_ONLY; one aggregate over both sides."""
     both = declared.select(*columns, F.lit(1).alias("__d"), F.lit(0).alias("__o")).unionByName(

@@ -402,6 +402,7 @@ def manifest(t: Tables) -> DataFrame:
     return ledger.build_manifest(pages, "ingestion_run_id", "request_sequence", "sha256")
 
 
+# Fixed value: the credential pattern.
 PATTERN = r"(?i)((?:token|secret|password|private[_ -]?key|authorization)\s*[=:]\s*)\S+"
 
 
@@ -721,7 +722,7 @@ def record_discovery(t: Tables) -> DataFrame:
               CASE WHEN c_mktsegment <> 'MACHINERY' AND document IS NOT NULL AND sample_rows IS NOT NULL THEN sample_rows END AS sample_rows,
               CASE WHEN c_mktsegment <> 'MACHINERY' AND document IS NOT NULL AND sample_rows IS NOT NULL THEN sample_sha256 END AS sample_sha256,
               CASE WHEN c_mktsegment <> 'MACHINERY' AND document IS NOT NULL AND sample_rows IS NOT NULL THEN sha256(document) END AS metadata_sha256,
-              CASE WHEN c_mktsegment <> 'MACHINERY' AND document IS NOT NULL AND sample_rows IS NOT NULL THEN 93.5 END AS overall_score
+              CASE WHEN c_mktsegment <> 'MACHINERY' AND document IS NOT NULL AND sample_rows IS NOT NULL THEN 69.5 END AS overall_score
        FROM c LEFT JOIN g ON g.user_id = c.resource_key""",
 )
 def collect_evidence(t: Tables) -> DataFrame:
@@ -740,12 +741,14 @@ def collect_evidence(t: Tables) -> DataFrame:
         F.lit("https://data.example.org/r.json?x=1").alias("endpoint_template"), F.lit("https://data.example.org/m").alias("metadata_endpoint_template"),
         F.when(F.col("c_mktsegment") != "MACHINERY", ":id ASC").alias("deterministic_order_clause"), F.lit("FULL_REFRESH").alias("incremental_strategy"),
     )
-    scores = {n: F.lit(v) for n, v in {"relevance": 95, "joinability": 95, "accessibility": 95, "documentation": 90, "quality": 90}.items()}
+    scores = {n: F.lit(v) for n, v in {"relevance": 80, "joinability": 60, "accessibility": 90, "documentation": 40, "quality": 70}.items()}
     tables = acquire.evidence_tables(metadata, records, profiles, scores, "dev", F.lit("2024-02-01").cast("timestamp"), required=("k", "event_type"))
     ledger.append_ledger(root, "evidence-1", tables)
 
     def back(name: str) -> DataFrame:
-        return ledger.read_ledger(t.spark, root, name)
+        rows = ledger.read_ledger(t.spark, root, name)
+        # Ledgers keep keys as text.
+        return rows.withColumn("resource_key", F.col("resource_key").cast("bigint")) if "resource_key" in rows.columns else rows
 
     requests = back("ingestion_requests").join(back("ingestion_runs").select("ingestion_run_id", "resource_key"), "ingestion_run_id")
     sample = requests.filter("request_purpose = 'ORDERED_SOURCE_SAMPLE'").select(

@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from attestry.operators import events, gate, history, lineage, rules, vintages
+from attestry.functions.values import mark_value_states
+from attestry.operators import discovery, events, gate, history, lineage, rules, vintages
 from attestry.operators import profiles as sketches
 from attestry.plans.registry import Tables, query
 from attestry.plans.review import FACTS_SQL, FACTS_USES, assessments, profiles
 from attestry.session import cut_lineage, scratch_path
-from attestry.sources import ledger, paged
+from attestry.sources import files, ledger, paged
 
 RULES = [
     {"rule_id": "keys_not_null", "kind": "not_null", "severity": "BLOCKING", "columns": ["l_partkey", "l_suppkey"]},
@@ -288,3 +289,140 @@ def paged_stream(t: Tables) -> DataFrame:
         job.awaitTermination()
     found = t.spark.read.parquet(f"{root}/out").withColumn("r", F.from_json("record", "event_id bigint, event_type string"))
     return found.select("page_sequence", "r.event_id", "r.event_type", "page_rows")
+
+
+# --- sources ----------------------------------------------------------------------------------
+
+
+@query(
+    "search_plan_configured",
+    """WITH brands AS (SELECT p_brand, list_sort(list(DISTINCT p_type)) AS terms FROM part GROUP BY 1),
+        c AS (SELECT r_regionkey, r_name, [p_brand FOR p_brand IN (SELECT list_sort(list(p_brand)) FROM brands) IF CAST(substr(p_brand, 7) AS INT) % 5 <> r_regionkey] AS groups FROM region WHERE r_name <> 'AFRICA'),
+        used AS (SELECT r_regionkey, r_name, g.g AS p_brand, g.i AS i FROM (SELECT r_regionkey, r_name, unnest([{'g': g, 'i': i} FOR g, i IN groups]) AS g FROM c) WHERE g.g <> 'Brand#2'),
+        listed AS (SELECT r_regionkey, r_name, i, t.i AS j, t.t AS term FROM (SELECT r_regionkey, r_name, i, unnest([{'t': t, 'i': k} FOR t, k IN terms]) AS t FROM used JOIN brands USING (p_brand))
+            UNION ALL SELECT r_regionkey, r_name, 2147483647, 1, r_name || ' records' FROM region WHERE r_name <> 'AFRICA'
+            UNION ALL SELECT r_regionkey, r_name, 2147483647, 2, 'ticks' FROM region WHERE r_name <> 'AFRICA'),
+        p AS (SELECT r_regionkey, r_name, lower(term) AS k, min((i, j)) AS place, arg_max(term, (i, j)) AS term FROM listed GROUP BY 1, 2, 3)
+        SELECT ROW_NUMBER() OVER (ORDER BY r_regionkey, place, k) AS request_sequence, r_name AS catalog_id, term FROM p""",
+)
+def search_plan_configured(t: Tables) -> DataFrame:
+    """Requests of a whole configuration document: group terms, then each catalog's own terms."""
+    brands = t.part.groupBy("p_brand").agg(F.array_sort(F.collect_set("p_type")).alias("terms"))
+    groups = brands.agg(F.array_sort(F.collect_list(F.struct(F.col("p_brand").alias("id"), "terms"))).alias("term_groups"))
+    names = F.transform("term_groups", lambda g: g["id"])
+    own = F.filter(names, lambda b: F.substring(b, 7, 9).cast("int") % 5 != F.col("r_regionkey"))
+    catalog = F.struct(
+        F.col("r_name").alias("catalog_id"), (F.col("r_name") != "AFRICA").alias("enabled"), F.lit("https://c.example.org").alias("search_endpoint"),
+        F.lit("q").alias("search_parameter"), own.alias("search_term_group_ids"), F.array(F.concat("r_name", F.lit(" records")), F.lit("ticks")).alias("catalog_specific_terms"),
+    )
+    # The documents of one configuration: its few catalogs in their order.
+    each = t.region.join(groups, F.lit(True)).select("r_regionkey", "term_groups", catalog.alias("c"))
+    parameters = F.create_map(F.lit("rows"), F.lit("100"))
+    listed = F.transform(F.array_sort(F.collect_list(F.struct("r_regionkey", "c"))), lambda x: x["c"].withField("fixed_query_parameters", parameters))
+    config = each.groupBy("term_groups").agg(listed.alias("catalogs")).select(
+        F.lit(discovery.SEARCH_SCHEMA_VERSION).alias("$schema_version"),
+        F.filter(F.transform("term_groups", lambda g: g["id"]), lambda b: b != "Brand#2").alias("initially_enabled_term_group_ids"), "catalogs", "term_groups",
+    )
+    return discovery.search_plan(config).select("request_sequence", "catalog_id", "term")
+
+
+@query(
+    "supplied_value_states",
+    """SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN '{"frequency":"withheld"}' WHEN o_orderpriority = '5-LOW' THEN '{"priority":"unknown"}' ELSE '{}' END AS source_value_status FROM orders""",
+)
+def supplied_value_states(t: Tables) -> DataFrame:
+    """Markers that the source supplies win over those found in its fields."""
+    supplied = F.when(F.col("o_orderstatus") == "P", F.create_map(F.lit("frequency"), F.lit("withheld")))
+    found = F.when(F.col("o_orderpriority") == "5-LOW", "Unknown").otherwise(F.col("o_orderpriority"))
+    return t.orders.select("o_orderkey", mark_value_states({"priority": found}, supplied).alias("source_value_status"))
+
+
+@query(
+    "raw_ledger_rows",
+    """SELECT CAST(user_id AS STRING) AS data_source_version_id, CAST(event_id AS STRING) AS source_record_id, sha256(replace(props, ' ', '')) AS source_row_hash,
+         replace(props, ' ', '') AS payload, 'run-' || event_type AS ingestion_run_id, 'artifact-' || event_type AS artifact_id, 'https://data.example.org/events' AS source_url,
+         strftime(ts, '%Y-%m-%d %H:%M:%S') AS retrieved_at, '2024-03-01 00:00:00' AS loaded_at, 'load-1' AS raw_load_batch_id, 'load-1' AS batch_id FROM events""",
+)
+def raw_ledger_rows(t: Tables) -> DataFrame:
+    """RAW rows as they lie in their ledger after an append, every column of them."""
+    root = scratch_path(t.spark, "raw-rows")
+    rows = ledger.raw_rows(
+        t.events, "props", version=F.col("user_id").cast("string"), run=F.concat(F.lit("run-"), "event_type"), artifact=F.concat(F.lit("artifact-"), "event_type"),
+        source_url=F.lit("https://data.example.org/events?secret=1"), record_id=F.col("event_id").cast("string"), retrieved_at=F.col("ts"),
+        loaded_at=F.lit("2024-03-01").cast("timestamp_ntz"), batch_id="load-1",
+    )
+    ledger.append_ledger(root, "load-1", {"raw": rows})
+    times = {c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in ("retrieved_at", "loaded_at")}
+    return ledger.read_ledger(t.spark, root, "raw").withColumns({"payload": F.to_json("payload"), **times})
+
+
+@query("direct_geojson", "SELECT n_nationkey, CAST(n_nationkey * 3 - 30 AS DOUBLE) AS min_x, CAST(n_nationkey * 3 - 28 AS DOUBLE) AS max_x, 2 AS n_rings FROM nation")
+def direct_geojson(t: Tables) -> DataFrame:
+    """Nations as a GeoJSON file of squares with a hole each, read as a direct file."""
+    root = scratch_path(t.spark, "geojson")
+
+    def ring(inset: float):
+        x = F.col("n_nationkey") * 3 - 30
+        corners = [(inset, inset), (2 - inset, inset), (2 - inset, 2 - inset), (inset, 2 - inset), (inset, inset)]
+        return F.array(*[F.array((x + a).cast("double"), F.lit(float(b))) for a, b in corners])
+
+    geometry = F.struct(F.lit("Polygon").alias("type"), F.array(ring(0), ring(0.5)).alias("coordinates"))
+    feature = F.struct(F.lit("Feature").alias("type"), F.struct("n_nationkey").alias("properties"), geometry.alias("geometry"))
+    # A reference set with one feature per nation is one document.
+    t.nation.agg(F.collect_list(feature).alias("features")).select(F.lit("FeatureCollection").alias("type"), "features").write.json(f"{root}/geo")
+    rows = files.read_direct_file(t.spark, f"{root}/geo", "geojson")
+    return rows.select(
+        F.get_json_object("feature", "$.properties.n_nationkey").cast("int").alias("n_nationkey"), "geometry.min_x", "geometry.max_x", F.size("geometry.rings").alias("n_rings")
+    )
+
+
+@query(
+    "load_release",
+    """SELECT lpad(CAST(n_nationkey AS STRING), 5, '0') AS fips, 'r2' AS release_id, 'r2' AS current_release, 1 AS n_releases, 1 AS n_sources FROM nation WHERE n_nationkey % 2 = 0""",
+)
+def load_release(t: Tables) -> DataFrame:
+    """A release bundle as one gzip document, loaded; loaded again with fewer counties, and read back through the pointer."""
+    from attestry.sources import acquire
+
+    root = scratch_path(t.spark, "load")
+    for n, part in enumerate((t.nation, t.nation.filter("n_nationkey % 2 = 0"))):
+        fips = F.lpad(F.col("n_nationkey").cast("string"), 5, "0")
+        properties = F.struct(
+            fips.alias("fips"), F.col("n_name").alias("name"), F.lit("ST").alias("state"), F.struct(F.lit(50.0).alias("score")).alias("default"),
+            F.lit("linked").alias("human_status"),
+        )
+        geometry = F.struct(F.lit("Point").alias("type"), F.array(F.lit(1.0), F.lit(2.0)).alias("coordinates"))
+        feature = F.struct(F.lit("Feature").alias("type"), fips.alias("id"), properties.alias("properties"), geometry.alias("geometry"))
+        source = F.struct(*[F.lit(k).alias(k) for k in ("key", "label", "vintage", "url", "note")])
+        document = part.agg(F.collect_list(feature).alias("features")).select(
+            F.lit("0.2.0").alias("schema_version"), F.lit("2026-01-01T00:00:00Z").alias("generated_at"), F.lit("s").alias("scope"),
+            F.struct(F.lit(1).alias("w")).alias("score_defaults"), F.array(source).alias("sources"), F.struct("features").alias("feature_collection"),
+        )
+        document.write.option("compression", "gzip").json(f"{root}/bundle{n}")
+        digest = files.content_digest(t.spark, f"{root}/bundle{n}").first().sha256
+        acquire.load_release(t.spark, f"{root}/bundle{n}", f"{root}/ledger", "r2", digest, "m", "l", part.count())
+    back = {name: ledger.read_release(t.spark, f"{root}/ledger", name) for name in ("county_facts", "dataset_release", "source_metadata")}
+    counts = [F.lit(back[name].count()).alias(column) for name, column in (("dataset_release", "n_releases"), ("source_metadata", "n_sources"))]
+    return back["county_facts"].select("fips", "release_id", F.lit(ledger.current_release(t.spark, f"{root}/ledger")).alias("current_release"), *counts)
+
+
+@query(
+    "transformation_runs",
+    """WITH v AS (SELECT list_sort(list(DISTINCT CAST(data_source_version_id AS STRING))) AS versions FROM source_versions WHERE status IN ('APPROVED', 'CONDITIONAL') AND retired_at IS NULL)
+        SELECT sha256('{"p0":"transformation","p1":"conform","p2":"facts","p3":"2024-01-01 00:00:00","p4":"' || array_to_string(versions, ',') || '"}') AS transformation_run_id,
+          'conform' AS transformation_name, 'facts' AS target_relation, 'COMPLETED' AS status, len(versions) AS n_versions, sha256(array_to_string(versions, ',')) AS versions_sha256 FROM v""",
+    ["source_versions"],
+)
+def transformation_runs(t: Tables) -> DataFrame:
+    """The run that conforms facts from all approved versions, recorded twice as one batch."""
+    root = scratch_path(t.spark, "transformations")
+    start, end = F.lit("2024-01-01").cast("timestamp_ntz"), F.lit("2024-01-01 01:00:00").cast("timestamp_ntz")
+    rows = lineage.transformation_runs("conform", "facts", lineage.dim_source_version(t.source_versions), F.lit("COMPLETED"), start, end)
+    for _ in range(2):
+        ledger.append_ledger(root, "first", {"transformation_runs": rows})
+    back = ledger.read_ledger(t.spark, root, "transformation_runs")
+    versions = F.col("input_source_versions")
+    return back.select(
+        "transformation_run_id", "transformation_name", "target_relation", "status", F.size(versions).cast("bigint").alias("n_versions"),
+        F.sha2(F.array_join(versions, ","), 256).alias("versions_sha256"),
+    )

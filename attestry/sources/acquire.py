@@ -12,11 +12,13 @@ from attestry.functions.redact import redact_map, redact_values, strip_query
 from attestry.functions.values import WEIGHTS, score_sources
 from attestry.operators import release
 from attestry.operators.discovery import number_requests
+from attestry.schemas import LEDGERS, shape
 from attestry.session import cut_lineage
 from attestry.sources import files, ledger
 from attestry.sources.commits import Log
 
 # Fields a surveillance sample must show, and the sample limits.
+DOCUMENT_TYPE = "METADATA_AND_LICENSE"
 REQUIRED_FIELDS = ("fips", "year", "case_status", "frequency")
 SAMPLE_DEFAULT, SAMPLE_MAX = 25, 100
 
@@ -114,13 +116,15 @@ def evidence_tables(
     at: Column,
     required: Sequence[str] = REQUIRED_FIELDS,
     size: int = SAMPLE_DEFAULT,
+    known_documents: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
     """All ledger rows of an evidence collection over any number of resources, and the refused ones.
 
     ``metadata``: ``resource_key, document`` (JSON); ``records``: ``resource_key, record_id,
     record`` (JSON); ``profiles``: ``resource_key, profile_version, connector_name,
     endpoint_template, metadata_endpoint_template, deterministic_order_clause,
-    incremental_strategy``. Resources without metadata, sample, required fields or a
+    incremental_strategy``. ``known_documents``: rows of ``source_document_snapshots`` taken before; a document whose digest differs from the newest of
+    its resource and type is a material change. Resources without metadata, sample, required fields or a
     deterministic order go to ``refused`` with the reason.
     """
     samples = ordered_samples(records, "resource_key", "record_id", "record", size)
@@ -137,6 +141,12 @@ def evidence_tables(
             "columns_text": F.coalesce(F.get_json_object("document", "$.columns"), F.lit("[]")),
         }
     )
+    if known_documents is not None:
+        kind = known_documents.filter(F.col("document_type") == DOCUMENT_TYPE)
+        newest = kind.groupBy("resource_key").agg(F.max_by("content_sha256", F.struct("retrieved_at", "source_document_snapshot_id")).alias("known_sha256"))
+        judged = judged.join(newest, "resource_key", "left")
+    else:
+        judged = judged.withColumn("known_sha256", F.lit(None).cast("string"))
     # One row per resource feeds ten tables: it is computed once and kept in the shared folder.
     judged = cut_lineage(judged)
     good = judged.filter(F.col("refusal").isNull()).withColumns(
@@ -171,7 +181,7 @@ def evidence_tables(
             content_id(F.lit(kind), F.col("run_id")).alias(ident), "resource_key", *[c.alias(n) for n, c in columns.items()]
         )
 
-    return {
+    tables = {
         "ingestion_runs": good.select(
             F.col("run_id").alias("ingestion_run_id"), "resource_key", F.lit("EVIDENCE_ONLY").alias("run_mode"),
             F.lit("MANUAL").alias("trigger_type"), F.lit("COMPLETED").alias("status"),
@@ -191,6 +201,7 @@ def evidence_tables(
         "catalog_datasets": rows(
             good, "catalog_dataset_id", "dataset", dataset_key=F.col("resource_key"), catalog_name=F.col("connector_name"),
             metadata_payload=F.parse_json("metadata_payload_text"), metadata_sha256=F.col("metadata_sha256"), discovered_at=at,
+            is_current=F.lit(True),
         ),
         "catalog_resources": rows(
             good, "catalog_resource_id", "resource", catalog_dataset_id=content_id(F.lit("dataset"), F.col("run_id")),
@@ -204,8 +215,9 @@ def evidence_tables(
             configuration_sha256=F.col("configuration_sha256"), effective_from=at,
         ),
         "source_document_snapshots": rows(
-            good, "source_document_snapshot_id", "document", document_type=F.lit("METADATA_AND_LICENSE"),
+            good, "source_document_snapshot_id", "document", document_type=F.lit(DOCUMENT_TYPE),
             document_url=F.col("metadata_endpoint_template"), content_sha256=F.col("metadata_sha256"), retrieved_at=at,
+            is_material_change=F.col("known_sha256").isNotNull() & (F.col("known_sha256") != F.col("metadata_sha256")),
         ),
         "schema_snapshots": rows(
             good, "schema_snapshot_id", "schema",
@@ -217,8 +229,10 @@ def evidence_tables(
             **{f"{n}_score": F.col(f"{n}_score") for n in WEIGHTS}, overall_score=F.col("overall_score"),
             recommendation=F.col("recommendation"), assessed_at=at,
         ),
-        "refused": judged.filter(F.col("refusal").isNotNull()).select("resource_key", "refusal"),
     }
+    # Every table as its ledger has it; a required column that is missing is an error here.
+    shaped = {name: shape(rows, LEDGERS[name]) for name, rows in tables.items()}
+    return shaped | {"refused": judged.filter(F.col("refusal").isNotNull()).select("resource_key", "refusal")}
 
 
 def load_release(

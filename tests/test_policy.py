@@ -23,7 +23,7 @@ def one(spark, *columns):
 
 @pytest.mark.parametrize(
     ("scores", "total", "verdict"),
-    [((70,) * 5, 70, "APPROVED"), ((50,) * 5, 50, "CONDITIONAL"), ((49,) * 5, 49, "REJECTED"), ((95, 95, 95, 90, 90), 93.5, "APPROVED")],
+    [((70,) * 5, 70, "APPROVED"), ((50,) * 5, 50, "CONDITIONAL"), ((49,) * 5, 49, "REJECTED"), ((88, 62, 74, 91, 55), 74.2, "APPROVED"), ((61, 40, 83, 37, 72), 58.2, "CONDITIONAL")],
 )
 def test_scores(spark, scores, total, verdict):
     df = spark.createDataFrame([tuple(float(s) for s in scores)], [f"{n}_score" for n in values.WEIGHTS])
@@ -38,28 +38,28 @@ def test_recommendation_uses_the_unrounded_score(spark):
 
 
 def test_artifact_identity(spark):
-    df = spark.createDataFrame([("source",)], ["content"])
+    df = spark.createDataFrame([("year,cases\n2019,37\n",)], ["content"])
     row = ledger.register_artifacts(
-        df, "content", environment=F.lit("dev"), resource_key=F.lit("r"), run=F.lit("run"), kind="K", media_type="m"
+        df, "content", environment=F.lit("staging"), resource_key=F.lit("ticks-9"), run=F.lit("run-31"), kind="K", media_type="text/csv"
     ).first()
-    want = hashlib.sha256(b"source").hexdigest()
-    assert (row.byte_count, row.sha256, row.artifact_uri) == (6, want, f"dev/r/run/{want}.bin")
+    want = hashlib.sha256(b"year,cases\n2019,37\n").hexdigest()
+    assert (row.byte_count, row.sha256, row.artifact_uri) == (19, want, f"staging/ticks-9/run-31/{want}.bin")
 
 
 def test_redaction(spark):
-    pairs = F.create_map(*[F.lit(x) for x in ("X-App-Token", "secret", "limit", "10")])
-    url = F.create_map(F.lit("endpoint"), F.lit("https://h/x?token=abc&n=1"))
+    pairs = F.create_map(*[F.lit(x) for x in ("x-API-Key", "k-481", "offset", "250")])
+    url = F.create_map(F.lit("next"), F.lit("https://files.example.org/q?secret=s9"))
     row = one(
         spark,
         redact.redact_map(pairs).alias("m"),
-        redact.redact_text(F.lit("Private Key : abc then Authorization=Bearer x, keep token")).alias("t"),
-        F.length(redact.redact_text(F.lit("a" * 5000))).alias("n"),
+        redact.redact_text(F.lit("retry with PASSWORD: hunter2 or private-key=MIIB, the token stays")).alias("t"),
+        F.length(redact.redact_text(F.lit("long " * 1200))).alias("n"),
         redact.redact_values(url).alias("u"),
         redact.strip_query(F.lit("https://h/x?a=1?b")).alias("s"),
     )
-    assert row.m == {"X-App-Token": "[REDACTED]", "limit": "10"}
-    assert row.t == "Private Key : [REDACTED] then Authorization=[REDACTED] x, keep token"
-    assert row.n == 4000 and row.u == {"endpoint": "https://h/x?token=[REDACTED]"} and row.s == "https://h/x"
+    assert row.m == {"x-API-Key": "[REDACTED]", "offset": "250"}
+    assert row.t == "retry with PASSWORD: [REDACTED] or private-key=[REDACTED] the token stays"
+    assert row.n == 4000 and row.u == {"next": "https://files.example.org/q?secret=[REDACTED]"} and row.s == "https://h/x"
 
 
 def test_resource_key_is_stable_and_hides_the_term(spark):
