@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from attestry.functions.geo import any_ring_inside, area_edges, chord_to_metres, edges_cross, ring_contains, unit_vector
-from attestry.operators.segments import join_on_key
+from attestry.operators.segments import Ordered, join_on_key
+from attestry.session import cut_lineage
 
 
 def guarded_join(
@@ -61,15 +62,33 @@ def match_direct(points: DataFrame, areas: DataFrame, key: str) -> DataFrame:
 
 
 _AXES = ("x", "y", "z")
+_R = "__range"
+#: Levels of the tree of cubes over the unit sphere: every fourth one, down to cubes of about 200 m.
+_STEP, _DEEPEST = 4, 16
 
 
-def _cells(level: int, df: DataFrame, prefix: str) -> DataFrame:
+def _cells(level: int, df: DataFrame, prefix: str, axes: Sequence[str] = _AXES) -> DataFrame:
     size = 2.0 ** (1 - level)
-    return df.withColumns({f"{prefix}{a}": F.floor((F.col(a) + 1) / size) for a in _AXES})
+    return df.withColumns({f"{prefix}{a}": F.floor((F.col(axis) + 1) / size) for a, axis in zip(_AXES, axes)})
 
 
-def _prune(live: DataFrame, point_id: str, level: int) -> DataFrame:
-    """Drop cubes whose nearest corner is beyond the farthest corner of the point's best cube."""
+def _curve(df: DataFrame) -> DataFrame:
+    """Add ``__code``: the place of the row's smallest cube on a curve through all cubes. The curve runs through the 4,096 parts of a cube one
+    after the other, and through the parts of each in the same way: a digit per axis and depth, the coarse ones first."""
+    code = F.lit(0).cast("bigint")
+    for depth in range(4, _DEEPEST + 1, 4):
+        for a in _AXES:
+            digit = F.least(F.floor((F.col(a) + 1) * 2.0 ** (depth - 1)), F.lit(2**depth - 1)) % 16
+            code = code * 16 + digit.cast("bigint")
+    return df.withColumn("__code", code)
+
+
+def _gap(axes: Sequence[str]) -> Column:
+    return sum(((F.col(a) - F.col(o)) * (F.col(a) - F.col(o)) for a, o in zip(_AXES, axes)), F.lit(0.0))
+
+
+def _pruned(live: DataFrame, point_id: str, level: int) -> DataFrame:
+    """Drop cubes of ``level`` whose nearest corner is beyond the farthest corner of the point's best cube; cubes of other levels wait."""
     size = 2.0 ** (1 - level)
     near, far = F.lit(0.0), F.lit(0.0)
     for a in _AXES:
@@ -77,55 +96,69 @@ def _prune(live: DataFrame, point_id: str, level: int) -> DataFrame:
         out = F.greatest(low - F.col(a), F.col(a) - (low + size), F.lit(0.0))
         reach = F.greatest(F.abs(F.col(a) - low), F.abs(F.col(a) - (low + size)))
         near, far = near + out * out, far + reach * reach
-    best = F.min(far).over(Window.partitionBy(point_id))
+    here = F.col("__level") == level
+    best = F.min(F.when(here, far)).over(Window.partitionBy(_R, point_id))
     kept = live.withColumns({"__near": near, "__best": best})
-    return kept.filter(F.col("__near") <= F.col("__best") + 1e-12).drop("__near", "__best")
+    return kept.filter(~here | (F.col("__near") <= F.col("__best") + 1e-12)).drop("__near", "__best")
 
 
-def nearest_station(
-    points: DataFrame, stations: DataFrame, point_id: str, station_id: str, bits: int = 2, depth: int = 8
-) -> DataFrame:
+def nearest_station(points: DataFrame, stations: DataFrame, point_id: str, station_id: str) -> DataFrame:
     """NEAREST_STATION: the closest station of every point, exactly, with the distance in metres.
 
-    Points descend a tree of cubes over the unit sphere. At each level a point keeps only cubes
-    that could still hold its nearest station: those not farther than the farthest corner of the
-    best non-empty cube. The number of cubes kept per point is bounded by geometry, however
-    many stations crowd one place; stations are only read in the last, smallest cubes.
-    Stations at one position count once (smallest id). Points without coordinates, and all points
-    when there is no station, stay with a null station.
+    Points and stations are laid on one space-filling curve through the cubes of the unit sphere and dealt by ranges of it: that is
+    the only exchange of points, made in each of two passes. In the first the stations next to a point on the curve bound its distance; the cubes that its ball touches (at most eight, of a
+    size to fit) are what its range needs, and the stations of these cubes are written by range. In the second the points descend the
+    tree of cubes: at each level a point keeps only cubes that can still hold its station, so the number kept is bounded by geometry,
+    however many stations crowd one place. All joins and windows of the descent stay inside a range.
+
+    Stations at one position count once (smallest id). A row per row of ``points``, equal rows once; rows without coordinates, and all
+    rows when there is no station, have a null station.
     """
     where = unit_vector(F.col("lon"), F.col("lat"))
-    spots = stations.withColumns(where).groupBy(*_AXES).agg(F.min(station_id).alias(station_id))
-    live = points.select(point_id, *[v.alias(a) for a, v in where.items()])
-    # The few non-empty cubes of the first level (at most a few dozen) travel as one array.
-    top = _cells(bits, spots, "c").agg(F.collect_set(F.struct(*[f"c{a}" for a in _AXES]))).scalar()
-    # Without a station there is no cube, and every point stays unmatched.
-    live = live.withColumn("__cube", F.explode(top)).select(
-        point_id, *_AXES, *[F.col(f"__cube.c{a}").alias(f"c{a}") for a in _AXES]
-    )
-    live = _prune(live, point_id, bits)
-    grown = bits
-    for _ in range(depth - 1):
-        parent, grown = grown, grown + bits
-        cubes = _cells(grown, _cells(parent, spots, "c"), "n")
-        cubes = cubes.select(*[f"c{a}" for a in _AXES], *[f"n{a}" for a in _AXES]).distinct()
-        live = live.join(cubes, [f"c{a}" for a in _AXES]).select(
-            point_id, *_AXES, *[F.col(f"n{a}").alias(f"c{a}") for a in _AXES]
+    spots = stations.withColumns(where).groupBy(*_AXES).agg(F.min(station_id).alias(station_id)).filter("x IS NOT NULL AND y IS NOT NULL AND z IS NOT NULL")
+    placed = points.select(point_id, *[v.alias(a) for a, v in where.items()])
+    lost = F.col("x").isNull() | F.col("y").isNull() | F.col("z").isNull()
+    kinds = {station_id: dict(spots.dtypes)[station_id], point_id: dict(points.dtypes)[point_id]}
+    line = placed.filter(~lost).select(*_AXES, F.col(point_id).alias("__p"), F.lit(None).cast(kinds[station_id]).alias("__s"))
+    line = _curve(line.unionByName(spots.select(*_AXES, F.lit(None).cast(kinds[point_id]).alias("__p"), F.col(station_id).alias("__s"))))
+    station = F.col("__s").isNotNull()
+    dealt = Ordered(line, [], ["__code", "__s", "__p"]).between(F.when(station, F.struct(*_AXES)), "__a", "__b")
+    bound = F.sqrt(F.least(*[_gap([f"{side}.{a}" for a in _AXES]) for side in ("__a", "__b")])) * (1 + 1e-9) + 1e-12
+    asked = dealt.filter(~station).dealt.select(_R, F.col("__p").alias(point_id), *_AXES, bound.alias("__d"))
+    # Cubes at least as wide as the ball: two along each axis at most.
+    fitting = F.greatest(F.least(F.floor(-F.log2("__d") / _STEP) * _STEP, F.lit(_DEEPEST)), F.lit(0))
+    sized = asked.filter("__d IS NOT NULL").withColumn("__level", fitting.cast("int")).withColumn("__size", F.pow(F.lit(2.0), 1 - F.col("__level")))
+    touched = [F.sequence(*[F.floor((F.col(a) + side * F.col("__d") + 1) / F.col("__size")) for side in (-1, 1)]) for a in _AXES]
+    cells = F.flatten(F.transform(touched[0], lambda x: F.flatten(F.transform(touched[1], lambda y: F.transform(touched[2], lambda z: F.struct(x.alias("cx"), y.alias("cy"), z.alias("cz")))))))
+    live = sized.select(_R, point_id, *_AXES, "__level", F.inline(cells))
+    cube = [f"c{a}" for a in _AXES]
+    needed = live.select(_R, "__level", *cube).distinct()
+    levels = range(0, _DEEPEST + 1, _STEP)
+    every = spots.withColumn("__level", F.explode(F.array(*[F.lit(n) for n in levels])))
+    every = every.withColumns({f"c{a}": F.floor((F.col(a) + 1) / F.pow(F.lit(2.0), 1 - F.col("__level"))) for a in _AXES})
+    own = [F.col(a).alias(f"s{a}") for a in _AXES]
+    # Written once: five joins read them, and the plan of each stays short.
+    sent = cut_lineage(needed.join(every, ["__level", *cube]).select(_R, station_id, *own).distinct()).repartitionById(dealt.n, _R)
+    corner = [f"s{a}" for a in _AXES]
+    for level in levels[:-1]:
+        cubes = _cells(level + _STEP, _cells(level, sent, "c", corner), "n", corner)
+        cubes = cubes.select(_R, F.lit(level).alias("__level"), *cube, *[f"n{a}" for a in _AXES]).distinct()
+        # Rows of a smaller cube have no match and go on as they are; of those at this level only cubes with stations stay.
+        grown = live.join(cubes, [_R, "__level", *cube], "left").filter((F.col("__level") != level) | F.col("nx").isNotNull())
+        live = grown.select(
+            _R, point_id, *_AXES, F.when(F.col("nx").isNotNull(), level + _STEP).otherwise(F.col("__level")).alias("__level"), *[F.coalesce(f"n{a}", f"c{a}").alias(f"c{a}") for a in _AXES]
         )
-        live = _prune(live, point_id, grown)
-    leaves = _cells(grown, spots, "c").select(
-        station_id, *[f"c{a}" for a in _AXES], *[F.col(a).alias(f"s{a}") for a in _AXES]
-    )
-    gap = sum(((F.col(a) - F.col(f"s{a}")) * (F.col(a) - F.col(f"s{a}")) for a in _AXES), F.lit(0.0))
+        live = _pruned(live, point_id, level + _STEP)
+    leaves = _cells(_DEEPEST, sent, "c", corner)
     found = (
-        live.join(leaves, [f"c{a}" for a in _AXES])
-        .withColumn("__chord", F.sqrt(gap))
-        .groupBy(point_id)
+        live.join(leaves, [_R, *cube])
+        .withColumn("__chord", F.sqrt(_gap(corner)))
+        .groupBy(_R, point_id, *_AXES)
         .agg(F.min(F.struct("__chord", station_id)).alias("m"))
-        .select(F.col(point_id).alias("__point"), F.col(f"m.{station_id}").alias(station_id), chord_to_metres(F.col("m.__chord")).alias("distance_m"))
+        .select(point_id, F.col(f"m.{station_id}").alias(station_id), chord_to_metres(F.col("m.__chord")).alias("distance_m"))
     )
-    asked = points.select(point_id).distinct()
-    return asked.join(found, asked[point_id].eqNullSafe(found["__point"]), "left").drop("__point")
+    unmatched = asked.filter("__d IS NULL").select(point_id).unionByName(placed.filter(lost).select(point_id))
+    return found.unionByName(unmatched, allowMissingColumns=True)
 
 
 def _areas(df: DataFrame, geometry: str) -> DataFrame:

@@ -94,6 +94,30 @@ class Ordered:
         out = found.withColumn(_NEAR, F.coalesce(near, carried))
         return self._with(out.select(*columns, *[F.col(_NEAR)[v].alias(f"{prefix}{v}") for v in values]))
 
+    def between(self, value: Column, before: str, after: str) -> Ordered:
+        """Add as ``before`` and ``after`` the nearest ``value`` (a struct, null where a row has none) strictly before and after each row, in one step.
+
+        For an order without keys: the rows are one line.
+        """
+        if self.keys:
+            raise ValueError("between is for an order without keys")
+        columns = self.dealt.columns
+        base = self._with(self.dealt.withColumn(_VALUE, value))
+        rank = F.when(F.col(_VALUE).isNotNull(), self.point)
+        edges = base.dealt.groupBy(_RANGE).agg(F.max_by(_VALUE, rank).alias("last"), F.min_by(_VALUE, rank).alias("first"))
+        line = Window.partitionBy(F.lit(0))
+        carried = F.struct(
+            F.last("last", ignorenulls=True).over(line.orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, -1)).alias("last"),
+            F.first("first", ignorenulls=True).over(line.orderBy(_RANGE).rowsBetween(1, Window.unboundedFollowing)).alias("first"),
+        )
+        inside = Window.partitionBy(_RANGE).orderBy(*[F.asc_nulls_first(o) for o in self.order])
+        near = F.last(_VALUE, ignorenulls=True).over(inside.rowsBetween(Window.unboundedPreceding, -1))
+        # Seen from behind, so that both are running values.
+        back = Window.partitionBy(_RANGE).orderBy(*[F.desc_nulls_last(o) for o in self.order])
+        next_ = F.last(_VALUE, ignorenulls=True).over(back.rowsBetween(Window.unboundedPreceding, -1))
+        found = base._carried(edges, carried)
+        return self._with(found.select(*columns, F.coalesce(near, F.col(_CARRY)["last"]).alias(before), F.coalesce(next_, F.col(_CARRY)["first"]).alias(after)))
+
     def numbered(self, name: str) -> Ordered:
         """Add the row number 1..n within a key along the order."""
         columns = self.dealt.columns

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -52,6 +53,34 @@ def test_nearest_station_matches_brute_force(spark):
     assert got[len(points) - 1].station_id == 304 and got[len(points) - 1].distance_m == 0
 
 
+def test_points_move_once(spark):
+    """One exchange of points and stations, whatever the depth; the others carry needs, stations of ranges and edges."""
+    rng = random.Random(6)
+    rows = lambda n: [(i, rng.uniform(-180, 180), rng.uniform(-90, 90)) for i in range(n)]
+    left, right = spark.createDataFrame(rows(400), "point_id int, lon double, lat double"), spark.createDataFrame(rows(50), "station_id int, lon double, lat double")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = match.nearest_station(left, right, "point_id", "station_id")
+        assert found.count() == 400
+        found.collect()
+        plan = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    exchanges = {m[1]: m[0] for m in re.findall(r"Exchange (.*?plan_id=(\d+))", plan)}
+    assert [e for e in exchanges.values() if "point_id" in e] == []
+    # The points, once, and the stations that were written by range.
+    assert 1 <= sum("direct_shuffle_partition_id" in e for e in exchanges.values()) <= 2
+
+
+def test_points_without_coordinates_or_stations(spark):
+    left = spark.createDataFrame([(1, None, 2.0), (2, 1.0, 2.0), (2, 1.0, 2.0)], "point_id int, lon double, lat double")
+    right = spark.createDataFrame([(7, 0.0, 0.0), (8, None, 0.0)], "station_id int, lon double, lat double")
+    assert sorted((r.point_id, r.station_id) for r in match.nearest_station(left, right, "point_id", "station_id").collect()) == [(1, None), (2, 7)]
+    assert {r.point_id for r in match.nearest_station(left, right.limit(0), "point_id", "station_id").filter("station_id IS NULL").collect()} == {1, 2}
+    assert match.nearest_station(left.limit(0), right, "point_id", "station_id").collect() == []
+
+
 def polygons(spark, rings):
     rows = [(i, '{"type":"Polygon","coordinates":[%s]}' % [list(p) for p in r]) for i, r in enumerate(rings)]
     df = spark.createDataFrame(rows, "area_id int, t string")
