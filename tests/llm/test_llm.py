@@ -567,24 +567,61 @@ def test_links_against_all_pairs(spark):
     assert vector_links.near_duplicates(vectors.limit(0)).count() == 0
 
 
+def partners(base, rng):
+    """For each unit vector one at cosine 0.98 exactly."""
+    aside = rng.standard_normal(base.shape)
+    aside -= (aside * base).sum(1, keepdims=True) * base
+    return 0.98 * base + np.sqrt(1 - 0.98**2) * aside / np.linalg.norm(aside, axis=1, keepdims=True)
+
+
+@pytest.mark.parametrize("n", [2_000, 50_000, 1_000_000])
 @pytest.mark.parametrize("share", [0.5, 0.9, 0.95, 1.0, "sparse"])
-def test_filters_of_uneven_vectors(share):
-    rng, n = np.random.default_rng(6), 400
-    base = rng.standard_normal((n, 64))
+def test_filters_of_uneven_vectors(share, n):
+    rng, m = np.random.default_rng(6), 400
+    base = rng.standard_normal((m, 64))
     if share == "sparse":
-        base *= np.argsort(rng.random((n, 64)), axis=1) < 3
+        base *= np.argsort(rng.random((m, 64)), axis=1) < 3
     else:
         base[:, :32] *= np.sqrt(share) / np.linalg.norm(base[:, :32], axis=1, keepdims=True)
         base[:, 32:] *= np.sqrt(1 - share) / np.linalg.norm(base[:, 32:], axis=1, keepdims=True)
     base /= np.linalg.norm(base, axis=1, keepdims=True)
-    aside = rng.standard_normal((n, 64))
-    aside -= (aside * base).sum(1, keepdims=True) * base
-    partner = 0.98 * base + np.sqrt(1 - 0.98**2) * aside / np.linalg.norm(aside, axis=1, keepdims=True)
-    one, other = vector_links.filters(base), vector_links.filters(partner)
+    one, other = vector_links.filters(base, n), vector_links.filters(partners(base, rng), n)
     assert min(map(len, one)) >= vector_links.LEAST
     assert np.mean([len(np.intersect1d(a, b)) > 0 for a, b in zip(one, other)]) >= 0.97
 
 
+def test_the_share_of_pairs_compared_falls_with_size():
+    """While partners at the limit go on meeting, and a vector meets about as many others at any size."""
+    rng = np.random.default_rng(7)
+    base = rng.standard_normal((1500, 64))
+    base /= np.linalg.norm(base, axis=1, keepdims=True)
+    near, shares = partners(base, rng), []
+    for n in (128, 4_096, 65_536, 1_048_576):
+        own = vector_links.filters(base, n)
+        assert np.mean([len(np.intersect1d(a, b)) > 0 for a, b in zip(own, vector_links.filters(near, n))]) >= 0.97
+        held: dict[int, list[int]] = {}
+        for i, ids in enumerate(own):
+            for f in ids.tolist():
+                held.setdefault(f, []).append(i)
+        met = {(a, b) for members in held.values() for a in members for b in members if a < b}
+        shares.append(len(met) / (1500 * 1499 / 2))
+    assert shares[0] == 1 and shares[1] < 0.5 and shares[2] < shares[1] / 6 and shares[3] < shares[2] / 6
+    assert max(s * n for s, n in zip(shares, (128, 4_096, 65_536, 1_048_576))) < 6_000
+
+
+def test_pairs_forests_and_odd_rows(spark):
+    """All pairs for who asks; else a forest and degrees. Null and repeated ids, clashing columns, copies."""
+    one, other = [1.0, 0.0, 0.01], [1.0, 0.0, 0.0]
+    rows = [(1, one, 1), (1, one, 1), (None, other, 1), (2, other, 1), (3, [0.0, 1.0, 0.0], 1), (4, one, None), (5, one, 2)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    vectors = vectors.select("*", *[F.lit("own").alias(c) for c in ("row", "cid", "h", "n", "copies", "key", "size", "a.b")])
+    got = sorted((tuple(r) for r in vector_links.near_duplicates(vectors).collect()), key=repr)
+    assert got == sorted([(1, 3, 1, True), (1, 3, 1, True), (None, 3, 1, False), (2, 3, 1, False), (3, 0, 3, True), (4, 0, 4, True), (5, 0, 5, True)], key=repr)
+    found, pairs = vector_links.links(vectors)
+    assert found.count() == 7 and pairs.count() == 1
+    assert sorted(vector_links.forest([(0, 1), (1, 2), (0, 2), (4, 5)])) == [(0, 1), (1, 2), (4, 5)]
+
+
 # --- pipeline
 
 
