@@ -192,17 +192,8 @@ def test_lines_of_small_sites(spark, size):
 
 
 def chain_similarity(a: str, b: str) -> float:
-    """The same measure by plain dynamic programming."""
-
-    def kmers(t):
-        w, seen, out = t.lower().split(), {}, []
-        for i in range(max(1, len(w) - 4)):
-            k = tuple(w[i : i + 5])
-            out.append((k, seen.setdefault(k, 0)))
-            seen[k] += 1
-        return out
-
-    x, y = kmers(a), kmers(b)
+    """The same measure by plain dynamic programming over the words."""
+    x, y = a.lower().split(), b.lower().split()
     row = [0] * (len(y) + 1)
     for p in x:
         new = [0]
@@ -246,6 +237,40 @@ def test_groups_against_all_pairs(spark):
     assert kept.columns == docs.columns
 
 
+def test_alignment_against_dynamic_programming():
+    rng = random.Random(12)
+    seen = set()
+    for _ in range(1500):
+        a = [rng.choice("abcdefgh") for _ in range(rng.randint(1, 40))]
+        b = list(a)
+        for _ in range(rng.randint(0, 9)):
+            at = rng.randrange(len(b) + 1)
+            b[at : at + rng.randint(0, 1)] = [rng.choice("abcdefgh")] * rng.randint(0, 2)
+        if not b:
+            continue
+        want = chain_similarity(" ".join(a), " ".join(b))
+        got = order_minhash.similarity(np.array([ord(c) for c in a]), np.array([ord(c) for c in b]))
+        assert abs(got - want) < 1e-9 if want >= 0.8 else got == 0, (a, b)
+        seen.add(want >= 0.8)
+    assert seen == {True, False}
+
+
+@pytest.mark.parametrize(("changed", "least"), [(0.01, 0.99), (0.02, 0.99), (0.05, 0.97), (0.1, 0.86)])
+def test_near_copies_are_candidates_and_similar(changed, least):
+    """Shares of 400 pairs of 300 words, words replaced at random; at 10 % some lie beyond the limit of 11 % or share no sketch."""
+    rng, linked = random.Random(int(changed * 1000)), 0
+    for _ in range(400):
+        own = [rng.randrange(1 << 30) for _ in range(300)]
+        other = [rng.randrange(1 << 30) if rng.random() < changed else w for w in own]
+        a, b = (np.array(x, np.uint64) for x in (own, other))
+        ka, kb = order_minhash.labelled(a), order_minhash.labelled(b)
+        shared = any(x == y for x, y in zip(order_minhash.sketch(ka), order_minhash.sketch(kb)))
+        signs = [np.array([order_minhash.signature(k)], np.int64).view(np.uint64) for k in (ka, kb)]
+        far = order_minhash.similarity(a, b) == 0
+        linked += (shared and bool(order_minhash.may_be_similar(*signs)[0])) or far
+    assert linked / 400 >= least, linked / 400
+
+
 def test_components(spark):
     links = [(i, i + 1) for i in range(0, 40)] + [(100, 90), (90, 95), (7, 7), (None, 3)]
     found = dict(components.components(spark.createDataFrame(links, "a long, b long")).collect())
