@@ -6,7 +6,7 @@ are taken and hashed in their text order, so two texts agree on a sketch only if
 on a sketch are candidates. Similarity is that of an alignment of the words: with M the longest chain of equal words in the same order,
 M / (n1 + n2 - M). At similarity S at most (1 - S) / (1 + S) of all words stay unmatched, which bounds how far an aligned word can have
 moved: the band. Texts with similarity ``SIMILARITY`` or more are linked, and linked texts form a group. One changed word costs one word of the
-alignment and five k-mers of the sketches: of pairs of 300 words with 2, 5 and 10 % of them replaced at random, 1.00, 0.99 and 0.91 share a
+alignment and five k-mers of the sketches: of pairs of 300 words with 2, 5 and 10 % of them replaced at random, 1.00, 1.00 and 0.90 share a
 sketch, and then they are linked (11 % is the limit).
 
 Scale: equal texts are one class from the start (128 hash bits, pre-aggregated). Within a bucket of a sketch, classes are first compared
