@@ -11,7 +11,8 @@ Scoring is column expressions inside one scan: the weights are literals whose si
 without a licence word, which have no feature at all, are passed over by one pattern. No shuffle, no Python on the executors.
 
 Defined results: paragraphs are lines, numbered from 0; a null text counts as empty and has none; null ids and repeated rows are carried;
-only the key and ``text`` are read.
+only the key and ``text`` are read, so other columns may have any name; texts and lines of any length are scored whole; of families of equal
+probability the first in the order of the templates counts; an empty table gives an empty one.
 """
 
 from __future__ import annotations

@@ -11,8 +11,9 @@ other groups, and packed once more, starting from how they are.
 Scale: ids are made and reduced to a checksum where the text is read; only lengths move. A group is bounded by its piece number and packs
 in one task; the number of groups grows with the input. All tables between the steps lie in the shared folder.
 
-Defined results: a null text counts as empty and is the end id alone; null ids and repeated rows are packed like others; an empty table
-gives no piece.
+Defined results: a null text counts as empty and is the end id alone; null ids and repeated rows are packed like others; texts of any length are
+encoded whole and cut into pieces; pieces of equal length are told apart by their row and number; an empty table gives no piece; other columns,
+whatever their names, play no part.
 """
 
 from __future__ import annotations

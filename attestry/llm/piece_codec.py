@@ -8,7 +8,8 @@ length. Stretches of a batch are filled together, one array operation per positi
 
 No token but a run of ``▁`` holds ``▁`` after its start, and none holds a line end, so texts are cut there first and equal stretches
 are looked up in a bounded memo. Characters outside the vocabulary become byte tokens. Defined results: a null text counts as empty and has
-no ids; null ids and repeated rows are carried. No shuffle.
+no ids; null ids and repeated rows are carried; texts of any length are encoded whole; of tokens that could end a prefix one alone follows the one before
+it, so there are no ties; an empty table gives an empty one; other columns, whatever their names, play no part. No shuffle.
 """
 
 from __future__ import annotations

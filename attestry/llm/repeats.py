@@ -18,7 +18,8 @@ Every repeated window lies in a maximal repeat with the same occurrences, so the
 each anchor in them.
 
 Defined results: a null text counts as empty; documents are ordered by id, null ids last, then by their text's hash; repeated rows are
-documents of their own, the later ones repeats of the first; texts below LENGTH bytes keep everything.
+documents of their own, the later ones repeats of the first; texts below LENGTH bytes keep everything, longer ones of any length are read whole; an
+empty table gives an empty one; other columns, whatever their names, play no part.
 """
 
 from __future__ import annotations

@@ -9,7 +9,8 @@ of it, so that names and paths glued to a secret do not hide it.
 
 Spans are ``kind:start:end`` in code points, end exclusive. The fixed patterns' spans always stay; the model adds only spans that
 touch none of them. Defined results: a null text counts as empty; null ids and repeated rows are carried; texts of any length are
-searched whole, one pass per pattern. No shuffle.
+searched whole, one pass per pattern; spans that start at one place go by kind; an empty table gives an empty one; columns of ``scan``'s input but key and
+text play no part, those of ``mask_secrets`` pass through, whatever their names. No shuffle.
 """
 
 from __future__ import annotations
