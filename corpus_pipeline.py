@@ -1,4 +1,8 @@
-"""The corpus pipeline: documents through quality rules, line dedup, near-dedup, secret masking and packing."""
+"""The corpus pipeline: documents through quality rules, line dedup, near-dedup, secret masking and packing.
+
+All stages: a null text counts as empty, null ids and repeated rows are rows like others, texts of any length are read whole, an empty table gives an empty
+one, and columns beyond those of documents pass through the first four stages, whatever their names.
+"""
 
 from __future__ import annotations
 
@@ -10,27 +14,27 @@ from attestry.llm.tables import read, stored, with_length
 
 
 def apply_quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the current policy keeps."""
+    """Documents that the current policy keeps; a null or empty text has too few words and goes."""
     return quality_rules.keep_good(docs)
 
 
 def drop_site_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document, without its source's boilerplate lines."""
+    """Every document, without its source's boilerplate lines; a null source is one source, and a line on exactly a tenth of its pages stays."""
     return with_length(line_dedup.drop_boilerplate(docs, report=None))
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates."""
+    """One document of each group of near-duplicates: that of the smallest id (null ids last), of repeated rows any one."""
     return order_minhash.keep_one(docs)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document, its secrets masked."""
+    """Every document, its secrets masked; of spans that touch, the fixed patterns' stay."""
     return with_length(secret_spans.mask_secrets(docs))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every piece of every document and its place in a sequence."""
+    """Every piece of every document and its place in a sequence; an empty document is its end id alone."""
     return packing.pack(packing.pieces_of(docs, public_tokenizers.path("byte_bpe_50k.tiktoken")))
 
 
