@@ -316,7 +316,7 @@ def search_plan_configured(t: Tables) -> DataFrame:
         F.lit("q").alias("search_parameter"), own.alias("search_term_group_ids"), F.array(F.concat("r_name", F.lit(" records")), F.lit("ticks")).alias("catalog_specific_terms"),
     )
     # The documents of one configuration: its few catalogs in their order.
-    each = t.region.join(groups, F.lit(True)).select("r_regionkey", "term_groups", catalog.alias("c"))
+    each = t.region.withColumn("term_groups", groups.scalar()).select("r_regionkey", "term_groups", catalog.alias("c"))
     parameters = F.create_map(F.lit("rows"), F.lit("100"))
     listed = F.transform(F.array_sort(F.collect_list(F.struct("r_regionkey", "c"))), lambda x: x["c"].withField("fixed_query_parameters", parameters))
     config = each.groupBy("term_groups").agg(listed.alias("catalogs")).select(
