@@ -219,7 +219,8 @@ def groups(docs: DataFrame, key: str = "doc_id") -> tuple[DataFrame, DataFrame]:
 
     # One row of each class: equal texts meet pre-aggregated, and only classes with candidates are here.
     words = per_batch(texts.select("cid", "text"), sequences, "cid long, words binary").groupBy("cid").agg(F.first("words").alias("words"))
-    words = stored(words, "words")
+    # With all that a comparison needs, so that the rows of open buckets are joined once.
+    words = stored(words.join(classes.select("cid", "sketch", "sign"), "cid"), "words")
     links = verified(shared.filter("cid <> lead").select(F.col("lead").alias("a"), F.col("cid").alias("b")).distinct(), words)
     labels = representatives(links)
 
@@ -236,7 +237,7 @@ def groups(docs: DataFrame, key: str = "doc_id") -> tuple[DataFrame, DataFrame]:
         open_rows = stored(open_rows.select("cid", "component", "j", "v", "n", "bulk", (F.col("draw") < now).alias("leads")), "open")
         if open_rows.isEmpty():
             break
-        open_rows = open_rows.join(classes.select("cid", "sketch", "sign"), "cid").join(words, "cid")
+        open_rows = open_rows.join(words, "cid")
         more = stored(compared(open_rows, GROWTH ** (share + 1)), "links")
         links = links.unionByName(more)
         if not more.isEmpty():
