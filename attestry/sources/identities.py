@@ -3,7 +3,8 @@
 Every published batch leaves a *run*: the 128-bit hashes of its new identities, dealt by hash to buckets of about ``BUCKET``, and a Bloom
 filter of each bucket. ``FAN`` runs of one level are merged into one of the next, so a hash is rewritten once per level and
 there are few runs, whatever the number of batches. A batch is looked up in the filters first; only buckets whose filter may hold one of
-its identities are read. Runs are published in the same commit as the rows they index.
+its identities are read. A run that a batch matches in size is read without asking: among so many identities every bucket is asked for, if only by
+wrong answers. Runs are published in the same commit as the rows they index.
 """
 
 from __future__ import annotations
@@ -21,6 +22,8 @@ BUCKET = 1 << 20
 #: Bits of a full bucket's filter (16 a hash) and how many of them a hash sets: one wrong answer in 400. Words without bits are not stored.
 BITS, SET = 1 << 24, 4
 FAN = 8
+#: A batch with that many records for each bucket of a run, and no fewer than the run, reads it whole: ten wrong answers a bucket.
+WHOLE = 1 << 12
 
 
 def hashed(df: DataFrame, identity: Sequence[str]) -> DataFrame:
@@ -69,12 +72,23 @@ def run_of(log: Log, table: str, identities: DataFrame, n: int, level: int) -> l
     ]
 
 
-def seen_before(log: Log, table: str, batch: DataFrame) -> tuple[DataFrame | None, int]:
-    """Identities (``__h``, ``__g``) of the buckets that may hold one of ``batch``, and the number of these buckets."""
+def seen_before(log: Log, table: str, batch: DataFrame, n: int = 0) -> tuple[DataFrame | None, int]:
+    """Identities (``__h``, ``__g``) of the buckets that may hold one of ``batch``, and the number of these buckets. ``n``: its records, if known."""
     hashes, masks, _ = names(table)
     runs = {u: e for u, e in log.entries(masks).items() if e["rows"]}
-    if not runs:
+    found: dict[str, list[int]] = {u: [*range(_parts(u)[1])] for u, e in runs.items() if n >= max(e["rows"], WHOLE * _parts(u)[1])}
+    runs = {u: e for u, e in runs.items() if u not in found}
+    if runs:
+        found |= _asked(log, masks, runs, batch)
+    if not found:
         return None, 0
+    entries = log.entries(hashes)
+    parts = [log.read(hashes, [entries[run]]).filter(F.col("bucket").isin(buckets)).select("__h", "__g") for run, buckets in found.items()]
+    return reduce(DataFrame.unionByName, parts), sum(map(len, found.values()))
+
+
+def _asked(log: Log, masks: str, runs: dict[str, dict], batch: DataFrame) -> dict[str, list[int]]:
+    """By run, the buckets whose filters may hold an identity of ``batch``."""
     listed = F.explode(F.array(*[F.struct(F.lit(u).alias("run"), F.lit(_parts(u)[1]).alias("buckets")) for u in runs])).alias("r")
     own = batch.select("__h", "__g").distinct().select("__h", "__g", listed).select("__h", "__g", "r.run", _bucket(F.col("r.buckets")).alias("bucket"), _bits().alias("bit"))
     own = own.withColumn("word", F.shiftright("bit", 6))
@@ -84,11 +98,7 @@ def seen_before(log: Log, table: str, batch: DataFrame) -> tuple[DataFrame | Non
     found: dict[str, list[int]] = {}
     for r in asked.collect():
         found.setdefault(r.run, []).append(r.bucket)
-    if not found:
-        return None, 0
-    entries = log.entries(hashes)
-    parts = [log.read(hashes, [entries[run]]).filter(F.col("bucket").isin(buckets)).select("__h", "__g") for run, buckets in found.items()]
-    return reduce(DataFrame.unionByName, parts), sum(map(len, found.values()))
+    return found
 
 
 def merge(log: Log, table: str) -> None:

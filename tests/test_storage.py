@@ -133,6 +133,16 @@ def test_reads_of_the_identity_index_stay_flat(spark, tmp_path, monkeypatch):
     assert log.read("raw_identities").select("__h", "__g").distinct().count() == 20 * n
 
 
+def test_a_run_no_greater_than_the_batch_is_read_without_asking(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(identities, "WHOLE", 1)
+    monkeypatch.setattr(identities, "_asked", lambda *_: pytest.fail("filters were asked"))
+    root = str(tmp_path / "raw")
+    for name, ids in (("b1", range(20)), ("b2", range(40)), ("b3", range(40))):
+        batch = raw(spark, *[(str(i), json.dumps({"a": i})) for i in ids])
+        assert ledger.append_raw_idempotent(batch, root, "raw", name) == {"b1": 0, "b2": 1, "b3": 2}[name]
+    assert sorted(int(r.source_record_id) for r in ledger.read_ledger(spark, root, "raw").collect()) == [*range(40)]
+
+
 def test_index_tells_what_it_holds(spark, tmp_path):
     log = Log(spark, str(tmp_path / "l"))
     rows = spark.range(3000).select(F.col("id").cast("string").alias("i"))
