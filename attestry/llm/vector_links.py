@@ -155,7 +155,10 @@ def packed(vector: list) -> bytes:
 
 def unit(vectors: list[bytes], size: int) -> np.ndarray:
     """Unit vectors in double precision."""
-    out = np.stack([np.frombuffer(v, np.float32 if len(v) == 4 * size else np.float64).astype(np.float64) for v in vectors])
+    out = np.empty((len(vectors), size))
+    for width, kind in ((4, np.float32), (8, np.float64)):
+        at = [i for i, v in enumerate(vectors) if len(v) == width * size]
+        out[at] = np.frombuffer(b"".join([vectors[i] for i in at]), kind).reshape(len(at), size)
     out /= np.abs(out).max(axis=1, keepdims=True)
     return out / np.linalg.norm(out, axis=1, keepdims=True)
 
@@ -184,15 +187,32 @@ def near(cids: list[int], blocks: list[int], vectors: list[bytes], size: int, n:
     order = sorted(range(len(cids)), key=cids.__getitem__)
     matrix = unit([vectors[i] for i in order], size)
     rows, columns = np.nonzero(np.triu(matrix @ matrix.T >= cosine - 1e-9, 1))
-    met = np.unique(np.concatenate((rows, columns)))
-    own = filters(matrix[met], n) if len(rows) else []
-    number = {r: i for i, r in enumerate(met.tolist())}
+    block = np.array(blocks)[order]
+    ours = (np.minimum(block[rows], block[columns]) == lo) & (np.maximum(block[rows], block[columns]) == hi)
+    rows, columns = rows[ours], columns[ours]
+    if not len(rows):
+        return []
+    met, places = np.unique(np.concatenate((rows, columns)), return_inverse=True)
+    first = ~_sharing(filters(matrix[met], n), here)[places[: len(rows)], places[len(rows) :]]
     out = []
-    for a, b in zip(rows.tolist(), columns.tolist()):
+    for a, b in zip(rows[first].tolist(), columns[first].tolist()):
         # The dot product of the two alone does not depend on the block they are met in.
-        if {blocks[order[a]], blocks[order[b]]} == {lo, hi} and float(np.dot(matrix[a], matrix[b])) >= cosine:
-            if np.intersect1d(own[number[a]], own[number[b]], assume_unique=True)[0] == here:
-                out.append((order[a], order[b]))
+        if float(np.dot(matrix[a], matrix[b])) >= cosine:
+            out.append((order[a], order[b]))
+    return out
+
+
+def _sharing(own: list[np.ndarray], here: int) -> np.ndarray:
+    """Which pairs of vectors share a filter before ``here``, or lack ``here`` itself."""
+    ids, who = np.concatenate(own), np.repeat(np.arange(len(own)), [len(ids) for ids in own])
+    lacking = np.ones(len(own), bool)
+    lacking[who[ids == here]] = False
+    out = lacking[:, None] | lacking[None, :]
+    who, ids = who[ids < here], ids[ids < here]
+    by = np.argsort(ids, kind="stable")
+    for members in np.split(who[by], np.flatnonzero(np.diff(ids[by])) + 1):
+        if len(members) > 1:
+            out[np.ix_(members, members)] = True
     return out
 
 

@@ -663,3 +663,23 @@ def test_pipeline_stages(spark):
     assert all(line not in r.text and r.n_chars == len(r.text) for r in rows.values())
     assert secret not in rows[3].text and "<assign>" in rows[3].text
     assert corpus_pipeline.STAGES[-1][1](spark, docs, "").select("doc_id").distinct().count() == 40
+
+
+def test_linked_pairs_count_in_their_first_filter_and_are_told_apart_together(monkeypatch):
+    rng = np.random.default_rng(4)
+    base = rng.standard_normal((6, 1, 16)) + 0.02 * rng.standard_normal((6, 20, 16))
+    vectors = base.reshape(120, 16)
+    own = vector_links.filters(vector_links.unit([v.tobytes() for v in vectors], 16), 4096)
+    cosines = vectors @ vectors.T / np.linalg.norm(vectors, axis=1)[:, None] / np.linalg.norm(vectors, axis=1)
+    want = [(a, b) for a in range(120) for b in range(a) if cosines[a, b] >= 0.98 and set(own[a]) & set(own[b])]
+    monkeypatch.setattr(np, "intersect1d", lambda *_, **__: pytest.fail("pairs were told apart one by one"))
+    got = []
+    for here in sorted({i for ids in own for i in ids.tolist()}):
+        who = [i for i, ids in enumerate(own) if here in ids]
+        # Two blocks: pairs inside either and across are found apart.
+        for lo, hi in ((0, 0), (0, 1), (1, 1)):
+            some = [i for i in who if i % 2 in (lo, hi)]
+            if len(some) > 1:
+                blocks = [i % 2 for i in some]
+                got += [(max(some[a], some[b]), min(some[a], some[b])) for a, b in vector_links.near(some, blocks, [vectors[i].tobytes() for i in some], 16, 4096, here, lo, hi, 0.98)]
+    assert len(want) > 500 and sorted(got) == sorted(want)
